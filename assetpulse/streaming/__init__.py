@@ -1,0 +1 @@
+"""Empty on purpose: all the work in scope is batch, so there is no streaming job to offer."""
