@@ -9,17 +9,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from assetpulse.constants import ASSET, DATE
+from assetpulse.operators import reference_tables as ref
 from assetpulse.plans import daily_facts as facts
-from assetpulse.plans.bridge import AS_OF, TIE_BREAK, Bridge
+from assetpulse.plans import screening
+from assetpulse.plans.bridge import AS_OF, SCREEN_AS_OF, TIE_BREAK, Bridge
 from assetpulse.sources import drop_any_null, valid_dates
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def rounded(df: DataFrame, places: int = 6) -> DataFrame:
-    """Doubles rounded, for comparison with another engine."""
+def rounded(df: DataFrame, *exact: str, places: int = 6) -> DataFrame:
+    """Doubles rounded for comparison with another engine, but for those that both engines give bit by bit."""
     columns = [
-        F.round(field.name, places).alias(field.name) if isinstance(field.dataType, T.DoubleType) else field.name
+        F.round(field.name, places).alias(field.name)
+        if isinstance(field.dataType, T.DoubleType) and field.name not in exact
+        else F.col(f"`{field.name}`")
         for field in df.schema.fields
     ]
     return df.select(*columns)
@@ -50,7 +54,7 @@ def bridge_facts(bridge: Bridge, *parts: str, **options) -> DataFrame:
 def fact_query(columns: list[str] | None, *parts: str, **options) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         df = bridge_facts(Bridge(spark, sf_dir), *parts, **options)
-        return rounded(df.select(ASSET, DATE, *columns) if columns else df)
+        return rounded(df.select(ASSET, DATE, *columns) if columns else df, "Avg_notes_in", "Avg_notes_in_last30")
 
     return run
 
@@ -80,5 +84,92 @@ FACT_QUERIES: dict[str, Query] = {
 }
 
 
+def screen_status_table(bridge: Bridge, variant: str = "life_events") -> DataFrame:
+    """Limits suit the test events: 30 days of data, so runs above 6 and gaps above 2 days stand out."""
+    settings = screening.ScreenSettings(variant=variant, max_irregular_run=6, max_gap_days=2)
+    return screening.asset_status(
+        bridge.screen_work(), bridge.screen_assets(), bridge.life_events(), SCREEN_AS_OF, settings
+    )
+
+
+def screen_query(build: Callable[[DataFrame], DataFrame], variant: str = "life_events") -> Query:
+    return lambda spark, sf_dir: build(screen_status_table(Bridge(spark, sf_dir), variant))
+
+
+def reason_query(flag: str, reason: int, variant: str = "life_events") -> Query:
+    return screen_query(lambda status: screening.reason_rows(status, flag, reason), variant)
+
+
+def reason_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bridge = Bridge(spark, sf_dir)
+    return screening.reason_matrix(bridge.screen_assets(), screen_status_table(bridge))
+
+
+def asset_spot_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bridge = Bridge(spark, sf_dir)
+    errors = screening.error_log(screen_status_table(bridge))
+    _, info, life, reasons = screening.spot_check(bridge.screen_assets(), bridge.life_events(), errors)
+    shown = {
+        "info": info.withColumn("detail", F.col("installed_date").cast("string")),
+        "life event": life.withColumn("detail", F.col("life_event_description")),
+        "error": reasons.withColumn("detail", F.col("reason_id").cast("string")),
+    }
+    parts = [
+        df.groupBy(ASSET, "detail").agg(F.count("*").alias("n")).withColumn("section", F.lit(section))
+        for section, df in shown.items()
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+SCREEN_QUERIES: dict[str, Query] = {
+    "screen_status": reason_query("inactive", 1),
+    "screen_status_master": reason_query("inactive", 1, "master"),
+    "screen_log": reason_query("manual_only", 2),
+    "screen_irregular": reason_query("irregular", 3),
+    "screen_gap": screen_query(lambda status: screening.category(status, "long_gap")),
+    "screen_volume": reason_query("too_few_rows", 4),
+    "screen_install": reason_query("future_install", 5),
+    "error_log": screen_query(screening.error_log),
+    "error_log_master": screen_query(screening.error_log, "master"),
+    "valid_assets": screen_query(screening.valid_assets),
+    "valid_assets_master": screen_query(screening.valid_assets, "master"),
+    "screening_summary": screen_query(screening.screening_summary),
+    "reason_matrix": reason_matrix,
+    "asset_spot_check": asset_spot_check,
+}
+
+
+def bridge_query(build: Callable[[Bridge], DataFrame]) -> Query:
+    return lambda spark, sf_dir: build(Bridge(spark, sf_dir))
+
+
+def technicians(how: str) -> Query:
+    """Orders name customers as assets; the master holds suppliers, so the two kinds of join differ."""
+    return bridge_query(
+        lambda b: ref.technician_history(b.field_activity(), b.service_orders(), b.assets(), how)
+    )
+
+
+REFERENCE_QUERIES: dict[str, Query] = {
+    "service_request_history": bridge_query(lambda b: ref.service_request_history(b.service_requests())),
+    "asset_information": bridge_query(lambda b: ref.asset_information(b.asset_information_source())),
+    "error_code_feature_def": bridge_query(lambda b: ref.error_code_feature_def(b.error_code_source())),
+    "error_code_rows": bridge_query(lambda b: ref.error_code_rows(b.error_events())),
+    "asset_error_codes": bridge_query(lambda b: ref.asset_error_codes(b.error_events())),
+    "periodic_work_left": bridge_query(lambda b: ref.periodic_work(b.screen_work(), b.assets(), "left")),
+    "periodic_work_inner": bridge_query(lambda b: ref.periodic_work(b.screen_work(), b.assets(), "inner")),
+    "technician_history_left": technicians("left"),
+    "technician_history_inner": technicians("inner"),
+    "total_assets": bridge_query(lambda b: ref.total_assets(b.screen_assets())),
+    "assets_with_work_count": bridge_query(lambda b: ref.assets_with_work_count(b.screen_work(), b.screen_assets())),
+    "assets_with_log_status": bridge_query(lambda b: ref.assets_with_log_status(b.life_events(), b.screen_assets())),
+    "unknown_status": bridge_query(lambda b: ref.assets_of_unknown_status(b.screen_assets())),
+    "orders_without_activity": bridge_query(
+        lambda b: ref.orders_without_activity(b.service_orders(), b.field_activity())
+    ),
+    "work_coverage": bridge_query(lambda b: ref.work_coverage(b.daily_work())),
+}
+
+
 def all_queries() -> dict[str, Query]:
-    return {**FACT_QUERIES}
+    return {**FACT_QUERIES, **SCREEN_QUERIES, **REFERENCE_QUERIES}

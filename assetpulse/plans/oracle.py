@@ -241,15 +241,12 @@ def with_ctes(body: str, *names: str) -> str:
     return "WITH " + ",\n".join(f"{name} AS ({_CTES[name][1]})" for name in ordered) + "\n" + body
 
 
-def rounded(*columns: str) -> str:
-    return ", ".join(f"round({column}, 6) AS {column}" for column in columns)
-
-
 _CODE_SELECT = ", ".join(f"{name}, round({name}_std, 6) AS {name}_std" for name in CODE_CONDITIONS)
 _FACT_PARTS = ["work_sums", "since_pm", "pm_days", "labels_daily", "failure_past", "firmware_daily", "code_rolling"]
 _FACT_JOIN = "FROM work_sums " + " ".join(f"JOIN {name} USING ({KEY})" for name in _FACT_PARTS[1:])
-_AVERAGES = """round(CASE WHEN age <> 0 THEN CAST(notes_in AS DOUBLE) / age END, 6) AS Avg_notes_in,
-    round(notes_in_last30 / 30.0::DOUBLE, 6) AS Avg_notes_in_last30"""
+# Plain divisions of integers are equal in both engines to the last bit; only deviations are rounded.
+_AVERAGES = """CASE WHEN age <> 0 THEN CAST(notes_in AS DOUBLE) / age END AS Avg_notes_in,
+    CAST(notes_in_last30 AS DOUBLE) / 30 AS Avg_notes_in_last30"""
 
 
 def facts_sql() -> dict[str, str]:
@@ -292,5 +289,271 @@ def facts_sql() -> dict[str, str]:
     }
 
 
+_CTES.update(
+    {
+        "s_assets": (
+            [],
+            """SELECT c_custkey AS customer_asset_identifier,
+                  DATE '2023-12-20' + CAST(c_custkey % 45 AS INTEGER) AS installed_date,
+                  CASE WHEN c_acctbal < 0 THEN 'Inactive' WHEN c_acctbal > 9500 THEN 'Unknown' ELSE 'Active' END AS active_status,
+                  CAST(c_nationkey AS BIGINT) AS product_identifier, 'SN-' || c_custkey AS serial_number, 1 AS partner_id
+               FROM customer""",
+        ),
+        "s_work": (
+            [],
+            "SELECT user_id AS customer_asset_identifier, CAST(ts AS DATE) AS date, event_id FROM events",
+        ),
+        "s_universe": (["s_work"], "SELECT DISTINCT customer_asset_identifier FROM s_work"),
+        "s_life": (
+            [],
+            """SELECT o_custkey AS customer_asset_identifier, CAST(o_orderdate AS DATE) AS date,
+                  CASE WHEN o_orderstatus = 'P' THEN 2 ELSE 3 END AS life_event_code,
+                  CASE WHEN o_orderstatus = 'O' THEN 1 WHEN o_orderstatus = 'F' THEN 2
+                       WHEN o_orderpriority = '5-LOW' THEN 0 ELSE 1 END AS life_event_value,
+                  CASE WHEN o_orderstatus = 'O' THEN 'Daily' WHEN o_orderstatus = 'F' THEN 'Manually'
+                       ELSE 'Status' END AS life_event_description
+               FROM orders""",
+        ),
+        "s_inactive": (
+            ["s_life", "s_universe"],
+            """SELECT DISTINCT customer_asset_identifier FROM s_life JOIN s_universe USING (customer_asset_identifier)
+               WHERE life_event_code = 2 AND life_event_value IS DISTINCT FROM 1""",
+        ),
+        "s_active": (
+            ["s_life", "s_universe"],
+            """SELECT DISTINCT customer_asset_identifier FROM s_life JOIN s_universe USING (customer_asset_identifier)
+               WHERE life_event_code = 2 AND life_event_value = 1""",
+        ),
+        "s_daily": (
+            ["s_life", "s_universe"],
+            """SELECT DISTINCT customer_asset_identifier FROM s_life JOIN s_universe USING (customer_asset_identifier)
+               WHERE life_event_code = 3 AND life_event_value = 1""",
+        ),
+        "s_manual": (
+            ["s_life", "s_universe"],
+            """SELECT DISTINCT customer_asset_identifier FROM s_life JOIN s_universe USING (customer_asset_identifier)
+               WHERE life_event_code = 3 AND life_event_value = 2""",
+        ),
+        "s_manual_only": (["s_manual", "s_daily"], "SELECT * FROM s_manual EXCEPT SELECT * FROM s_daily"),
+        "s_daily_only": (["s_manual", "s_daily"], "SELECT * FROM s_daily EXCEPT SELECT * FROM s_manual"),
+        "s_both": (["s_manual", "s_daily"], "SELECT * FROM s_daily INTERSECT SELECT * FROM s_manual"),
+        "s_steps": (
+            ["s_work"],
+            """SELECT customer_asset_identifier, date, event_id,
+                  lead(date) OVER w - date AS step,
+                  count(*) OVER w AS position
+               FROM s_work WINDOW w AS (PARTITION BY customer_asset_identifier ORDER BY date, event_id)""",
+        ),
+        # Run length of irregular steps ending at a row: its position less that of the latest regular step.
+        "s_runs": (
+            ["s_steps"],
+            """SELECT customer_asset_identifier, step,
+                  CASE WHEN step <> 1 THEN position - coalesce(max(CASE WHEN step = 1 THEN position END)
+                      OVER (PARTITION BY customer_asset_identifier ORDER BY position ROWS UNBOUNDED PRECEDING), 0)
+                  ELSE 0 END AS run
+               FROM s_steps""",
+        ),
+        "s_irregular": (
+            ["s_runs"],
+            "SELECT customer_asset_identifier FROM s_runs GROUP BY 1 HAVING max(run) > 6",
+        ),
+        "s_gap": (
+            ["s_runs"],
+            "SELECT customer_asset_identifier FROM s_runs GROUP BY 1 HAVING max(step) > 2",
+        ),
+        "s_few": (
+            ["s_work"],
+            "SELECT customer_asset_identifier FROM s_work GROUP BY 1 HAVING count(*) <= 60",
+        ),
+        "s_future": (
+            ["s_assets"],
+            f"SELECT customer_asset_identifier FROM s_assets WHERE installed_date > {SCREEN_AS_OF}",
+        ),
+        "s_errors": (
+            ["s_inactive", "s_manual_only", "s_irregular", "s_few", "s_future"],
+            """SELECT customer_asset_identifier, 1 AS reason_id FROM s_inactive
+               UNION ALL SELECT customer_asset_identifier, 2 FROM s_manual_only
+               UNION ALL SELECT customer_asset_identifier, 3 FROM s_irregular
+               UNION ALL SELECT customer_asset_identifier, 4 FROM s_few
+               UNION ALL SELECT customer_asset_identifier, 5 FROM s_future""",
+        ),
+        "s_error_ids": (
+            ["s_errors", "s_universe"],
+            "SELECT * FROM s_universe INTERSECT SELECT customer_asset_identifier FROM s_errors",
+        ),
+        "s_valid": (
+            ["s_errors", "s_universe"],
+            "SELECT * FROM s_universe EXCEPT SELECT customer_asset_identifier FROM s_errors",
+        ),
+        "m_inactive": (
+            ["s_assets", "s_universe"],
+            """SELECT customer_asset_identifier FROM s_assets JOIN s_universe USING (customer_asset_identifier)
+               WHERE active_status IS DISTINCT FROM 'Active'""",
+        ),
+        "m_errors": (
+            ["m_inactive", "s_manual_only", "s_irregular", "s_few", "s_future", "s_universe"],
+            """SELECT customer_asset_identifier, 1 AS reason_id FROM m_inactive
+               UNION ALL SELECT customer_asset_identifier, 2 FROM s_manual_only
+               UNION ALL SELECT customer_asset_identifier, 3 FROM s_irregular
+               UNION ALL SELECT customer_asset_identifier, 4 FROM s_few
+               UNION ALL SELECT customer_asset_identifier, 5 FROM s_future JOIN s_universe USING (customer_asset_identifier)""",
+        ),
+    }
+)
+
+_MATRIX = {
+    "daily_notes_present": "s_universe",
+    "selected_for_ML": "s_valid",
+    "error_log": "s_error_ids",
+    "install_date_in_future": "s_future",
+    "daily_work_for_60days": "(SELECT customer_asset_identifier FROM s_universe EXCEPT SELECT * FROM s_few)",
+    "no_daily_work_for_60_days": "s_few",
+    "work_missing_for_15_consecutive_days": "s_irregular",
+    "perfect_daily_work": "(SELECT customer_asset_identifier FROM s_universe EXCEPT SELECT * FROM s_irregular)",
+    "Log status 1": "s_daily_only",
+    "Log 1&2": "s_both",
+    "Log 2": "s_manual_only",
+    "Active Asset": "(SELECT customer_asset_identifier FROM s_assets WHERE active_status = 'Active')",
+    "inactive Asset": "(SELECT customer_asset_identifier FROM s_assets WHERE active_status = 'Inactive')",
+}
+
+
+def screening_sql() -> dict[str, str]:
+    def reasons(table: str, reason: int) -> str:
+        return with_ctes(f"SELECT customer_asset_identifier, {reason} AS reason_id FROM {table}", table)
+
+    flags = ", ".join(
+        f'CAST(a.customer_asset_identifier IN (SELECT customer_asset_identifier FROM {source}) AS BIGINT) AS "{name}"'
+        for name, source in _MATRIX.items()
+    )
+    sums = ", ".join(f'CAST(sum("{name}") AS BIGINT) AS "{name}"' for name in _MATRIX)
+    metrics = {
+        "assets with daily work": "s_universe",
+        "active assets": "s_active",
+        "inactive assets": "s_inactive",
+        "daily log only": "s_daily_only",
+        "manual log only": "s_manual_only",
+        "daily log": "s_daily",
+        "missing work": "s_irregular",
+        "perfect work": "(SELECT * FROM s_universe EXCEPT SELECT * FROM s_irregular)",
+        "enough work": "(SELECT * FROM s_universe EXCEPT SELECT * FROM s_few)",
+        "too little work": "s_few",
+        "future install": "s_future",
+        "in error log": "s_error_ids",
+        "passing all filters": "s_valid",
+    }
+    summary = " UNION ALL ".join(
+        f"SELECT '{metric}' AS metric, CAST(count(*) AS BIGINT) AS value FROM {source}" for metric, source in metrics.items()
+    )
+    all_names = [
+        "s_universe", "s_active", "s_inactive", "s_daily_only", "s_manual_only", "s_daily", "s_both",
+        "s_irregular", "s_few", "s_future", "s_error_ids", "s_valid", "s_assets",
+    ]
+    pick = """SELECT customer_asset_identifier FROM s_assets
+              ORDER BY md5('42:' || customer_asset_identifier), customer_asset_identifier LIMIT 1"""
+    return {
+        "screen_status": reasons("s_inactive", 1),
+        "screen_status_master": reasons("m_inactive", 1),
+        "screen_log": reasons("s_manual_only", 2),
+        "screen_irregular": reasons("s_irregular", 3),
+        "screen_gap": with_ctes("SELECT customer_asset_identifier FROM s_gap", "s_gap"),
+        "screen_volume": reasons("s_few", 4),
+        "screen_install": reasons("s_future", 5),
+        "error_log": with_ctes("SELECT * FROM s_errors", "s_errors"),
+        "error_log_master": with_ctes("SELECT * FROM m_errors", "m_errors"),
+        "valid_assets": with_ctes("SELECT customer_asset_identifier AS id FROM s_valid", "s_valid"),
+        "valid_assets_master": with_ctes(
+            """SELECT customer_asset_identifier AS id FROM s_assets
+               WHERE customer_asset_identifier NOT IN (SELECT customer_asset_identifier FROM m_errors)""",
+            "s_assets",
+            "m_errors",
+        ),
+        "screening_summary": with_ctes(summary, *all_names),
+        "reason_matrix": with_ctes(
+            f"""SELECT * FROM (SELECT a.customer_asset_identifier AS product_id, {flags} FROM s_assets a)
+                UNION ALL SELECT NULL, {sums} FROM (SELECT {flags} FROM s_assets a)""",
+            *all_names,
+        ),
+        "asset_spot_check": with_ctes(
+            f"""SELECT 'info' AS section, a.customer_asset_identifier, CAST(installed_date AS VARCHAR) AS detail, CAST(1 AS BIGINT) AS n
+                FROM s_assets a WHERE a.customer_asset_identifier IN ({pick})
+                UNION ALL
+                SELECT 'life event', customer_asset_identifier, life_event_description, count(*)
+                FROM s_life WHERE customer_asset_identifier IN ({pick}) GROUP BY ALL
+                UNION ALL
+                SELECT 'error', customer_asset_identifier, CAST(reason_id AS VARCHAR), count(*)
+                FROM s_errors WHERE customer_asset_identifier IN ({pick}) GROUP BY ALL""",
+            "s_assets",
+            "s_life",
+            "s_errors",
+        ),
+    }
+
+
+def reference_sql() -> dict[str, str]:
+    technician = """SELECT 1 AS customer_id, o.o_custkey AS customer_asset_identifier, a.serial_number AS asset_serial_number,
+            CAST(o.o_orderdate AS DATE) AS serial_order_date, CAST(1 + o.o_orderkey % 5 AS INTEGER) AS service_provider,
+            CASE WHEN l.l_quantity > 1 THEN CAST(l.l_suppkey AS INTEGER) END AS technician_id,
+            'Technician ' || l.l_suppkey AS technician_name, strftime(l.l_shipdate, '%Y-%m-%d') AS technician_arrival_date
+        FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
+        {join} JOIN assets a ON a.customer_asset_identifier = o.o_custkey"""
+    periodic = """SELECT a.serial_number AS asset_serial_number, w.customer_asset_identifier, 1 AS customer_id, w.date,
+            1 AS work_id, 'Daily notes' AS work_type, w.working_unit AS work_units
+        FROM (SELECT user_id AS customer_asset_identifier, CAST(ts AS DATE) AS date, CAST(trunc(value) AS BIGINT) AS working_unit FROM events) w
+        {join} JOIN assets a ON a.customer_asset_identifier = w.customer_asset_identifier"""
+    return {
+        "service_request_history": with_ctes(
+            """SELECT customer_asset_identifier, service_request_date, incident_category, status AS incident_status,
+                  1 AS customer_id, serial_number AS "Asset_serial_number", priority AS "Priority"
+               FROM requests""",
+            "requests",
+        ),
+        "asset_information": """
+            SELECT c_custkey AS customer_asset_identifier,
+                strftime(DATE '2023-12-20' + CAST(c_custkey % 45 AS INTEGER), '%Y-%m-%d') AS install_date,
+                c_mktsegment AS model_name, n_regionkey AS model_group_id, n_regionkey % 2 AS category_id,
+                n_nationkey % 4 AS type_id, 100 * (n_nationkey + 1) AS capacity,
+                'REF-' || c_nationkey AS attribute_reference, 1 AS customer_id,
+                'SN-' || c_custkey AS "Asset_serial_number", n_name AS location_name, c_name AS end_customer,
+                'PROVIDER_' || n_regionkey AS service_provider
+            FROM customer JOIN nation ON c_nationkey = n_nationkey""",
+        "error_code_feature_def": """
+            SELECT 1 AS customer_id, CAST(p_partkey AS INTEGER) AS code_id, p_size % 5 AS priority,
+                1 + p_size % 2 AS code_type, p_name AS description, p_brand AS machine_code,
+                CASE WHEN p_size > 25 THEN 1 ELSE 0 END AS include_in_priority_group
+            FROM part""",
+        "error_code_rows": with_ctes(
+            "SELECT partner_id, customer_asset_identifier, serial_number, date, code_id FROM events_all", "events_all"
+        ),
+        "asset_error_codes": with_ctes(
+            """SELECT 1 AS customer_id, customer_asset_identifier, max(serial_number) AS asset_serial_number, date,
+                  code_id, CAST(count(DISTINCT order_id) AS BIGINT) AS value
+               FROM events_all GROUP BY customer_asset_identifier, date, code_id""",
+            "events_all",
+        ),
+        "periodic_work_left": with_ctes(periodic.format(join="LEFT"), "assets"),
+        "periodic_work_inner": with_ctes(periodic.format(join="INNER"), "assets"),
+        "technician_history_left": with_ctes(technician.format(join="LEFT"), "assets"),
+        "technician_history_inner": with_ctes(technician.format(join="INNER"), "assets"),
+        "total_assets": "SELECT count(DISTINCT c_custkey) AS assets FROM customer",
+        "assets_with_work_count": """
+            SELECT count(DISTINCT user_id) AS assets FROM events WHERE user_id IN (SELECT c_custkey FROM customer)""",
+        "assets_with_log_status": with_ctes(
+            """SELECT count(DISTINCT customer_asset_identifier) AS assets FROM s_life
+               WHERE customer_asset_identifier IN (SELECT c_custkey FROM customer)
+                 AND life_event_code = 3 AND life_event_description IN ('Manually', 'Daily')""",
+            "s_life",
+        ),
+        "unknown_status": with_ctes(
+            "SELECT * FROM s_assets WHERE active_status NOT IN ('Active', 'Inactive')", "s_assets"
+        ),
+        "orders_without_activity": """
+            SELECT count(*) AS orders FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)""",
+        "work_coverage": with_ctes(
+            "SELECT min(date) AS first_date, max(date) AS last_date FROM work_rows", "work_rows"
+        ),
+    }
+
+
 def all_sql() -> dict[str, str]:
-    return {**facts_sql()}
+    return {**facts_sql(), **screening_sql(), **reference_sql()}

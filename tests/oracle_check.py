@@ -62,8 +62,8 @@ def compare(spark, name: str, query, sql: str | None, connection, sf_dir: str) -
     if got[0] != want[0]:
         return f"FAIL  {name}: columns {got[0]} != {want[0]}"
     if got[1] != want[1]:
-        left = [row for row in got[1] if row not in set(want[1])][:3]
-        right = [row for row in want[1] if row not in set(got[1])][:3]
+        left = sorted(set(got[1]) - set(want[1]), key=repr)[:3]
+        right = sorted(set(want[1]) - set(got[1]), key=repr)[:3]
         return f"FAIL  {name}: {len(got[1])} rows, want {len(want[1])}\n  only spark {left}\n  only sql   {right}"
     return f"ok    {name}: {len(got[1])} rows, spark {spent:.1f}s, sql {oracle:.1f}s"
 
