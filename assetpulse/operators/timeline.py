@@ -152,10 +152,19 @@ def asset_states(changes: DataFrame, settings: TimelineSettings) -> DataFrame:
     return states.filter(day >= F.col("start"))
 
 
-def expand_days(states: DataFrame) -> DataFrame:
-    """One row per asset and day, from each change day to the day before the next."""
-    days = F.sequence(F.col("day"), F.date_sub("next_day", 1))
-    return states.withColumn(DATE, F.explode(days))
+def expand_days(
+    states: DataFrame, first_date: dt.date | str | None = None, last_date: dt.date | str | None = None
+) -> DataFrame:
+    """One row per asset and day, from each change day to the day before the next.
+
+    A date range is applied to the change days, so that days outside it are never produced.
+    """
+    first, last = F.col("day"), F.date_sub("next_day", 1)
+    if first_date is not None:
+        first = F.greatest(first, as_date(first_date))
+    if last_date is not None:
+        last = F.least(last, as_date(last_date))
+    return states.filter(first <= last).withColumn(DATE, F.explode(F.sequence(first, last)))
 
 
 def fact_columns(

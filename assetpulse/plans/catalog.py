@@ -8,11 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from assetpulse.constants import ASSET, DATE
+from assetpulse.constants import ASSET, CRITICALITIES_SHORT, DATE, LISTED_CODES_SHORT
+from assetpulse.functions import at_most
+from assetpulse.operators import model, ranking
 from assetpulse.operators import reference_tables as ref
 from assetpulse.plans import daily_facts as facts
 from assetpulse.plans import screening
 from assetpulse.plans.bridge import AS_OF, SCREEN_AS_OF, TIE_BREAK, Bridge
+from assetpulse.session import materialize
 from assetpulse.sources import drop_any_null, valid_dates
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -171,5 +174,128 @@ REFERENCE_QUERIES: dict[str, Query] = {
 }
 
 
+TRAIN_END = "2001-04-30"
+TEST_START, TEST_END = "2001-05-01", "2001-05-30"
+MODEL_FIRST_DATE = "1998-01-01"
+
+
+def prepared_facts(bridge: Bridge) -> DataFrame:
+    facts_in_range = bridge_facts(bridge, first_date=MODEL_FIRST_DATE, last_date=TEST_END)
+    return model.prepare(
+        facts_in_range, bridge.security_map(), bridge.model_map(), TEST_END, first_date=MODEL_FIRST_DATE
+    )
+
+
+def ml_prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(prepared_facts(Bridge(spark, sf_dir)), "Avg_notes_in", "Avg_notes_in_last30")
+
+
+def time_split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bridge = Bridge(spark, sf_dir)
+    panel = facts.daily_work_panel(facts.FactSources(bridge.daily_work(), bridge.assets(), TIE_BREAK), AS_OF)
+    return model.split_counts(*model.time_split(panel, TRAIN_END))
+
+
+def scored_report(bridge: Bridge) -> DataFrame:
+    """Every test day's assets, with the time since failure as a plain score in place of a forest's."""
+    days = bridge_facts(bridge, "service_requests", first_date=TEST_START, last_date=TEST_END)
+    score = F.least(F.col("days_Since_failure") / F.lit(365.0), F.lit(1.0))
+    return days.select(
+        DATE, ASSET, "failure_event", "notes_in_last_pm", "day_to_failure", "days_Since_failure", score.alias("mdl_pred")
+    )
+
+
+def model_groups(bridge: Bridge) -> DataFrame:
+    return ranking.score_groups(scored_report(bridge), "mdl_pred", "failure_event")
+
+
+def baseline_groups(bridge: Bridge) -> DataFrame:
+    scored = ranking.baseline_score(scored_report(bridge))
+    return ranking.score_groups(scored, "pctl_bl", "failure_event")
+
+
+def baseline_score(bridge: Bridge) -> DataFrame:
+    scored = ranking.baseline_score(scored_report(bridge))
+    return rounded(scored.select(DATE, ASSET, "notes_in_last_pm", "pctl_bl"))
+
+
+def both_curves(curve: Callable[[DataFrame], DataFrame]) -> Query:
+    """A curve operator on the model score and on the baseline score."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        bridge = Bridge(spark, sf_dir)
+        on_model = curve(model_groups(bridge)).withColumn("curve", F.lit("model"))
+        on_baseline = curve(baseline_groups(bridge)).withColumn("curve", F.lit("baseline"))
+        return rounded(on_model.unionByName(on_baseline))
+
+    return run
+
+
+# Bands inside the value range of the test data.
+REPORT_MODEL_CUTOFFS = {"red": 0.74, "orange": 0.70, "yellow": 0.65}
+REPORT_BASELINE_CUTOFFS = {"red": 1300.0, "orange": 1000.0}
+
+
+def cutoff_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bridge = Bridge(spark, sf_dir)
+    report = scored_report(bridge)
+    on_model = ranking.cutoff_points(model_groups(bridge), report, "mdl_pred", REPORT_MODEL_CUTOFFS)
+    on_baseline = ranking.cutoff_points(
+        baseline_groups(bridge), report, "notes_in_last_pm", REPORT_BASELINE_CUTOFFS
+    )
+    parts = on_model.withColumn("curve", F.lit("model")), on_baseline.withColumn("curve", F.lit("baseline"))
+    return rounded(parts[0].unionByName(parts[1]))
+
+
+def classification_metrics(bridge: Bridge) -> DataFrame:
+    report = scored_report(bridge).withColumn("prediction", at_most(F.col("mdl_pred"), 0.5))
+    return rounded(model.results_table({"recent failure": model.evaluate(report)}))
+
+
+def regression_metrics(bridge: Bridge) -> DataFrame:
+    report = scored_report(bridge)
+    metrics = model.evaluate(report, "day_to_failure", "days_Since_failure", mode="regression")
+    return rounded(model.results_table({"time since failure": metrics}))
+
+
+def forest_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fits the forest on the training days and scores the test days. Fact rows are read by several passes,
+    so they are written once."""
+    run = model.run_model(materialize(prepared_facts(Bridge(spark, sf_dir))), TRAIN_END)
+    return run.predictions
+
+
+MODEL_QUERIES: dict[str, Query] = {
+    "ml_prepared": ml_prepared,
+    "time_split_counts": time_split_counts,
+    "baseline_score": bridge_query(baseline_score),
+    "precision_curve": both_curves(ranking.precision_curve),
+    "gain_curve": both_curves(ranking.gain_curve),
+    "curve_area": both_curves(ranking.curve_area),
+    "roc_auc": both_curves(ranking.roc_auc),
+    "cutoff_points": cutoff_points,
+    "reference_lines": bridge_query(lambda b: rounded(ranking.reference_lines(scored_report(b), "failure_event"))),
+    "classification_metrics": bridge_query(classification_metrics),
+    "regression_metrics": bridge_query(regression_metrics),
+    "forest_predictions": forest_predictions,
+}
+
+
+def operational_age(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bridge = Bridge(spark, sf_dir)
+    sources = facts.FactSources(bridge.daily_work(), bridge.assets(), TIE_BREAK)
+    panel = facts.daily_work_panel(sources, AS_OF).select(ASSET, DATE, "age")
+    return facts.operational_age(panel, bridge.assets(), bridge.operational_days())
+
+
+def row_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    settings = facts.FactSettings(criticalities=CRITICALITIES_SHORT, codes=LISTED_CODES_SHORT)
+    sources = fact_sources(Bridge(spark, sf_dir), "service_requests", "error_events")
+    return rounded(facts.row_change(facts.daily_facts(sources, AS_OF, settings)))
+
+
+FACT_QUERIES |= {"operational_age": operational_age, "row_change": row_change}
+
+
 def all_queries() -> dict[str, Query]:
-    return {**FACT_QUERIES, **SCREEN_QUERIES, **REFERENCE_QUERIES}
+    return {**FACT_QUERIES, **SCREEN_QUERIES, **REFERENCE_QUERIES, **MODEL_QUERIES}

@@ -37,7 +37,10 @@ SERVICE_COLUMNS = [
 
 @dataclass(frozen=True)
 class FactSettings:
-    """Options of the fact table; the defaults are the standard table."""
+    """Options of the fact table; the defaults are the standard table.
+
+    first_date and last_date limit the days returned, not the history they are computed from.
+    """
 
     window_days: int = 30
     horizon_days: int = 30
@@ -50,6 +53,8 @@ class FactSettings:
     exclude_listed_codes: bool = False
     failure_codes: Sequence[int] = field(default_factory=lambda: tuple(FAILURE_CODES))
     device_columns: str | None = "features"
+    first_date: dt.date | str | None = None
+    last_date: dt.date | str | None = None
 
     def __post_init__(self):
         if self.device_columns not in ("features", "master", None):
@@ -127,9 +132,8 @@ def daily_facts(sources: FactSources, as_of: dt.date | str, settings: FactSettin
     columns = tl.fact_columns(line, settings.horizon_days, settings.cap_days, settings.failure_label)
     for name in code_columns:
         names += [name, f"{name}_std"]
-    return tl.expand_days(states).select(
-        ASSET, DATE, *[columns[name].alias(name) for name in names], *device
-    )
+    days = tl.expand_days(states, settings.first_date, settings.last_date)
+    return days.select(ASSET, DATE, *[columns[name].alias(name) for name in names], *device)
 
 
 def daily_work_panel(sources: FactSources, as_of: dt.date | str, window_days: int = 30) -> DataFrame:

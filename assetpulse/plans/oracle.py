@@ -555,5 +555,179 @@ def reference_sql() -> dict[str, str]:
     }
 
 
+_CTES.update(
+    {
+        "report": (
+            ["labels_daily", "since_pm", "failure_past"],
+            f"""SELECT date, customer_asset_identifier, failure_event, notes_in_last_pm, day_to_failure, days_Since_failure,
+                  least(days_Since_failure / 365.0::DOUBLE, 1.0::DOUBLE) AS mdl_pred
+                FROM labels_daily JOIN since_pm USING ({KEY}) JOIN failure_past USING ({KEY})
+                WHERE date > {TRAIN_END} AND date <= {TEST_END}""",
+        ),
+        # Mean rank of ties: rows below plus half of the equal rows and a half.
+        "ranked": (
+            ["report"],
+            """SELECT a.date, a.customer_asset_identifier,
+                  count(*) FILTER (WHERE b.notes_in_last_pm < a.notes_in_last_pm)
+                  + (count(*) FILTER (WHERE b.notes_in_last_pm = a.notes_in_last_pm) + 1) / 2.0::DOUBLE AS rnk
+               FROM report a JOIN report b ON a.date = b.date GROUP BY 1, 2""",
+        ),
+        "baseline": (
+            ["ranked", "report"],
+            f"""SELECT r.*, rnk / (SELECT max(rnk) FROM ranked) AS pctl_bl FROM report r JOIN ranked USING ({KEY})""",
+        ),
+        "items": (
+            ["baseline"],
+            """SELECT 'model' AS curve, date, mdl_pred AS score, failure_event AS label FROM baseline
+               UNION ALL SELECT 'baseline', date, pctl_bl, failure_event FROM baseline""",
+        ),
+        "curve_points": (
+            ["items"],
+            """SELECT curve, date, score, label, row_number() OVER w AS k,
+                  sum(label) OVER (PARTITION BY curve, date ORDER BY score DESC, label DESC ROWS UNBOUNDED PRECEDING) AS hits,
+                  count(*) OVER (PARTITION BY curve, date) AS n_all, sum(label) OVER (PARTITION BY curve, date) AS pos_all
+               FROM items WINDOW w AS (PARTITION BY curve, date ORDER BY score DESC, label DESC)""",
+        ),
+    }
+)
+
+def model_sql() -> dict[str, str]:
+    code_fill = ", ".join(
+        f"{name}, round(coalesce({name}_std, 0), 6) AS {name}_std" for name in CODE_CONDITIONS
+    )
+    metrics = """SELECT round(coalesce(CAST(tp AS DOUBLE) / nullif(tp + fn, 0), 0), 6) AS recall,
+              round(coalesce(CAST(tp AS DOUBLE) / nullif(tp + fp, 0), 0), 6) AS precision,
+              round(CAST(tp + tn AS DOUBLE) / (tn + fp + fn + tp), 6) AS accuracy,
+              fp + 2 * fn - tp AS "costMatrix", '{model}' AS "Modelname"
+            FROM (SELECT count(*) FILTER (WHERE NOT y AND NOT p) AS tn, count(*) FILTER (WHERE NOT y AND p) AS fp,
+                         count(*) FILTER (WHERE y AND NOT p) AS fn, count(*) FILTER (WHERE y AND p) AS tp
+                  FROM (SELECT {truth} AS y, {guess} AS p FROM report))"""
+    bands = [
+        ("model", "red", 0.74, "mdl_pred"),
+        ("model", "orange", 0.70, "mdl_pred"),
+        ("model", "yellow", 0.65, "mdl_pred"),
+        ("baseline", "red", 1300.0, "notes_in_last_pm"),
+        ("baseline", "orange", 1000.0, "notes_in_last_pm"),
+    ]
+    percentiles = " UNION ALL ".join(
+        f"""SELECT '{curve}' AS curve, date, '{band}' AS band, {cut}::DOUBLE AS cutoff,
+              (count(*) FILTER (WHERE {column} < {cut}) + count(*) FILTER (WHERE {column} <= {cut})
+               + CASE WHEN count(*) FILTER (WHERE {column} = {cut}) > 0 THEN 1 ELSE 0 END) * 50.0::DOUBLE / count(*) AS percentile
+            FROM report GROUP BY date"""
+        for curve, band, cut, column in bands
+    )
+    return {
+        "ml_prepared": with_ctes(
+            f"""SELECT {KEY}, notes_in, notes_in_last30, age,
+                  coalesce(CASE WHEN age <> 0 THEN CAST(notes_in AS DOUBLE) / age END, 0) AS Avg_notes_in,
+                  CAST(notes_in_last30 AS DOUBLE) / 30 AS Avg_notes_in_last30, notes_in_last_pm, last_pm_date,
+                  numIncidents, days_Since_failure, failure_event, coalesce(firmwareHistory, 0) AS firmwareHistory,
+                  {code_fill}, n.n_nationkey + 1 AS model_name, model_group_id, category_id, type_id, capacity,
+                  CASE WHEN n.n_nationkey % 3 < 2 THEN n.n_nationkey % 3 + 1 ELSE 0 END AS security_type
+                {_FACT_JOIN} JOIN features f USING (product_identifier) JOIN nation n ON n.n_name = f.model_name
+                WHERE date BETWEEN DATE '1998-01-01' AND {TEST_END}""",
+            *_FACT_PARTS,
+            "features",
+        ),
+        "time_split_counts": with_ctes(
+            f"""SELECT 'train' AS part, count(*) AS rows FROM spine WHERE date <= {TRAIN_END}
+                UNION ALL SELECT 'test', count(*) FROM spine WHERE date > {TRAIN_END} AND date <= {TEST_END}""",
+            "spine",
+        ),
+        "baseline_score": with_ctes(
+            f"SELECT {KEY}, notes_in_last_pm, round(pctl_bl, 6) AS pctl_bl FROM baseline", "baseline"
+        ),
+        "precision_curve": with_ctes(
+            """SELECT curve, date, k, round(CAST(hits AS DOUBLE) / k, 6) AS precision,
+                  round(CAST(pos_all AS DOUBLE) / n_all, 6) AS base_rate
+               FROM curve_points WHERE k <= 100""",
+            "curve_points",
+        ),
+        "gain_curve": with_ctes(
+            """SELECT curve, date, k, round(CAST(k - 1 AS DOUBLE) / n_all, 6) AS x,
+                  round(CAST(hits AS DOUBLE) / nullif(pos_all, 0), 6) AS y
+               FROM curve_points""",
+            "curve_points",
+        ),
+        "curve_area": with_ctes(
+            """SELECT curve, date, round(sum((y + before) / 2 * (x - x_before)), 6) AS area,
+                  round(sum((y + before) / 2 * (x - x_before)) - 0.5, 6) AS area_over_random
+               FROM (SELECT curve, date, x, y, lag(x) OVER w AS x_before, lag(y) OVER w AS before
+                     FROM (SELECT curve, date, k, CAST(k - 1 AS DOUBLE) / n_all AS x,
+                                  CAST(hits AS DOUBLE) / nullif(pos_all, 0) AS y FROM curve_points)
+                     WINDOW w AS (PARTITION BY curve, date ORDER BY k))
+               GROUP BY curve, date""",
+            "curve_points",
+        ),
+        "roc_auc": with_ctes(
+            """SELECT curve, date, round(avg(won), 6) AS roc_auc
+               FROM (SELECT i.curve, i.date,
+                        CASE WHEN h.label = 1 AND i.label = 0 THEN
+                          CASE WHEN h.score > i.score THEN 1.0 WHEN h.score = i.score THEN 0.5 ELSE 0.0 END END AS won
+                     FROM items h JOIN items i ON h.curve = i.curve AND h.date = i.date)
+               GROUP BY curve, date""",
+            "items",
+        ),
+        "cutoff_points": with_ctes(
+            f"""SELECT curve, date, band, cutoff, round(percentile, 6) AS percentile,
+                  round((n - 1) * (100 - percentile) / 100 / n, 6) AS x,
+                  round(ys[lo] + (ys[hi] - ys[lo]) * ((n - 1) * (100 - percentile) / 100 - (lo - 1)), 6) AS y
+                FROM (SELECT *, CAST(floor((n - 1) * (100 - percentile) / 100) AS BIGINT) + 1 AS lo,
+                        CAST(ceil((n - 1) * (100 - percentile) / 100) AS BIGINT) + 1 AS hi
+                      FROM ({percentiles}) JOIN (
+                        SELECT curve, date, max(n_all) AS n,
+                          list(CAST(hits AS DOUBLE) / nullif(pos_all, 0) ORDER BY k) AS ys
+                        FROM curve_points GROUP BY curve, date) USING (curve, date))""",
+            "curve_points",
+            "report",
+        ),
+        "reference_lines": with_ctes(
+            """SELECT date, line, position, round(x, 6) AS x, y FROM (
+                 SELECT date, 'ideal' AS line, 1 AS position, 0.0::DOUBLE AS x, 0.0::DOUBLE AS y FROM report GROUP BY date
+                 UNION ALL SELECT date, 'ideal', 2, avg(failure_event), 1.0 FROM report GROUP BY date
+                 UNION ALL SELECT date, 'ideal', 3, 1.0, 1.0 FROM report GROUP BY date
+                 UNION ALL SELECT date, 'random', 1, 0.0, 0.0 FROM report GROUP BY date
+                 UNION ALL SELECT date, 'random', 2, 1.0, 1.0 FROM report GROUP BY date)""",
+            "report",
+        ),
+        "classification_metrics": with_ctes(
+            metrics.format(model="recent failure", truth="failure_event = 1", guess="mdl_pred <= 0.5"), "report"
+        ),
+        "regression_metrics": with_ctes(
+            metrics.format(model="time since failure", truth="day_to_failure <= 30", guess="days_Since_failure <= 30"),
+            "report",
+        ),
+    }
+
+
+_CHANGE = ["age", "last_pm_date", "notes_in", "notes_in_last_pm"]
+_CHANGE_CODES = ["CodeType_1_criticality_1", "CodeType_1_criticality_2", *[f"Code_{c}" for c in (160, 177, 12, 74, 64, 182)]]
+
+
+def option_sql() -> dict[str, str]:
+    names = [*_CHANGE, *_CHANGE_CODES, *[f"{name}_std" for name in _CHANGE_CODES]]
+    squares = " + ".join(f"coalesce(pow({name} - lag({name}) OVER w, 2), 0)" for name in names)
+    return {
+        "operational_age": with_ctes(
+            """SELECT s.customer_asset_identifier, s.date, s.date - s.installed_date AS age, (
+                  SELECT count(*) FROM generate_series(0, s.date - s.installed_date) AS d(i)
+                  WHERE (s.customer_asset_identifier + dayofweek(s.installed_date + CAST(i AS INTEGER))) % 3 <> 0
+                    AND (s.customer_asset_identifier + dayofweek(s.installed_date + CAST(i AS INTEGER))) % 5 <> 0) AS operational_age
+               FROM spine s""",
+            "spine",
+        ),
+        "row_change": with_ctes(
+            f"""SELECT {KEY}, round(distance, 6) AS distance, CAST(distance >= 0.05 AS INTEGER) AS changed
+                FROM (SELECT {KEY}, CASE WHEN lag(age) OVER w IS NOT NULL THEN sqrt({squares}) END AS distance
+                      FROM work_sums JOIN since_pm USING ({KEY}) JOIN pm_days USING ({KEY}) JOIN code_rolling USING ({KEY})
+                      WINDOW w AS (PARTITION BY customer_asset_identifier ORDER BY date))""",
+            "work_sums",
+            "since_pm",
+            "pm_days",
+            "code_rolling",
+        ),
+    }
+
+
 def all_sql() -> dict[str, str]:
-    return {**facts_sql(), **screening_sql(), **reference_sql()}
+    return {**facts_sql(), **option_sql(), **screening_sql(), **reference_sql(), **model_sql()}
