@@ -146,10 +146,40 @@ def asset_states(changes: DataFrame, settings: TimelineSettings) -> DataFrame:
     states = marked.withColumns(columns)
     # Work up to the day before the latest maintenance in the fact range; the maintenance day opens a new count.
     before_pm = F.when((F.col("pm") > 0) & (day >= F.col("start")), F.col("work_total") - F.col("work"))
-    states = states.withColumn(
-        "work_before_pm", F.coalesce(F.last(before_pm, ignorenulls=True).over(so_far), F.lit(0))
-    )
-    return states.filter(day >= F.col("start"))
+    states = states.withColumn("work_before_pm", F.last(before_pm, ignorenulls=True).over(so_far))
+    return states.filter(day >= F.col("start")).select(*_state_columns(settings))
+
+
+def _state_columns(settings: TimelineSettings) -> list[Column]:
+    """What expanded rows need. Anything that holds for the whole span is computed here, once per change day."""
+    n = settings.window_days
+    columns = [
+        F.col(ASSET),
+        F.col("install"),
+        F.col("day"),
+        F.col("next_day"),
+        F.date_add("start", n - 1).alias("full_window_from"),
+        F.col("work"),
+        F.col("work_total"),
+        (F.col("work_total") - F.coalesce("work_before_pm", F.lit(0))).alias("work_since_pm"),
+        F.col("roll_work"),
+        F.coalesce("last_pm_day", "install").alias("pm_anchor"),
+        F.coalesce("last_failure_day", "install").alias("failure_anchor"),
+        F.col("incidents"),
+        F.coalesce("failure_day", "later_failure_day").alias("next_failure_day"),
+        F.col("later_failure_day"),
+        F.coalesce("code_failure_day", "later_code_failure_day").alias("next_code_failure_day"),
+        F.col("later_code_failure_day"),
+        F.coalesce(F.col("firmware_now.firmware"), F.col("later_firmware")).alias("firmware_in_force"),
+    ]
+    if settings.product:
+        columns.append(F.col("product"))
+    for name in settings.code_columns:
+        total, squares = F.col(f"roll_{name}"), F.col(f"roll2_{name}")
+        # Sample deviation from exact integer sums.
+        spread = F.sqrt((squares * n - total * total).cast("double") / F.lit(float(n * (n - 1))))
+        columns += [total, spread.alias(f"spread_{name}")]
+    return columns
 
 
 def expand_days(
@@ -178,12 +208,10 @@ def fact_columns(
         raise ValueError("failure_label is 'requests' or 'error_codes'")
     today = F.col(DATE)
     on_change_day = today == F.col("day")
-    n = settings.window_days
+    age = F.datediff(today, F.col("install"))
 
     def days_to(kind: str) -> Column:
-        following = F.when(on_change_day & F.col(f"{kind}_day").isNotNull(), today).otherwise(
-            F.col(f"later_{kind}_day")
-        )
+        following = F.when(on_change_day, F.col(f"next_{kind}_day")).otherwise(F.col(f"later_{kind}_day"))
         return F.datediff(following, today)
 
     label = days_to("failure" if failure_label == "requests" else "code_failure")
@@ -191,22 +219,19 @@ def fact_columns(
         "working_unit": F.when(on_change_day, F.col("work")).otherwise(F.lit(0)),
         "notes_in": F.col("work_total"),
         "notes_in_last30": F.col("roll_work"),
-        "notes_in_last_pm": F.col("work_total") - F.col("work_before_pm"),
-        "last_pm_date": F.datediff(today, F.coalesce("last_pm_day", "install")),
-        "age": F.datediff(today, F.col("install")),
-        "firmwareHistory": F.coalesce(F.col("firmware_now.firmware"), F.col("later_firmware")),
+        "notes_in_last_pm": F.col("work_since_pm"),
+        "last_pm_date": F.datediff(today, F.col("pm_anchor")),
+        "age": age,
+        "firmwareHistory": F.col("firmware_in_force"),
         "failure_event": F.coalesce((label <= horizon_days).cast("int"), F.lit(0)),
         "day_to_failure": F.least(F.coalesce(days_to("failure"), F.lit(cap_days)), F.lit(cap_days)),
         "numIncidents": F.col("incidents"),
-        "days_Since_failure": F.datediff(today, F.coalesce("last_failure_day", "install")),
-        "Avg_notes_in": ratio(F.col("work_total"), F.datediff(today, F.col("install"))),
-        "Avg_notes_in_last30": ratio(F.col("roll_work"), F.lit(n)),
+        "days_Since_failure": F.datediff(today, F.col("failure_anchor")),
+        "Avg_notes_in": ratio(F.col("work_total"), age),
+        "Avg_notes_in_last30": ratio(F.col("roll_work"), F.lit(settings.window_days)),
     }
-    full_window = F.datediff(today, F.col("start")) >= n - 1
+    # The deviation is null until the window is full.
     for name in settings.code_columns:
-        total, squares = F.col(f"roll_{name}"), F.col(f"roll2_{name}")
-        # Sample variance from exact integer sums; null until the window is full.
-        spread = F.sqrt((squares * n - total * total).cast("double") / F.lit(float(n * (n - 1))))
-        columns[name] = total
-        columns[f"{name}_std"] = F.when(full_window, spread)
+        columns[name] = F.col(f"roll_{name}")
+        columns[f"{name}_std"] = F.when(today >= F.col("full_window_from"), F.col(f"spread_{name}"))
     return columns
