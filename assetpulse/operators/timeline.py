@@ -20,7 +20,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assetpulse.constants import ASSET, DATE
@@ -60,16 +60,13 @@ def stack_signals(signals: Sequence[DataFrame], settings: TimelineSettings) -> D
 
 def with_bounds(stacked: DataFrame, settings: TimelineSettings) -> DataFrame:
     """Adds install and start (first day of the asset's facts); assets without either are dropped."""
-    whole = Window.partitionBy(ASSET)
-    bounds = {
-        "install": F.min("installed").over(whole),
-        "first_work": F.min(F.when(F.col("has_work"), F.col("day"))).over(whole),
-    }
+    whole = f"OVER (PARTITION BY {ASSET})"
+    bounds = [f"min(installed) {whole} AS install", f"min(CASE WHEN has_work THEN day END) {whole} AS first_work"]
     if settings.product:
-        bounds["product"] = F.max("product_identifier").over(whole)
+        bounds.append(f"max(product_identifier) {whole} AS product")
     return (
-        stacked.withColumns(bounds)
-        .filter(F.col("install").isNotNull() & F.col("first_work").isNotNull())
+        stacked.selectExpr("*", *bounds)
+        .filter("install IS NOT NULL AND first_work IS NOT NULL")
         .withColumn("start", F.greatest("install", "first_work"))
         .filter(F.col("start") <= as_date(settings.as_of))
     )
@@ -78,107 +75,100 @@ def with_bounds(stacked: DataFrame, settings: TimelineSettings) -> DataFrame:
 def change_days(bounded: DataFrame, settings: TimelineSettings) -> DataFrame:
     """One row per asset and change day, with what enters and leaves on it."""
     rolling = ["work", *settings.code_columns]
-    live = F.col("day") >= F.col("start")
-    anything = reduce(lambda left, right: left | right, [F.coalesce(F.col(name), F.lit(0)) != 0 for name in rolling])
-    leaves = live & anything & (F.date_add("day", settings.window_days) <= as_date(settings.as_of))
-    signed = bounded.withColumn(
-        "sign", F.explode(F.when(leaves, F.array(F.lit(1), F.lit(-1))).otherwise(F.array(F.lit(1))))
+    anything = " OR ".join(f"coalesce({name}, 0) != 0" for name in rolling)
+    later = f"date_add(day, {settings.window_days})"
+    leaves = f"day >= start AND ({anything}) AND {later} <= last_day"
+    signed = bounded.withColumn("last_day", as_date(settings.as_of)).selectExpr(
+        "*", f"explode(CASE WHEN {leaves} THEN array(1, -1) ELSE array(1) END) AS sign"
     )
-    entering = F.col("sign") == 1
-    # Requests before install and work or codes before start do not count.
-    after_install = F.col("day") >= F.col("install")
-
-    def total(name: str, condition: Column) -> Column:
-        return F.coalesce(F.sum(F.when(condition, F.col(name))), F.lit(0)).alias(name)
-
-    sums = [total("work", entering & live)]
-    sums += [total(name, entering & after_install) for name in ("pm", "failure", "code_failure")]
-    for name in rolling:
-        signed_value = F.when(live, F.col("sign") * F.col(name))
-        sums.append(F.coalesce(F.sum(signed_value), F.lit(0)).alias(f"in_{name}"))
-    for name in settings.code_columns:
-        signed_square = F.when(live, F.col("sign") * F.col(name) * F.col(name))
-        sums.append(F.coalesce(F.sum(signed_square), F.lit(0)).alias(f"in2_{name}"))
-    sums.append(F.max(F.when(entering, F.col("firmware"))).alias("firmware"))
-    sums.append(F.coalesce(F.max(F.when(entering, F.col("has_firmware"))), F.lit(False)).alias("has_firmware"))
-
-    change_day = F.when(entering, F.col("day")).otherwise(F.date_add("day", settings.window_days))
+    # Work and codes before start do not count, nor do requests before install.
+    sums = ["coalesce(sum(CASE WHEN sign = 1 AND day >= start THEN work END), 0) AS work"]
+    sums += [
+        f"coalesce(sum(CASE WHEN sign = 1 AND day >= install THEN {name} END), 0) AS {name}"
+        for name in ("pm", "failure", "code_failure")
+    ]
+    sums += [f"coalesce(sum(CASE WHEN day >= start THEN sign * {name} END), 0) AS in_{name}" for name in rolling]
+    sums += [
+        f"coalesce(sum(CASE WHEN day >= start THEN sign * {name} * {name} END), 0) AS in2_{name}"
+        for name in settings.code_columns
+    ]
+    sums += [
+        "max(CASE WHEN sign = 1 THEN firmware END) AS firmware",
+        "coalesce(max(CASE WHEN sign = 1 THEN has_firmware END), false) AS has_firmware",
+    ]
     keys = [ASSET, "install", "start"] + (["product"] if settings.product else [])
-    return signed.withColumn("day", change_day).groupBy(*keys, "day").agg(*sums)
-
-
-def next_value(column: str) -> Column:
-    """Nearest non-null value on a later row, read by a forward-moving pointer instead of a growing frame."""
-    return F.expr(f"lead({column}, 1) IGNORE NULLS OVER (PARTITION BY {ASSET} ORDER BY day)")
+    effective = signed.withColumn("day", F.expr(f"CASE WHEN sign = 1 THEN day ELSE {later} END"))
+    return effective.groupBy(*keys, "day").agg(*[F.expr(total) for total in sums])
 
 
 def asset_states(changes: DataFrame, settings: TimelineSettings) -> DataFrame:
-    """State that holds from each change day up to the day before next_day."""
-    ordered = Window.partitionBy(ASSET).orderBy("day")
-    so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    day = F.col("day")
-    counted_pm = F.col("pm") > 0
-    if settings.pm_scope == "from_start":
-        counted_pm = counted_pm & (day >= F.col("start"))
-    marked = changes.withColumns(
-        {
-            "pm_day": F.when(counted_pm, day),
-            "failure_day": F.when(F.col("failure") > 0, day),
-            "code_failure_day": F.when((F.col("code_failure") > 0) & (day >= F.col("start")), day),
-            "firmware_set": F.when(F.col("has_firmware"), F.struct("firmware")),
-        }
+    """State that holds from each change day up to the day before next_day.
+
+    The nearest later event is read with lead(...) IGNORE NULLS, a pointer that only moves forward; a
+    frame to the end of the partition would be read again for every row.
+    """
+    window = f"PARTITION BY {ASSET} ORDER BY day"
+    so_far = f"OVER ({window} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    counted_pm = "pm > 0 AND day >= start" if settings.pm_scope == "from_start" else "pm > 0"
+    marked = changes.selectExpr(
+        "*",
+        f"CASE WHEN {counted_pm} THEN day END AS pm_day",
+        "CASE WHEN failure > 0 THEN day END AS failure_day",
+        "CASE WHEN code_failure > 0 AND day >= start THEN day END AS code_failure_day",
+        "CASE WHEN has_firmware THEN struct(firmware) END AS firmware_set",
     )
-    columns = {
-        "next_day": F.coalesce(F.lead("day").over(ordered), F.date_add(as_date(settings.as_of), 1)),
-        "work_total": F.sum("work").over(so_far),
-        "last_pm_day": F.max("pm_day").over(so_far),
-        "last_failure_day": F.max("failure_day").over(so_far),
-        "incidents": F.sum("failure").over(so_far),
-        "later_failure_day": next_value("failure_day"),
-        "later_code_failure_day": next_value("code_failure_day"),
-        "firmware_now": F.last("firmware_set", ignorenulls=True).over(so_far),
-        "later_firmware": next_value("firmware"),
-    }
-    for name in ["work", *settings.code_columns]:
-        columns[f"roll_{name}"] = F.sum(f"in_{name}").over(so_far)
-    for name in settings.code_columns:
-        columns[f"roll2_{name}"] = F.sum(f"in2_{name}").over(so_far)
-    states = marked.withColumns(columns)
+    columns = [
+        f"lead(day) OVER ({window}) AS following_day",
+        f"sum(work) {so_far} AS work_total",
+        f"max(pm_day) {so_far} AS last_pm_day",
+        f"max(failure_day) {so_far} AS last_failure_day",
+        f"sum(failure) {so_far} AS incidents",
+        f"last(firmware_set, true) {so_far} AS firmware_now",
+    ]
+    columns += [
+        f"lead({column}, 1) IGNORE NULLS OVER ({window}) AS later_{column}"
+        for column in ("failure_day", "code_failure_day", "firmware")
+    ]
+    columns += [f"sum(in_{name}) {so_far} AS roll_{name}" for name in ["work", *settings.code_columns]]
+    columns += [f"sum(in2_{name}) {so_far} AS roll2_{name}" for name in settings.code_columns]
     # Work up to the day before the latest maintenance in the fact range; the maintenance day opens a new count.
-    before_pm = F.when((F.col("pm") > 0) & (day >= F.col("start")), F.col("work_total") - F.col("work"))
-    states = states.withColumn("work_before_pm", F.last(before_pm, ignorenulls=True).over(so_far))
-    return states.filter(day >= F.col("start")).select(*_state_columns(settings))
+    before_pm = f"last(CASE WHEN pm > 0 AND day >= start THEN work_total - work END, true) {so_far} AS work_before_pm"
+    states = marked.selectExpr("*", *columns).selectExpr("*", before_pm)
+    return (
+        states.filter("day >= start")
+        .withColumn("next_day", F.coalesce("following_day", F.date_add(as_date(settings.as_of), 1)))
+        .selectExpr(*_state_columns(settings))
+    )
 
 
-def _state_columns(settings: TimelineSettings) -> list[Column]:
+def _state_columns(settings: TimelineSettings) -> list[str]:
     """What expanded rows need. Anything that holds for the whole span is computed here, once per change day."""
     n = settings.window_days
     columns = [
-        F.col(ASSET),
-        F.col("install"),
-        F.col("day"),
-        F.col("next_day"),
-        F.date_add("start", n - 1).alias("full_window_from"),
-        F.col("work"),
-        F.col("work_total"),
-        (F.col("work_total") - F.coalesce("work_before_pm", F.lit(0))).alias("work_since_pm"),
-        F.col("roll_work"),
-        F.coalesce("last_pm_day", "install").alias("pm_anchor"),
-        F.coalesce("last_failure_day", "install").alias("failure_anchor"),
-        F.col("incidents"),
-        F.coalesce("failure_day", "later_failure_day").alias("next_failure_day"),
-        F.col("later_failure_day"),
-        F.coalesce("code_failure_day", "later_code_failure_day").alias("next_code_failure_day"),
-        F.col("later_code_failure_day"),
-        F.coalesce(F.col("firmware_now.firmware"), F.col("later_firmware")).alias("firmware_in_force"),
+        ASSET,
+        "install",
+        "day",
+        "next_day",
+        f"date_add(start, {n - 1}) AS full_window_from",
+        "work",
+        "work_total",
+        "work_total - coalesce(work_before_pm, 0) AS work_since_pm",
+        "roll_work",
+        "coalesce(last_pm_day, install) AS pm_anchor",
+        "coalesce(last_failure_day, install) AS failure_anchor",
+        "incidents",
+        "coalesce(failure_day, later_failure_day) AS next_failure_day",
+        "later_failure_day",
+        "coalesce(code_failure_day, later_code_failure_day) AS next_code_failure_day",
+        "later_code_failure_day",
+        "coalesce(firmware_now.firmware, later_firmware) AS firmware_in_force",
     ]
     if settings.product:
-        columns.append(F.col("product"))
+        columns.append("product")
     for name in settings.code_columns:
-        total, squares = F.col(f"roll_{name}"), F.col(f"roll2_{name}")
         # Sample deviation from exact integer sums.
-        spread = F.sqrt((squares * n - total * total).cast("double") / F.lit(float(n * (n - 1))))
-        columns += [total, spread.alias(f"spread_{name}")]
+        squared = f"CAST(roll2_{name} * {n} - roll_{name} * roll_{name} AS DOUBLE)"
+        columns += [f"roll_{name}", f"sqrt({squared} / {float(n * (n - 1))}D) AS spread_{name}"]
     return columns
 
 
@@ -233,5 +223,5 @@ def fact_columns(
     # The deviation is null until the window is full.
     for name in settings.code_columns:
         columns[name] = F.col(f"roll_{name}")
-        columns[f"{name}_std"] = F.when(today >= F.col("full_window_from"), F.col(f"spread_{name}"))
+        columns[f"{name}_std"] = F.expr(f"CASE WHEN {DATE} >= full_window_from THEN spread_{name} END")
     return columns
