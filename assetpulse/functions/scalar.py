@@ -30,7 +30,7 @@ def as_date(value: dt.date | str) -> Column:
 
 def parse_date(text: Column) -> Column:
     """Date from text or timestamp; unparseable text gives null instead of an ANSI error."""
-    return F.try_to_timestamp(text.cast("string")).cast("date")
+    return text.cast("string").try_cast("timestamp_ntz").cast("date")
 
 
 def date_label(day: Column, pattern: str = "yyyy-MM-dd") -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from assetpulse.constants import ASSET, CRITICALITIES_SHORT, DATE, LISTED_CODES_SHORT
+from assetpulse.constants import ASSET, CRITICALITIES_SHORT, DATE, LISTED_CODES_SHORT, MODEL_CUTOFFS
 from assetpulse.functions import at_most
 from assetpulse.operators import model, ranking
 from assetpulse.operators import reference_tables as ref
@@ -233,13 +233,12 @@ def both_curves(curve: Callable[[DataFrame], DataFrame]) -> Query:
 
 
 # Bands inside the value range of the test data.
-REPORT_MODEL_CUTOFFS = {"red": 0.74, "orange": 0.70, "yellow": 0.65}
 REPORT_BASELINE_CUTOFFS = {"red": 1300.0, "orange": 1000.0}
 
 
 def cutoff_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     report = materialize(scored_report(Bridge(spark, sf_dir)))
-    on_model = ranking.cutoff_points(model_groups(report), report, "mdl_pred", REPORT_MODEL_CUTOFFS)
+    on_model = ranking.cutoff_points(model_groups(report), report, "mdl_pred", MODEL_CUTOFFS)
     on_baseline = ranking.cutoff_points(
         baseline_groups(report), report, "notes_in_last_pm", REPORT_BASELINE_CUTOFFS
     )

@@ -20,6 +20,7 @@ from assetpulse.constants import (
 from assetpulse.functions import as_date
 from assetpulse.operators.joins import restrict_to
 
+# Column names of the reason matrix.
 MATRIX_FLAGS = [
     "daily_notes_present",
     "selected_for_ML",

@@ -39,10 +39,10 @@ def drop_any_null(df: DataFrame) -> DataFrame:
 
 
 def valid_dates(df: DataFrame, column: str) -> DataFrame:
-    """Drop null and zero dates and parse the rest to a timestamp; filtering comes before parsing."""
+    """Drop null and zero dates and parse the rest, without any time zone; filtering comes before parsing."""
     text = F.col(column).cast("string")
     kept = df.filter(text.isNotNull() & ~text.contains(ZERO_DATE))
-    return kept.withColumn(column, F.try_to_timestamp(text).cast("timestamp_ntz"))
+    return kept.withColumn(column, text.try_cast("timestamp_ntz"))
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
