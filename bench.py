@@ -25,12 +25,8 @@ HEADLINES = [
     "reason_matrix",
     "asset_error_codes",
     "technician_history_left",
-    "periodic_work_left",
     "orders_without_activity",
-    "ml_prepared",
     "precision_curve",
-    "gain_curve",
-    "roc_auc",
 ]
 
 
