@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -25,17 +23,12 @@ def build_session(app_name: str = "assetpulse", master: str | None = None, **con
 
 
 def use_checkpoint_dir(spark: SparkSession) -> None:
-    """Point checkpoints at the shared folder in spark.checkpoint.dir; only local mode may fall back to a temp folder."""
+    """Point checkpoints at the shared folder in spark.checkpoint.dir; where it is unset, at one under the warehouse, which is shared too."""
     context = spark.sparkContext
     if context.getCheckpointDir():
         return
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        context.setCheckpointDir(shared)
-    elif context.master.startswith("local"):
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="assetpulse-checkpoint-"))
-    else:
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+    context.setCheckpointDir(shared or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints")
 
 
 def materialize(df: DataFrame) -> DataFrame:
