@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
-from assetpulse.llm import exact_dedup, mixing, packing, quality, simhash
+from assetpulse.llm import exact_dedup, licenses, mixing, packing, preferences, quality, secrets, simhash
 
 
 def all_queries() -> dict:
     return {
+        "op1_secrets": secrets.op1_secrets,
         "op2_pack": packing.op2_pack,
         "op3_exact_dedup": exact_dedup.op3_exact_dedup,
         "op4_mix": mixing.op4_mix,
         "op5_quality": quality.op5_quality,
+        "op7_licenses": licenses.op7_licenses,
         "op8_simhash": simhash.op8_simhash,
+        "op10_preferences": preferences.op10_preferences,
     }
 
 
 def all_sql() -> dict[str, str]:
-    return {"op3_exact_dedup": exact_dedup.SQL}
+    return {"op3_exact_dedup": exact_dedup.SQL, "op7_licenses": licenses.sql()}
