@@ -80,7 +80,7 @@ d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
 l AS (SELECT doc_id, string_split(t, chr(10)) AS ls, t FROM d),
 u AS (SELECT doc_id, -1 AS unit, t AS u FROM l UNION ALL SELECT doc_id, unnest(range(len(ls))) AS unit, unnest(ls) AS u FROM l),
 w AS (SELECT doc_id, unit, regexp_extract_all(u, '[a-z0-9]+') AS w FROM u),
-b AS (SELECT doc_id, unit, list_distinct(list_transform(range(1, len(w)), i -> w[i] || ' ' || w[i + 1])) AS b FROM w WHERE len(w) > 1),
+b AS (SELECT doc_id, unit, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS b FROM w WHERE len(w) > 1),
 s AS (SELECT doc_id, unit, license, 2.0::DOUBLE * len(list_intersect(b, tb)) / (len(b) + len(tb)) AS dice FROM b, tpl WHERE len(b) <= 2 * len(tb) AND len(tb) <= 2 * len(b))
 SELECT doc_id, cast(unit AS int) AS unit, license, dice FROM s WHERE dice >= {least}
 """

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from assetpulse.llm import exact_dedup, licenses, mixing, packing, preferences, quality, secrets, simhash
+from assetpulse.llm import exact_dedup, licenses, mixing, packing, preferences, quality, secrets, simhash, vectors, warc
 
 
 def all_queries() -> dict:
@@ -12,8 +12,10 @@ def all_queries() -> dict:
         "op3_exact_dedup": exact_dedup.op3_exact_dedup,
         "op4_mix": mixing.op4_mix,
         "op5_quality": quality.op5_quality,
+        "op6_warc": warc.op6_warc,
         "op7_licenses": licenses.op7_licenses,
         "op8_simhash": simhash.op8_simhash,
+        "op9_vectors": vectors.op9_vectors,
         "op10_preferences": preferences.op10_preferences,
     }
 
