@@ -21,7 +21,7 @@ def format_preferences(turns: DataFrame) -> DataFrame:
     pairs = clean.groupBy("pair_id").agg(*[F.sort_array(F.expr(f"collect_list(t) FILTER (WHERE side = '{s}')")).alias(f"_{s}") for s in ("chosen", "rejected")])
     short = "least(size(_chosen), size(_rejected))"
     differ = "NOT (_chosen[i].role = _rejected[i].role AND _chosen[i].text = _rejected[i].text)"
-    pairs = pairs.selectExpr("*", f"CASE WHEN {short} = 0 THEN 0 ELSE coalesce(filter(sequence(0, {short} - 1), i -> {differ})[0], {short}) END AS n")
+    pairs = pairs.selectExpr("*", f"CASE WHEN {short} = 0 THEN 0 ELSE coalesce(get(filter(sequence(0, {short} - 1), i -> {differ}), 0), {short}) END AS n")
     join = lambda e: f"array_join(transform({e}, x -> {RENDER.format('x')}), '')"
     pairs = pairs.selectExpr("pair_id", "n", f"{join('slice(_chosen, 1, n)')} AS prompt", *[f"slice(_{s}, n + 1, greatest(size(_{s}) - n, 0)) AS _{s}" for s in ("chosen", "rejected")])
 

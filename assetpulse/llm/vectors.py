@@ -19,7 +19,7 @@ class Graph:
     """Hierarchical small-world graph over unit vectors, built and searched for many rows at a time.
 
     A node is on level l with probability 8**-l. Its links on a level are up to half of width neighbours chosen apart from
-    each other (each nearer to the node than to those chosen before) and else the nearest, kept both ways."""
+    each other (each nearer to the node than to those chosen before) and else the nearest; links back have no limit."""
 
     def __init__(self, x: np.ndarray, width: int = 16, beam: int = 48) -> None:
         self.x, self.width = x, width
@@ -28,18 +28,18 @@ class Graph:
         self.layers = []
         for at in range(int(level.max()), -1, -1):
             nodes = np.flatnonzero(level >= at)
-            links = np.full((len(x), width), -1)
-            self.layers.append(links)
+            self.layers.append(np.full((len(x), width), -1))
             done = 1
             while done < len(nodes):
                 batch = nodes[done : done + min(done, 256)]
                 ids, sims = self.search(x[batch], min(beam, done), nodes[0], len(self.layers))
-                self.join(links, batch, ids, sims)
+                self.join(batch, ids, sims)
                 done += len(batch)
             self.entry = nodes[0]
         self.entry = np.flatnonzero(level == level.max())[0]
 
-    def join(self, links: np.ndarray, rows: np.ndarray, ids: np.ndarray, sims: np.ndarray) -> None:
+    def join(self, rows: np.ndarray, ids: np.ndarray, sims: np.ndarray) -> None:
+        links = self.layers[-1]
         near = self.x[np.maximum(ids, 0)]
         cross = np.einsum("qcd,qed->qce", near, near)
         taken = np.zeros(ids.shape, bool)
@@ -52,13 +52,10 @@ class Graph:
         for row, own in zip(rows, best, strict=True):
             for other in own[own >= 0]:
                 free = np.flatnonzero(links[other] < 0)
-                if len(free):
-                    links[other, free[0]] = row
-                else:  # the last half holds the nearest
-                    half = links[other, self.width // 2 :]
-                    worst = int((self.x[half] @ self.x[other]).argmin())
-                    if self.x[row] @ self.x[other] > self.x[half[worst]] @ self.x[other]:
-                        half[worst] = row
+                if not len(free):  # a link back is never dropped: without one a node may be out of reach
+                    links = self.layers[-1] = np.concatenate([links, np.full(links.shape, -1)], axis=1)
+                    free = [links.shape[1] // 2]
+                links[other, free[0]] = row
 
     def search(self, q: np.ndarray, beam: int, entry: int | None = None, layers: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(ids, cosines) of the beam, best first; -1 where it is not full."""

@@ -104,7 +104,7 @@ def read_archives(spark, folder: str, range_bytes: int = 8 << 20) -> DataFrame:
             for path, start in zip(b["path"], b["start"], strict=True):
                 out = []
                 for r in records(path, int(start)):
-                    out.append({**r, "headers": list(r["headers"].items())})
+                    out.append(r)
                     if len(out) >= 256:
                         yield pd.DataFrame(out)
                         out = []
