@@ -9,7 +9,11 @@ import __spark_entry__ as registered
 
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables absent")
-QUERIES, SQL = registered.queries(), registered.oracle_sql()
+from assetpulse.plans.catalog import all_queries  # noqa: E402
+from assetpulse.plans.oracle import all_sql  # noqa: E402
+
+#: The optional operators have tests of their own.
+QUERIES, SQL = all_queries(), all_sql()
 ROWS_ONLY = {"forest_predictions"}
 
 
