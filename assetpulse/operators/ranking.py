@@ -10,46 +10,49 @@ Items are ordered by score, best first; among equal scores failures come first.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from assetpulse.constants import DATE
 from assetpulse.functions import ratio
-from assetpulse.session import materialize
 
-RANGE_ROWS = 1_000_000  # distinct scores one task may order
+SCORE_RANGES = 4096  # ranges on either side of zero
 CHUNK_ROWS = 1_000_000  # curve points one task may emit
 
 
-def score_groups(scored: DataFrame, score: str, label: str, range_rows: int = RANGE_ROWS) -> DataFrame:
+def score_range(score: Column, ranges: int = SCORE_RANGES) -> Column:
+    """Range of a score, by a fixed rising function of its value: sign * (1 - 1 / (1 + |score| ** 0.25)), cut evenly.
+
+    Subtraction, division and square roots are correctly rounded, so a larger score never falls into a lower range. The
+    roots spread probabilities and counts of any size over many ranges; no statistics of the data are needed."""
+    root = F.sqrt(F.sqrt(F.abs(score)))
+    return F.floor(F.signum(score) * (1 - 1 / (1 + root)) * ranges)
+
+
+def score_groups(
+    scored: DataFrame, score: str, label: str, ranges: int = SCORE_RANGES, by: Sequence[str] = (DATE,)
+) -> DataFrame:
     """One row per (date, score): rows n and failures pos at the score, n_before and pos_before at better
-    scores, and the date's totals n_all and pos_all. Rows without score are left out.
+    scores, and the date's totals n_all and pos_all. Rows whose score is null or NaN are left out.
 
-    The grouped table is checkpointed, since it is counted and cut into ranges before it is ordered.
+    by: the columns that stand for a date, e.g. with the name of a curve. Results don't depend on ranges.
     """
-    grouped = materialize(
-        scored.filter(F.col(score).isNotNull())
-        .groupBy(DATE, F.col(score).cast("double").alias("score"))
+    by, value = list(by), F.col(score).cast("double")
+    grouped = (
+        scored.filter(value.isNotNull() & ~F.isnan(value))
+        .groupBy(*by, value.alias("score"))
         .agg(F.count("*").alias("n"), F.sum(F.col(label).cast("long")).alias("pos"))
     )
-    ranges = math.ceil(grouped.count() / range_rows)
-    if ranges <= 1:
-        ranged = grouped.withColumn("range", F.lit(0.0))
-    else:
-        cuts = grouped.approxQuantile("score", [i / ranges for i in range(1, ranges)], 0.1 / ranges)
-        splits = [-math.inf, *sorted(set(cuts)), math.inf]
-        ranged = Bucketizer(splits=splits, inputCol="score", outputCol="range").transform(grouped)
-
-    # One row per date and range; the number of ranges is fixed by the splits above.
-    totals = ranged.groupBy(DATE, "range").agg(F.sum("n").alias("range_n"), F.sum("pos").alias("range_pos"))
-    by_date = Window.partitionBy(DATE)
+    ranged = grouped.withColumn("range", score_range(F.col("score"), ranges))
+
+    # At most twice as many rows per date as there are ranges.
+    totals = ranged.groupBy(*by, "range").agg(F.sum("n").alias("range_n"), F.sum("pos").alias("range_pos"))
+    by_date = Window.partitionBy(*by)
     better_ranges = by_date.orderBy(F.desc("range")).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
-        DATE,
+        *by,
         "range",
         F.coalesce(F.sum("range_n").over(better_ranges), F.lit(0)).alias("range_n_before"),
         F.coalesce(F.sum("range_pos").over(better_ranges), F.lit(0)).alias("range_pos_before"),
@@ -57,7 +60,7 @@ def score_groups(scored: DataFrame, score: str, label: str, range_rows: int = RA
         F.sum("range_pos").over(by_date).alias("pos_all"),
     )
     better = (
-        Window.partitionBy(DATE, "range")
+        Window.partitionBy(*by, "range")
         .orderBy(F.desc("score"))
         .rowsBetween(Window.unboundedPreceding, -1)
     )
@@ -67,8 +70,8 @@ def score_groups(scored: DataFrame, score: str, label: str, range_rows: int = RA
             "pos_inside": F.coalesce(F.sum("pos").over(better), F.lit(0)),
         }
     )
-    return inside.join(offsets, [DATE, "range"]).select(
-        DATE,
+    return inside.join(offsets, [*by, "range"]).select(
+        *by,
         "score",
         "n",
         "pos",
@@ -84,41 +87,41 @@ def captured(position: Column) -> Column:
     return F.col("pos_before") + F.least(position - F.col("n_before"), F.col("pos"))
 
 
-def _positions(groups: DataFrame, last: Column, chunk_rows: int) -> DataFrame:
+def _positions(groups: DataFrame, last: Column, chunk_rows: int, by: Sequence[str]) -> DataFrame:
     """One row per item position of each group, up to last. Long groups are cut into chunks and spread."""
     first = F.col("n_before") + 1
     chunks = groups.withColumn("chunk", F.explode(F.sequence(first, last, F.lit(chunk_rows).cast("long"))))
     partitions = int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = chunks.repartition(partitions, DATE, "chunk")
+    spread = chunks.repartition(partitions, *by, "chunk")
     chunk_end = F.least(F.col("chunk") + chunk_rows - 1, last)
     return spread.withColumn("k", F.explode(F.sequence("chunk", chunk_end))).drop("chunk")
 
 
-def precision_curve(groups: DataFrame, top: int = 100) -> DataFrame:
+def precision_curve(groups: DataFrame, top: int = 100, by: Sequence[str] = (DATE,)) -> DataFrame:
     """Precision among the k best items, for k up to top, with the base rate of the date."""
     wanted = groups.filter(F.col("n_before") < top)
     last = F.least(F.col("n_before") + F.col("n"), F.lit(top).cast("long"))
-    points = _positions(wanted, last, CHUNK_ROWS)
+    points = _positions(wanted, last, CHUNK_ROWS, by)
     return points.select(
-        DATE,
+        *by,
         "k",
         ratio(captured(F.col("k")), F.col("k")).alias("precision"),
         ratio(F.col("pos_all"), F.col("n_all")).alias("base_rate"),
     )
 
 
-def gain_curve(groups: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+def gain_curve(groups: DataFrame, chunk_rows: int = CHUNK_ROWS, by: Sequence[str] = (DATE,)) -> DataFrame:
     """For each item: share of items before it (x) and share of all failures up to and with it (y)."""
-    points = _positions(groups, F.col("n_before") + F.col("n"), chunk_rows)
+    points = _positions(groups, F.col("n_before") + F.col("n"), chunk_rows, by)
     return points.select(
-        DATE,
+        *by,
         "k",
         ratio(F.col("k") - 1, F.col("n_all")).alias("x"),
         ratio(captured(F.col("k")), F.col("pos_all")).alias("y"),
     )
 
 
-def curve_area(groups: DataFrame) -> DataFrame:
+def curve_area(groups: DataFrame, by: Sequence[str] = (DATE,)) -> DataFrame:
     """Trapezoid area under the gain curve, and the same less 0.5.
 
     The sum of captured failures over the items of one score group has a closed form, so the points
@@ -127,7 +130,7 @@ def curve_area(groups: DataFrame) -> DataFrame:
     n, pos, before = F.col("n").cast("double"), F.col("pos").cast("double"), F.col("pos_before").cast("double")
     group_sum = before * n + pos * (pos + 1) / 2 + (n - pos) * pos
     first = F.when(F.col("n_before") == 0, F.least(F.col("pos"), F.lit(1)))
-    sums = groups.groupBy(DATE).agg(
+    sums = groups.groupBy(*by).agg(
         F.sum(group_sum).alias("total"),
         F.max(first).alias("first"),
         F.max("n_all").alias("n_all"),
@@ -135,19 +138,19 @@ def curve_area(groups: DataFrame) -> DataFrame:
     )
     inner = F.col("total") - (F.col("first") + F.col("pos_all")) / F.lit(2.0)
     area = ratio(inner, F.col("n_all").cast("double") * F.col("pos_all"))
-    return sums.select(DATE, area.alias("area"), (area - 0.5).alias("area_over_random"))
+    return sums.select(*by, area.alias("area"), (area - 0.5).alias("area_over_random"))
 
 
-def roc_auc(groups: DataFrame) -> DataFrame:
+def roc_auc(groups: DataFrame, by: Sequence[str] = (DATE,)) -> DataFrame:
     """Share of (failure, non-failure) pairs ordered right, ties counting half; from the rank sums."""
     worse = (F.col("n_all") - F.col("pos_all")) - (F.col("n_before") - F.col("pos_before")) - (F.col("n") - F.col("pos"))
     same = F.col("n") - F.col("pos")
     won = F.col("pos").cast("double") * (worse + same / F.lit(2.0))
-    sums = groups.groupBy(DATE).agg(
+    sums = groups.groupBy(*by).agg(
         F.sum(won).alias("won"), F.max("n_all").alias("n_all"), F.max("pos_all").alias("pos_all")
     )
     pairs = F.col("pos_all").cast("double") * (F.col("n_all") - F.col("pos_all"))
-    return sums.select(DATE, ratio(F.col("won"), pairs).alias("roc_auc"))
+    return sums.select(*by, ratio(F.col("won"), pairs).alias("roc_auc"))
 
 
 def cutoff_points(groups: DataFrame, report: DataFrame, value: str, cutoffs: Mapping[str, float]) -> DataFrame:

@@ -48,10 +48,9 @@ class Bridge:
         )
 
     def daily_work(self) -> DataFrame:
-        """Work collection begins on 1996-01-01, so requests and firmware can precede an asset's first work."""
         return (
             self.table("lineitem")
-            .filter("l_returnflag = 'N' AND l_shipdate >= TIMESTAMP_NTZ'1996-01-01 00:00:00'")
+            .filter("l_returnflag = 'N'")
             .selectExpr(
                 "l_suppkey AS customer_asset_identifier",
                 "CAST(l_shipdate AS DATE) AS date",

@@ -27,8 +27,8 @@ def rounded(df: DataFrame, *exact: str, places: int = 6) -> DataFrame:
     for field in df.schema.fields:
         value = f"`{field.name}`"
         if isinstance(field.dataType, T.DoubleType) and field.name not in exact:
-            # Plain arithmetic; the decimal arithmetic of round() costs more than the queries themselves.
-            value = f"floor({value} * 1e{places}D + 0.5D) / 1e{places}D AS {value}"
+            # Plain arithmetic; the decimal arithmetic of round() costs more than the queries. NaN and infinity stay.
+            value = f"if(abs({value}) < 1e12D, floor({value} * 1e{places}D + 0.5D) / 1e{places}D, {value}) AS {value}"
         columns.append(value)
     return df.selectExpr(*columns)
 
@@ -211,23 +211,29 @@ def model_groups(report: DataFrame) -> DataFrame:
 
 
 def baseline_groups(report: DataFrame) -> DataFrame:
-    return ranking.score_groups(ranking.baseline_score(report), "pctl_bl", "failure_event")
+    """The baseline score rises strictly with this value within a date, so both give the same curves."""
+    return ranking.score_groups(report, "notes_in_last_pm", "failure_event")
 
 
 def baseline_score(bridge: Bridge) -> DataFrame:
-    scored = ranking.baseline_score(materialize(scored_report(bridge)))
+    scored = ranking.baseline_score(scored_report(bridge))
     return rounded(scored.select(DATE, ASSET, "notes_in_last_pm", "pctl_bl"))
 
 
-def both_curves(curve: Callable[[DataFrame], DataFrame]) -> Query:
-    """A curve operator on the model score and on the baseline score. The report is read by both, so it is
-    computed once."""
+CURVE = ("curve", DATE)
+
+
+def both_curves(curve: Callable[..., DataFrame], **options) -> Query:
+    """A curve operator on the model score and on the baseline value, stacked: one pass over the report, one grouping."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        report = materialize(scored_report(Bridge(spark, sf_dir)))
-        on_model = curve(model_groups(report)).withColumn("curve", F.lit("model"))
-        on_baseline = curve(baseline_groups(report)).withColumn("curve", F.lit("baseline"))
-        return rounded(on_model.unionByName(on_baseline))
+        scores = F.array(
+            F.struct(F.lit("model").alias("curve"), F.col("mdl_pred").alias("score")),
+            F.struct(F.lit("baseline").alias("curve"), F.col("notes_in_last_pm").cast("double").alias("score")),
+        )
+        report = scored_report(Bridge(spark, sf_dir)).select(DATE, "failure_event", F.inline(scores))
+        groups = ranking.score_groups(report, "score", "failure_event", by=CURVE)
+        return rounded(curve(groups, by=CURVE, **options))
 
     return run
 
@@ -237,7 +243,7 @@ REPORT_BASELINE_CUTOFFS = {"red": 1300.0, "orange": 1000.0}
 
 
 def cutoff_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    report = materialize(scored_report(Bridge(spark, sf_dir)))
+    report = scored_report(Bridge(spark, sf_dir))
     on_model = ranking.cutoff_points(model_groups(report), report, "mdl_pred", MODEL_CUTOFFS)
     on_baseline = ranking.cutoff_points(
         baseline_groups(report), report, "notes_in_last_pm", REPORT_BASELINE_CUTOFFS
@@ -269,6 +275,7 @@ MODEL_QUERIES: dict[str, Query] = {
     "time_split_counts": time_split_counts,
     "baseline_score": bridge_query(baseline_score),
     "precision_curve": both_curves(ranking.precision_curve),
+    "precision_curve_top10": both_curves(ranking.precision_curve, top=10),
     "gain_curve": both_curves(ranking.gain_curve),
     "curve_area": both_curves(ranking.curve_area),
     "roc_auc": both_curves(ranking.roc_auc),

@@ -28,7 +28,7 @@ _CTES: dict[str, tuple[list[str], str]] = {
         [],
         f"""SELECT l_suppkey AS customer_asset_identifier, CAST(l_shipdate AS DATE) AS date,
                   CAST(l_quantity AS BIGINT) AS working_unit, {TIE}
-           FROM lineitem WHERE l_returnflag = 'N' AND l_shipdate >= TIMESTAMP '1996-01-01'""",
+           FROM lineitem WHERE l_returnflag = 'N'""",
     ),
     "daily_work": (
         ["work_rows"],
@@ -643,6 +643,12 @@ def model_sql() -> dict[str, str]:
                FROM curve_points WHERE k <= 100""",
             "curve_points",
         ),
+        "precision_curve_top10": with_ctes(
+            """SELECT curve, date, k, round(CAST(hits AS DOUBLE) / k, 6) AS precision,
+                  round(CAST(pos_all AS DOUBLE) / n_all, 6) AS base_rate
+               FROM curve_points WHERE k <= 10""",
+            "curve_points",
+        ),
         "gain_curve": with_ctes(
             """SELECT curve, date, k, round(CAST(k - 1 AS DOUBLE) / n_all, 6) AS x,
                   round(CAST(hits AS DOUBLE) / nullif(pos_all, 0), 6) AS y

@@ -70,7 +70,7 @@ _LONG, _INT = T.LongType(), T.IntegerType()
 SERVICE_REQUEST_HISTORY = _sink(
     (ASSET, _LONG),
     ("service_request_date", 10),
-    ("incident_category", 20),
+    ("incident_category", 30),  # the longest fixed category has 28 characters
     ("incident_status", 10),
     ("customer_id", _INT),
     ("Asset_serial_number", 15),

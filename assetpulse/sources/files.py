@@ -23,13 +23,21 @@ __all__ = [
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV with a header line, read with a declared schema; columns are matched by position."""
-    return spark.read.schema(schema).option("header", True).csv(path)
+    """CSV with a header line; the declared columns are found by name, others are ignored, a missing one is an error.
 
+    Only the header is looked at first; every column is text until it is cast. Text that is not of the
+    declared type fails the job."""
+    text = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    missing = [field.name for field in schema.fields if field.name not in text.columns]
+    if missing:
+        raise ValueError(f"{path} lacks the columns {missing}")
+    return text.select(*[F.col(f"`{field.name}`").cast(field.dataType).alias(field.name) for field in schema.fields])
 
-def read_id_list(spark: SparkSession, path: str) -> DataFrame:
-    """One-column id list, with or without a header line: lines that are no number are dropped."""
-    lines = spark.read.schema("id STRING").csv(path)
+
+def read_id_list(spark: SparkSession, path: str, header: bool) -> DataFrame:
+    """One-column id list. With header, the first line of each file is its name, even if that is a number such as 0;
+    other lines that are no number are dropped."""
+    lines = spark.read.schema("id STRING").option("header", header).option("enforceSchema", True).csv(path)
     return lines.select(F.expr("try_cast(trim(id) AS BIGINT)").alias("id")).dropna()
 
 

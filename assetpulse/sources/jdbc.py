@@ -67,20 +67,27 @@ def extract_tables(
     return counts
 
 
-def _checked(field: T.StructField) -> Column:
+def _checked(field: T.StructField, widths: str) -> Column:
     value = F.col(field.name).cast(field.dataType)
     if not field.nullable:
         value = F.coalesce(value, F.raise_error(f"null in not-null column {field.name}").cast(field.dataType))
     limit = (field.metadata or {}).get("max_length")
-    if limit:
+    if limit and widths == "truncate":
+        value = F.substring(value, 1, limit)
+    elif limit and widths == "fail":
         too_long = F.raise_error(f"value longer than {limit} in column {field.name}").cast("string")
         value = F.when(F.length(value) > limit, too_long).otherwise(value)
     return value.alias(field.name)
 
 
-def checked_for_sink(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Cast to the declared columns; a null or an overlong string fails the job, in the writing pass itself."""
-    return df.select(*[_checked(field) for field in schema.fields])
+def checked_for_sink(df: DataFrame, schema: T.StructType, widths: str = "fail") -> DataFrame:
+    """Cast to the declared columns; a null fails the job, in the writing pass itself.
+
+    widths says what becomes of a string over its declared length: fail, truncate, or widen (it is passed on as it
+    is, for a table with wider columns)."""
+    if widths not in ("fail", "truncate", "widen"):
+        raise ValueError(f"unknown width policy {widths!r}")
+    return df.select(*[_checked(field, widths) for field in schema.fields])
 
 
 def append_table(
@@ -89,10 +96,13 @@ def append_table(
     options: Mapping[str, str],
     table: str,
     writers: int | None = None,
+    widths: str = "fail",
 ) -> None:
-    """Append each row once, in insert batches; writers bounds the number of open connections."""
-    checked = checked_for_sink(df, schema)
+    """Append each row once, in insert batches; writers bounds the number of open connections.
+
+    Rows are dealt to the writers by a shuffle, so that the stages before keep all their tasks."""
+    checked = checked_for_sink(df, schema, widths)
     if writers:
-        checked = checked.coalesce(writers)
+        checked = checked.repartition(writers)
     merged = {"batchsize": str(BATCH_ROWS), **options, "dbtable": table}
     checked.write.format("jdbc").options(**merged).mode("append").save()

@@ -34,11 +34,11 @@ def expected_curves(rows, date):
     return out, len(items), hits
 
 
-@pytest.mark.parametrize("range_rows", [1_000_000, 7])
-def test_curves_against_sorted_lists(spark, range_rows):
-    """With 7 distinct scores per range the many-range path runs; results must not change."""
+@pytest.mark.parametrize("ranges", [1, 7, ranking.SCORE_RANGES])
+def test_curves_against_sorted_lists(spark, ranges):
+    """Results don't depend on the number of ranges."""
     rows = random_rows(5)
-    groups = ranking.score_groups(report(spark, rows), "mdl_pred", "failure_event", range_rows=range_rows).cache()
+    groups = ranking.score_groups(report(spark, rows), "mdl_pred", "failure_event", ranges=ranges).cache()
     gain = {(r["date"], r["k"]): r for r in ranking.gain_curve(groups, chunk_rows=9).collect()}
     precision = {(r["date"], r["k"]): r for r in ranking.precision_curve(groups).collect()}
     areas = {r["date"]: r for r in ranking.curve_area(groups).collect()}
@@ -69,6 +69,16 @@ def test_ties_put_failures_first(spark):
     assert got == [1.0, 1.0, pytest.approx(2 / 3), 0.5]
 
 
+@pytest.mark.parametrize("ranges", [1, 5, ranking.SCORE_RANGES])
+def test_nan_and_null_scores_are_left_out(spark, ranges):
+    rows = [(d("2020-01-01"), a, s, int(s > 0), 1) for a, s in enumerate([-2.5, -0.5, 0.0, 0.3, 7.0, 1e300, -1e300])]
+    odd = [(d("2020-01-01"), 90, float("nan"), 1, 1), (d("2020-01-01"), 91, None, 1, 1)]
+    infinite = [(d("2020-01-01"), 92, float("inf"), 1, 1), (d("2020-01-01"), 93, float("-inf"), 0, 1)]
+    groups = ranking.score_groups(report(spark, rows + odd + infinite), "mdl_pred", "failure_event", ranges)
+    assert [r["score"] for r in groups.orderBy("n_before").collect()] == sorted([r[2] for r in rows + infinite], reverse=True)
+    assert ranking.roc_auc(groups).first()["roc_auc"] == 1.0
+
+
 def test_no_failures_gives_null_not_error(spark):
     rows = [(d("2020-01-01"), a, a / 4, 0, 1) for a in range(4)]
     groups = ranking.score_groups(report(spark, rows), "mdl_pred", "failure_event")

@@ -6,6 +6,7 @@ from pyspark.errors import SparkRuntimeException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from assetpulse.constants import NON_FAILURE_CATEGORIES
 from assetpulse import functions as fn
 from assetpulse import schemas, sources
 from assetpulse.operators import joins
@@ -19,10 +20,20 @@ def test_csv_and_id_list(spark, tmp_path):
     assert [tuple(row) for row in df.collect()] == [(1, d("2020-01-01"), 5), (2, d("2020-01-02"), None)]
     assert [tuple(row) for row in sources.drop_any_null(df).collect()] == [(1, d("2020-01-01"), 5)]
     listed = tmp_path / "ids.csv"
-    listed.write_text("id\n7\n 9 \n")
-    assert sorted(row.id for row in sources.read_id_list(spark, str(listed)).collect()) == [7, 9]
-    listed.write_text("7\n9\n")
-    assert sorted(row.id for row in sources.read_id_list(spark, str(listed)).collect()) == [7, 9]
+    for header, text in ((True, "0\n7\n 9 \n"), (True, "id\n7\nx\n9\n"), (False, "7\n9\n")):
+        listed.write_text(text)
+        assert sorted(row.id for row in sources.read_id_list(spark, str(listed), header).collect()) == [7, 9]
+
+
+def test_csv_by_name(spark, tmp_path):
+    """More columns, in another order; the row id comes first."""
+    source = tmp_path / "work.csv"
+    source.write_text("id,partner,customer_asset_identifier,date,working_unit\n1,4,76,2020-01-01,5\n")
+    df = sources.read_csv(spark, str(source), schemas.DAILY_WORK)
+    assert [tuple(row) for row in df.collect()] == [(76, d("2020-01-01"), 5)]
+    source.write_text("id,date,working_unit\n1,2020-01-01,5\n")
+    with pytest.raises(ValueError, match="customer_asset_identifier"):
+        sources.read_csv(spark, str(source), schemas.DAILY_WORK)
 
 
 def test_written_files(spark, tmp_path):
@@ -56,6 +67,20 @@ def test_sink_checks(spark):
             sources.checked_for_sink(spark.createDataFrame([bad], "id int, text string"), schema).collect()
 
 
+def test_width_policies(spark):
+    schema = T.StructType([T.StructField("text", T.StringType(), False, {"max_length": 3})])
+    df = spark.createDataFrame([("abcd",)], "text string")
+    assert sources.checked_for_sink(df, schema, "truncate").first()["text"] == "abc"
+    assert sources.checked_for_sink(df, schema, "widen").first()["text"] == "abcd"
+    with pytest.raises(ValueError):
+        sources.checked_for_sink(df, schema, "cut")
+
+
+def test_fixed_categories_fit_their_sink(spark):
+    limit = {f.name: f.metadata.get("max_length") for f in schemas.SERVICE_REQUEST_HISTORY.fields}["incident_category"]
+    assert max(map(len, NON_FAILURE_CATEGORIES)) <= limit
+
+
 def test_jdbc_options():
     partition = {"partitionColumn": "id", "lowerBound": 1, "upperBound": 9, "numPartitions": 4}
     options = sources.jdbc_read_options({"url": "jdbc:x"}, "t", partition)
