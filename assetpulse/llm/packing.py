@@ -13,37 +13,87 @@ from assetpulse.llm.common import table
 from assetpulse.session import materialize
 
 
-def pieces_of(docs: DataFrame, tokenizer: str, max_tokens: int = 4096, end_id: int = 1, with_ids: bool = True) -> DataFrame:
-    """One row per piece: doc_id, piece, start, length, ids_crc32 and, if asked, ids. Null text is empty: the end id alone.
+class WordIds:
+    """Token ids of texts, as little-endian bytes. Tokens of this vocabulary never span white space, so each distinct word
+    is encoded once per task and looked up afterwards; at most about limit words are held.
 
-    Tokens of this vocabulary never span white space, so each distinct word is encoded once and looked up afterwards.
-    """
+    The vocabulary is lower case and takes marks apart from letters: texts of Latin-1 letters are lower-cased whole, and a
+    word that ends in marks is put together from the part before, where that ends in a letter or digit, and the marks."""
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    MARKS, BETWEEN = ".,;:!?$&%*#|", "`"
+
+    def __init__(self, tokenizer: str, limit: int = 1_000_000) -> None:
         import os
-        import zlib
 
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        model, known, end = Tokenizer.from_file(tokenizer), {}, np.array([end_id], "<u4").tobytes()
+        self.model, self.limit, self.known = Tokenizer.from_file(tokenizer), limit, {}
+        (self.between,) = self.model.encode(self.BETWEEN, add_special_tokens=False).ids
+
+    @staticmethod
+    def split(text: str | None) -> list[str]:
+        text = (text or "").replace("\n", " ").replace("\t", " ")
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:  # lower-casing of other letters is left to the tokenizer
+            return text.split(" ")
+        return text.lower().split(" ")
+
+    def learn(self, words: set[str]) -> None:
+        cores, parts = set(), []
+        for word in words:
+            core = word.rstrip(self.MARKS)
+            if len(core) < len(word) and core and core[-1].isalnum():
+                tail = word[len(core) :]
+                parts.append((word, core, tail))
+                cores.add(core)
+                cores.add(tail)
+            else:
+                cores.add(word)
+        new = [w for w in cores if w not in self.known]
+        plain = [w for w in new if self.BETWEEN not in w]
+        for low in range(0, len(plain), 4096):  # one call for many words, with a mark of one token between them
+            some = plain[low : low + 4096]
+            joined = f" {self.BETWEEN} ".join(some)
+            ids = np.array(self.model.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.append(np.flatnonzero(ids == self.between), len(ids)) * 4
+            data, at = ids.tobytes(), 0
+            for word, end in zip(some, ends.tolist(), strict=True):
+                self.known[word] = data[at:end]
+                at = end + 4
+        for word in set(new).difference(plain):
+            self.known[word] = np.array(self.model.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+        for word, core, tail in parts:
+            self.known[word] = self.known[core] + self.known[tail]
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        words = list(map(self.split, texts))
+        needed = set().union(*words)
+        if len(self.known) > self.limit:
+            self.known.clear()
+        self.learn(needed.difference(self.known))
+        get = self.known.__getitem__
+        return [b"".join(map(get, own)) for own in words]
+
+
+def pieces_of(docs: DataFrame, tokenizer: str, max_tokens: int = 4096, end_id: int = 1, with_ids: bool = True) -> DataFrame:
+    """One row per piece: doc_id, piece, start, length, ids_crc32 and, if asked, ids. Null text is empty: the end id alone."""
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import zlib
+
+        words, end = WordIds(tokenizer), np.array([end_id], "<u4").tobytes()
+        names = ["doc_id", "piece", "start", "length", "ids_crc32", *["ids"] * with_ids]
         for batch in batches:
-            out = []
-            for low in range(0, len(batch), 64):
-                part = batch.iloc[low : low + 64]
-                words = [(t or "").replace("\n", " ").replace("\t", " ").split(" ") for t in part["text"]]
-                if len(known) > 300_000:
-                    known.clear()
-                new = list(set().union(*words).difference(known))
-                for word, code in zip(new, model.encode_batch_fast(new, add_special_tokens=False), strict=True):
-                    known[word] = np.array(code.ids, "<u4").tobytes()
-                for doc, own in zip(part["doc_id"], words, strict=True):
-                    data = b"".join(map(known.__getitem__, own)) + end
+            docs_, texts, out = batch["doc_id"].tolist(), batch["text"].tolist(), []
+            for low in range(0, len(texts), 256):
+                for doc, data in zip(docs_[low : low + 256], words.encode(texts[low : low + 256]), strict=True):
+                    data += end
                     for n, at in enumerate(range(0, len(data), 4 * max_tokens)):
                         ids = data[at : at + 4 * max_tokens]
                         row = (doc, n, at // 4, len(ids) // 4, zlib.crc32(ids))
                         out.append((*row, np.frombuffer(ids, "<u4").astype("int64")) if with_ids else row)
-            names = ["doc_id", "piece", "start", "length", "ids_crc32", *["ids"] * with_ids]
             frame = pd.DataFrame(out, columns=names)
             frame["doc_id"] = frame["doc_id"].astype("Int64")
             yield frame
