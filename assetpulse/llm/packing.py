@@ -108,21 +108,25 @@ def place(lengths: np.ndarray, capacity: tuple[float, float, float], weights: tu
     A piece takes (tokens, one document, tokens squared); a bin admits it only if all three capacities hold. Rule norm:
     least weighted norm of what is left; dot: largest weighted product of residual and demand.
     """
-    cap, w = np.array(capacity, float), np.array(weights, float)
     bins, offsets = np.zeros(len(lengths), "int64"), np.zeros(len(lengths), "int64")
-    used, made = np.zeros((len(lengths), 3)), 0
+    left, made = [np.zeros(len(lengths)) for _ in capacity], 0
     for i in np.argsort(-lengths, kind="stable"):
-        need = np.array([lengths[i], 1.0, float(lengths[i]) ** 2])
-        left = (cap - used[:made] - need) / cap
-        fits = np.flatnonzero((left >= 0).all(axis=1))
+        need = (float(lengths[i]), 1.0, float(lengths[i]) ** 2)
+        fits = np.flatnonzero((left[0][:made] >= need[0]) & (left[1][:made] >= need[1]) & (left[2][:made] >= need[2]))
         if len(fits):
-            after = left[fits]
-            score = (after**2) @ w if rule == "norm" else -((after + need / cap) * (need / cap)) @ w
+            score = np.zeros(len(fits))
+            for rest, n, cap, w in zip(left, need, capacity, weights, strict=True):
+                if w:
+                    own = rest[fits]
+                    score += w * ((own - n) / cap) ** 2 if rule == "norm" else -w * own / cap * n / cap
             chosen = fits[np.argmin(score)]
         else:
             chosen, made = made, made + 1
-        bins[i], offsets[i] = chosen, used[chosen, 0]
-        used[chosen] += need
+            for rest, cap in zip(left, capacity, strict=True):
+                rest[chosen] = cap
+        bins[i], offsets[i] = chosen, capacity[0] - left[0][chosen]
+        for rest, n in zip(left, need, strict=True):
+            rest[chosen] -= n
     return bins, offsets
 
 
