@@ -45,33 +45,44 @@ def budgets(leaves: DataFrame, levels: list[str], weights: dict[str, float], tot
     return materialize(nodes)
 
 
-def mix(docs: DataFrame, levels: dict[str, str], weights: dict[str, float], share: float = 0.8, epochs: int = 2, seed: int = 7, tokens: str = TOKENS) -> DataFrame:
+def with_leaves(rows: DataFrame, small: DataFrame, names: list[str], how: str, most: int) -> DataFrame:
+    """Rows joined with a written table of one row per leaf: broadcast if that has been counted to have most rows at most,
+    else joined by leaf and one of 64 salts, so that a hot leaf is spread."""
+    if small.count() <= most:
+        return rows.join(F.broadcast(small), names, how)
+    salted = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(63))))
+    rows = rows.withColumn("_salt", F.expr("cast(pmod(xxhash64(_row.doc_id, _row.text), 64) AS int)"))
+    return rows.join(salted, [*names, "_salt"], how).drop("_salt")
+
+
+def mix(docs: DataFrame, levels: dict[str, str], weights: dict[str, float], share: float = 0.8, epochs: int = 2, seed: int = 7,
+        tokens: str = TOKENS, broadcast_rows: int = 100_000) -> DataFrame:
     """docs with _epoch, once per epoch in which a row is taken; share of all tokens is the budget.
 
     An epoch orders a leaf by a seeded hash. Whole epochs come first; of the last one, the prefix of rows that begins
     within the budget. Prefix sums run over 4096 hash ranges a leaf; rows are ordered in the cut range only, so
-    a hot leaf never meets in one task. Null levels are leaves of their own.
+    a hot leaf never meets in one task. Null levels are leaves of their own. Columns of docs may have any names.
     """
-    names = list(levels)
-    slot = f"xxhash64({seed}, e, doc_id, text)"
-    base = docs.select("*", *[F.expr(f"coalesce(cast({e} AS string), '')").alias(f"_{n}") for n, e in levels.items()], F.expr(tokens).alias("_tokens"))
-    names = [f"_{n}" for n in names]
+    names = [f"_{n}" for n in levels]
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    base = docs.select(row, *[F.expr(f"coalesce(cast({e} AS string), '')").alias(f"_{n}") for n, e in levels.items()], F.expr(tokens).alias("_tokens"))
     small = materialize(base.select(*names, F.col("_tokens").alias("tokens")).groupBy(*names).agg(F.sum("tokens").alias("tokens")))
     total = small.agg(F.sum("tokens")).first()[0] or 0
     plan = budgets(small, names, weights, total * share, epochs).join(small, names)
     plan = plan.selectExpr(*names, "least(floor(budget / tokens), %d) AS _full" % epochs, "budget - floor(budget / tokens) * tokens AS _left")
     plan = materialize(plan)
-    ranged = base.join(plan, names).withColumn("e", F.col("_full")).withColumn("_h", F.expr(slot))
+    planned = with_leaves(base, plan, names, "inner", broadcast_rows)
+    ranged = planned.withColumn("_h", F.expr(f"xxhash64({seed}, _full, _row.doc_id, _row.text)"))
     ranged = ranged.withColumn("_range", F.expr("pmod(shiftright(_h, 52), 4096)")).withColumn("_h2", F.expr("_h & 4503599627370495L"))
     sums = materialize(ranged.groupBy(*names, "_range").agg(F.sum("_tokens").alias("t")))
     part = ", ".join(names)
     upto = sums.selectExpr("*", f"sum(t) OVER (PARTITION BY {part} ORDER BY _range) - t AS _before").join(plan, names)
     cut = materialize(upto.where("_before < _left AND _before + t >= _left").select(*names, F.col("_range").alias("_cut"), "_before"))
-    chosen = ranged.join(cut, names, "left")
-    below = chosen.where("_left > 0 AND (_cut IS NULL OR _range < _cut)").select(*docs.columns, F.expr("cast(_full AS int) AS _epoch"))
-    edge = chosen.where("_left > 0 AND _range = _cut").selectExpr("*", f"_before + sum(_tokens) OVER (PARTITION BY {part} ORDER BY _h2, doc_id ROWS UNBOUNDED PRECEDING) - _tokens AS _at")
-    edge = edge.where("_at < _left").select(*docs.columns, F.expr("cast(_full AS int) AS _epoch"))
-    whole = base.join(plan, names).where("_full > 0").select(*docs.columns, F.expr("explode(sequence(0, cast(_full AS int) - 1)) AS _epoch"))
+    chosen = with_leaves(ranged.where("_left > 0"), cut, names, "left", broadcast_rows)
+    below = chosen.where("_cut IS NULL OR _range < _cut").selectExpr("_row.*", "cast(_full AS int) AS _epoch")
+    edge = chosen.where("_range = _cut").selectExpr("*", f"_before + sum(_tokens) OVER (PARTITION BY {part} ORDER BY _h2, _row.doc_id ROWS UNBOUNDED PRECEDING) - _tokens AS _at")
+    edge = edge.where("_at < _left").selectExpr("_row.*", "cast(_full AS int) AS _epoch")
+    whole = planned.where("_full > 0").selectExpr("_row.*", "explode(sequence(0, cast(_full AS int) - 1)) AS _epoch")
     return whole.union(below).union(edge)
 
 

@@ -169,6 +169,13 @@ def test_mix(spark, odd):
     assert mixing.mix(odd.limit(0), mixing.LEVELS, {}).count() == 0
 
 
+def test_mix_without_broadcast_and_with_clashing_names(spark):
+    """The salted join gives the same rows; columns named like the operator's own pass through."""
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").selectExpr("*", "doc_id AS _h", "'x' AS e", "1 AS _range", "lang AS _leaf", "2 AS t")
+    want, got = (sorted(mixing.mix(docs, mixing.LEVELS, {}, broadcast_rows=most).collect(), key=repr) for most in (100_000, 0))
+    assert want == got and want and all(r["_h"] == r["doc_id"] and r["e"] == "x" for r in got)
+
+
 def test_shortage_goes_to_siblings_first(spark):
     leaves = spark.createDataFrame([("a", "x", 10), ("a", "y", 100), ("b", "x", 100)], "d string, s string, tokens long")
     got = {(r["d"], r["s"]): r["budget"] for r in mixing.budgets(leaves, ["d", "s"], {}, 120.0, 1).collect()}
