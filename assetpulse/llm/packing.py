@@ -15,32 +15,44 @@ from assetpulse.session import materialize
 
 class WordIds:
     """Token ids of texts, as little-endian bytes. Tokens of this vocabulary never span white space, so each distinct word
-    is encoded once per task and looked up afterwards; at most about limit words are held.
+    is encoded once per task and looked up afterwards; at most about limit words are held. A group of texts is split and
+    its words numbered in Arrow; its ids are then taken from one array over the distinct words.
 
-    The vocabulary is lower case and takes marks apart from letters: texts of Latin-1 letters are lower-cased whole, and a
-    word that ends in marks is put together from the part before, where that ends in a letter or digit, and the marks."""
+    The vocabulary is lower case and takes marks apart from letters: texts of Latin-1 letters are lower-cased whole (but
+    those that may spell a special token, which is case sensitive), and a word that ends in marks is put together from the
+    part before, where that ends in a letter or digit, and the marks. Words of lower-case letters alone need neither
+    normaliser nor pattern; their last token, and no other, carries the end-of-word suffix."""
 
-    MARKS, BETWEEN = ".,;:!?$&%*#|", "`"
+    MARKS, BETWEEN, LETTERS, SUFFIX = ".,;:!?$&%*#|", "`", "[a-zß-öø-ÿ]+", "</w>"
+    GROUP_CHARS = 8_000_000
 
     def __init__(self, tokenizer: str, limit: int = 1_000_000) -> None:
         import os
+        import re
 
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.model, self.limit, self.known = Tokenizer.from_file(tokenizer), limit, {}
         (self.between,) = self.model.encode(self.BETWEEN, add_special_tokens=False).ids
+        self.letters, self.plain = re.compile(self.LETTERS).fullmatch, Tokenizer.from_file(tokenizer)
+        self.plain.normalizer = normalizers.Sequence([])
+        bytes_only = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.CharDelimiterSplit(" "), bytes_only])
+        vocabulary = self.model.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[n for token, n in vocabulary.items() if token.endswith(self.SUFFIX)]] = True
 
     @staticmethod
-    def split(text: str | None) -> list[str]:
+    def clean(text: str | None) -> str:
         text = (text or "").replace("\n", " ").replace("\t", " ")
         try:
             text.encode("latin-1")
         except UnicodeEncodeError:  # lower-casing of other letters is left to the tokenizer
-            return text.split(" ")
-        return text.lower().split(" ")
+            return text
+        return text if "<|" in text else text.lower()
 
-    def learn(self, words: set[str]) -> None:
+    def learn(self, words: list[str]) -> None:
         cores, parts = set(), []
         for word in words:
             core = word.rstrip(self.MARKS)
@@ -51,30 +63,62 @@ class WordIds:
                 cores.add(tail)
             else:
                 cores.add(word)
-        new = [w for w in cores if w not in self.known]
-        plain = [w for w in new if self.BETWEEN not in w]
-        for low in range(0, len(plain), 4096):  # one call for many words, with a mark of one token between them
-            some = plain[low : low + 4096]
+        new = cores.difference(self.known)
+        letters = list(filter(self.letters, new))
+        for low in range(0, len(letters), 4096):  # one call for many words
+            some = letters[low : low + 4096]
+            ids = np.array(self.plain.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
+            stops = (np.flatnonzero(self.ends[ids]) + 1) * 4
+            data, at = ids.tobytes(), 0
+            for word, end in zip(some, stops.tolist(), strict=True):
+                self.known[word] = data[at:end]
+                at = end
+        new.difference_update(letters)
+        apart = [w for w in new if self.BETWEEN not in w]
+        for low in range(0, len(apart), 4096):  # likewise, with a mark of one token between them
+            some = apart[low : low + 4096]
             joined = f" {self.BETWEEN} ".join(some)
             ids = np.array(self.model.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
-            ends = np.append(np.flatnonzero(ids == self.between), len(ids)) * 4
+            stops = np.append(np.flatnonzero(ids == self.between), len(ids)) * 4
             data, at = ids.tobytes(), 0
-            for word, end in zip(some, ends.tolist(), strict=True):
+            for word, end in zip(some, stops.tolist(), strict=True):
                 self.known[word] = data[at:end]
                 at = end + 4
-        for word in set(new).difference(plain):
+        for word in new.difference(apart):
             self.known[word] = np.array(self.model.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
         for word, core, tail in parts:
             self.known[word] = self.known[core] + self.known[tail]
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        words = list(map(self.split, texts))
-        needed = set().union(*words)
+    def group(self, texts: list[str]) -> Iterator[bytes]:
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        lists = pc.split_pattern(pa.array(texts, "string"), " ")
+        coded = lists.values.dictionary_encode()
+        words, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy()
         if len(self.known) > self.limit:
             self.known.clear()
-        self.learn(needed.difference(self.known))
-        get = self.known.__getitem__
-        return [b"".join(map(get, own)) for own in words]
+        self.learn([w for w in words if w not in self.known])
+        own = [self.known[w] for w in words]
+        flat, sizes = np.frombuffer(b"".join(own), "<u4"), np.fromiter(map(len, own), "int64", len(own)) // 4
+        first = np.cumsum(sizes) - sizes
+        counts = sizes[codes]
+        upto = np.append(0, np.cumsum(counts))
+        ids = flat[np.repeat(first[codes] - upto[:-1], counts) + np.arange(upto[-1])]
+        places = upto[lists.offsets.to_numpy()].tolist()
+        for low, high in zip(places, places[1:], strict=False):
+            yield ids[low:high].tobytes()
+
+    def encode(self, texts: list[str | None]) -> Iterator[bytes]:
+        held, size = [], 0
+        for text in map(self.clean, texts):
+            held.append(text)
+            size += len(text)
+            if size > self.GROUP_CHARS:
+                yield from self.group(held)
+                held, size = [], 0
+        if held:
+            yield from self.group(held)
 
 
 def pieces_of(docs: DataFrame, tokenizer: str, max_tokens: int = 4096, end_id: int = 1, with_ids: bool = True) -> DataFrame:
@@ -86,14 +130,13 @@ def pieces_of(docs: DataFrame, tokenizer: str, max_tokens: int = 4096, end_id: i
         words, end = WordIds(tokenizer), np.array([end_id], "<u4").tobytes()
         names = ["doc_id", "piece", "start", "length", "ids_crc32", *["ids"] * with_ids]
         for batch in batches:
-            docs_, texts, out = batch["doc_id"].tolist(), batch["text"].tolist(), []
-            for low in range(0, len(texts), 256):
-                for doc, data in zip(docs_[low : low + 256], words.encode(texts[low : low + 256]), strict=True):
-                    data += end
-                    for n, at in enumerate(range(0, len(data), 4 * max_tokens)):
-                        ids = data[at : at + 4 * max_tokens]
-                        row = (doc, n, at // 4, len(ids) // 4, zlib.crc32(ids))
-                        out.append((*row, np.frombuffer(ids, "<u4").astype("int64")) if with_ids else row)
+            out = []
+            for doc, data in zip(batch["doc_id"].tolist(), words.encode(batch["text"].tolist()), strict=True):
+                data += end
+                for n, at in enumerate(range(0, len(data), 4 * max_tokens)):
+                    ids = data[at : at + 4 * max_tokens]
+                    row = (doc, n, at // 4, len(ids) // 4, zlib.crc32(ids))
+                    out.append((*row, np.frombuffer(ids, "<u4").astype("int64")) if with_ids else row)
             frame = pd.DataFrame(out, columns=names)
             frame["doc_id"] = frame["doc_id"].astype("Int64")
             yield frame
