@@ -19,10 +19,12 @@ class Graph:
     """Hierarchical small-world graph over unit vectors, built and searched for many rows at a time.
 
     A node is on level l with probability 8**-l. Its links on a level are up to half of width neighbours chosen apart from
-    each other (each nearer to the node than to those chosen before) and else the nearest; links back have no limit."""
+    each other (each nearer to the node than to those chosen before) and else the nearest; links back have no limit. The
+    search walks by single-precision cosines; links are decided on the double-precision ones of exact."""
 
-    def __init__(self, x: np.ndarray, width: int = 16, beam: int = 48) -> None:
-        self.x, self.width = x, width
+    def __init__(self, x: np.ndarray, width: int = 8, beam: int = 48) -> None:
+        self.exact, self.width = x, width
+        self.x = x = x.astype("float32")
         rng = np.random.default_rng(11)
         level = np.minimum(np.floor(-np.log(rng.random(len(x)) + 1e-12) / np.log(8)).astype(int), 4)
         self.layers = []
@@ -57,39 +59,49 @@ class Graph:
                     free = [links.shape[1] // 2]
                 links[other, free[0]] = row
 
-    def search(self, q: np.ndarray, beam: int, entry: int | None = None, layers: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    def search(self, q: np.ndarray, beam: int, entry: int | None = None, layers: int | None = None, opened: int = 4) -> tuple[np.ndarray, np.ndarray]:
         """(ids, cosines) of the beam, best first; -1 where it is not full."""
         ids = np.full((len(q), 1), self.entry if entry is None else entry)
         sims = np.einsum("qcd,qd->qc", self.x[ids], q)
         use = self.layers[: layers or len(self.layers)]
         for depth, links in enumerate(use):
             size = beam if depth == len(use) - 1 else 4
-            seen = np.zeros((len(q), len(self.x)), bool)
-            np.put_along_axis(seen, np.maximum(ids, 0), True, axis=1)
+            n = len(self.x)
+            seen = np.zeros(len(q) * n, bool)
+            seen[(np.arange(len(q))[:, None] * n + np.maximum(ids, 0)).ravel()] = True
             fresh = ids >= 0
-            while fresh.any():
-                at = np.where(fresh, sims, -9).argmax(axis=1)
-                live = np.flatnonzero(fresh[np.arange(len(q)), at])
-                fresh[live, at[live]] = False
-                step = links[ids[live, at[live]]]
-                new = (step >= 0) & ~np.take_along_axis(seen[live], np.maximum(step, 0), axis=1)
-                r, c = np.nonzero(new)
-                seen[live[r], step[r, c]] = True
-                more = np.full((len(q), step.shape[1]), -9.0)
-                more[live[r], c] = np.einsum("nd,nd->n", self.x[step[r, c]], q[live[r]])
-                where = np.full((len(q), step.shape[1]), -1)
-                where[live[r], c] = step[r, c]
-                ids, sims, fresh = np.concatenate([ids, where], 1), np.concatenate([sims, more], 1), np.concatenate([fresh, where >= 0], 1)
-                order = np.argsort(-sims, axis=1, kind="stable")[:, :size]
-                ids, sims, fresh = (np.take_along_axis(v, order, axis=1) for v in (ids, sims, fresh))
+            while True:  # each row opens its best few unopened nodes; only nodes new to a row are measured
+                r, c = np.nonzero(fresh & (np.cumsum(fresh, axis=1) <= opened))
+                if not len(r):
+                    break
+                fresh[r, c] = False
+                step = links[ids[r, c]]
+                key = np.unique((r[:, None] * n + step)[step >= 0])
+                key = key[~seen[key]]
+                if not len(key):
+                    continue
+                seen[key] = True
+                row, node = key // n, key % n
+                live, start, count = np.unique(row, return_index=True, return_counts=True)
+                line, place = np.repeat(np.arange(len(live)), count), np.arange(len(key)) - np.repeat(start, count)
+                where, more = np.full((len(live), count.max()), -1), np.full((len(live), count.max()), -9.0)
+                where[line, place] = node
+                more[line, place] = np.einsum("nd,nd->n", self.x[node], q[row])
+                if ids.shape[1] < size:
+                    pad = ((0, 0), (0, size - ids.shape[1]))
+                    ids, sims, fresh = np.pad(ids, pad, constant_values=-1), np.pad(sims, pad, constant_values=-9.0), np.pad(fresh, pad)
+                all_ids, all_sims, all_fresh = np.concatenate([ids[live], where], 1), np.concatenate([sims[live], more], 1), np.concatenate([fresh[live], where >= 0], 1)
+                order = np.argsort(-all_sims, axis=1, kind="stable")[:, :size]
+                ids[live], sims[live], fresh[live] = (np.take_along_axis(v, order, axis=1) for v in (all_ids, all_sims, all_fresh))
+            ids, sims = ids[:, :size], sims[:, :size]
         return ids, sims
 
 
-def near_vectors(vectors: DataFrame, least: float = 0.95, shards: int = 8, recall: float = 0.99, audits: int = 64) -> DataFrame:
+def near_vectors(vectors: DataFrame, least: float = 0.95, shards: int = 8, recall: float = 0.99, audits: int = 256) -> DataFrame:
     """vec_id, n_links, component_id, kept. Equal vectors are one node with a multiplicity; invalid ones link with nothing.
 
-    A shard's task builds its graph and then answers every node. The beam starts at 64 and doubles until audited nodes
-    find the wanted share of the links that an exact comparison finds in the shard; a node whose whole beam is linked
+    A shard's task builds its graph and then answers every node. The beam starts at 32 and doubles until audited nodes
+    find the wanted share of the links to others that an exact comparison finds in the shard; a node whose whole beam is linked
     is asked again with all of the shard. Cosines are of doubles. Rows of another length meet only their like."""
     rows = materialize(vectors.selectExpr("vec_id", "cast(embedding AS array<double>) AS embedding").withColumn("row", F.monotonically_increasing_id()))
     nodes = materialize(rows.where(VALID).groupBy("embedding").agg(F.min("row").alias("node"), F.count("*").alias("n"), F.min("vec_id").alias("least_id")))
@@ -99,7 +111,7 @@ def near_vectors(vectors: DataFrame, least: float = 0.95, shards: int = 8, recal
     dealt = own.union(ask).repartition(parts, "dim", "shard").sortWithinPartitions("dim", "shard", "ask", "node")
 
     def answer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        at, held, graph, ids, counts, beam = None, [], None, None, None, 64
+        at, held, graph, ids, counts, beam = None, [], None, None, None, 32
 
         def unit(frame: pd.DataFrame) -> np.ndarray:
             x = np.array(frame["embedding"].tolist(), float)
@@ -109,28 +121,29 @@ def near_vectors(vectors: DataFrame, least: float = 0.95, shards: int = 8, recal
         def build() -> None:
             nonlocal graph, ids, counts, beam, held
             frame = pd.concat(held)
-            held, beam = [], 64
+            held, beam = [], 32
             ids, counts = frame["node"].to_numpy(), frame["n"].to_numpy()
             graph = Graph(unit(frame))
-            probe = graph.x[:: max(1, len(ids) // audits)]
+            probe = np.arange(0, len(ids), max(1, len(ids) // audits))
+            there = (graph.exact[probe] @ graph.exact.T >= least).sum() - len(probe)
             while beam * 4 < len(ids):
-                there = (probe @ graph.x.T >= least).sum()
-                found = (graph.search(probe, beam)[1] >= least).sum()
-                if found >= recall * there:
+                r, p = hits(graph.exact[probe])
+                if (probe[r] != p).sum() >= recall * there:
                     break
                 beam *= 2
 
         def hits(q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             if beam * 4 >= len(ids):
-                return np.nonzero(q @ graph.x.T >= least)
-            found, sims = graph.search(q, beam)
-            r, c = np.nonzero(sims >= least)
-            wide = (sims >= least).sum(axis=1) >= beam
-            keep = ~wide[r]
-            r, p = r[keep], found[r[keep], c[keep]]
+                return np.nonzero(q @ graph.exact.T >= least)
+            found, sims = graph.search(q.astype("float32"), beam)
+            near = sims >= least - 1e-4  # beyond the rounding of single precision
+            wide = near.sum(axis=1) >= beam
+            r, c = np.nonzero(near & ~wide[:, None])
+            p = found[r, c]
+            sure = np.einsum("nd,nd->n", graph.exact[p], q[r]) >= least
             again = np.flatnonzero(wide)
-            wr, wp = np.nonzero(q[again] @ graph.x.T >= least)
-            return np.concatenate([r, again[wr]]), np.concatenate([p, wp])
+            wr, wp = np.nonzero(q[again] @ graph.exact.T >= least)
+            return np.concatenate([r[sure], again[wr]]), np.concatenate([p[sure], wp])
 
         for batch in batches:
             for key, part in batch.groupby(["dim", "shard"], sort=False):
