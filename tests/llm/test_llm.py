@@ -180,3 +180,16 @@ def test_shortage_goes_to_siblings_first(spark):
     leaves = spark.createDataFrame([("a", "x", 10), ("a", "y", 100), ("b", "x", 100)], "d string, s string, tokens long")
     got = {(r["d"], r["s"]): r["budget"] for r in mixing.budgets(leaves, ["d", "s"], {}, 120.0, 1).collect()}
     assert got == {("a", "x"): 10, ("a", "y"): 50, ("b", "x"): 60}
+
+
+def test_word_ids_match_the_tokenizer_on_odd_texts():
+    import public_tokenizers
+
+    odd = [
+        None, "", " ", "\n\n", "a", "<|EndOfText|> <|endoftext|>. x<|startoftext|>y", "Ünï²³ 12a. é\u0301 ÉCOLE!!! İstanbul ſ",
+        "it's we'll. don't!!`x` ` `` a`b", "x\u00a0y\x85z.  q", "日本語。 test,", "ﬁ ŉ", "ª º. µ!", "\x0b\x0c\r\n a", "word.\x00", "ÿß. ßß!", "<| a", "word " * 3000,
+    ]
+    words = packing.WordIds(public_tokenizers.path("word_bpe_49k.json"))
+    words.GROUP_CHARS = 20  # several groups
+    for text, got in zip(odd, words.encode(odd), strict=True):
+        assert np.frombuffer(got, "<u4").tolist() == words.model.encode(text or "", add_special_tokens=False).ids, text
