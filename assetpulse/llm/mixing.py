@@ -8,8 +8,16 @@ from pyspark.sql import functions as F
 from assetpulse.llm.common import table
 from assetpulse.session import materialize
 
-#: domain, language, source; the first sources stand for the web, the others for curated text.
-LEVELS = {"domain": "CASE WHEN cast(substr(source, 4) AS int) < 10 THEN 'web' ELSE 'curated' END", "language": "lang", "leaf": "source"}
+#: Source to domain: the first matching pattern over the whole name; any other name, empty or null is DEFAULT_DOMAIN, which
+#: has weight 1 unless given one. The first ten numbered sources stand for the web, the others for curated text.
+DOMAINS = [("src0*[0-9]", "web"), ("src[0-9]+", "curated")]
+DEFAULT_DOMAIN = "other"
+#: domain, language, source.
+LEVELS = {
+    "domain": f"CASE {' '.join(f"WHEN source RLIKE '^({p})$' THEN '{d}'" for p, d in DOMAINS)} ELSE '{DEFAULT_DOMAIN}' END",
+    "language": "lang",
+    "leaf": "source",
+}
 TOKENS = "greatest(1L, ceil(octet_length(coalesce(text, '')) / 4))"
 
 

@@ -169,6 +169,15 @@ def test_mix(spark, odd):
     assert mixing.mix(odd.limit(0), mixing.LEVELS, {}).count() == 0
 
 
+def test_mix_takes_sources_of_any_name(spark):
+    names = ["", None, "wiki", "github", "src", "src1x", "src3", "src09", "src12", "src99999999999"]
+    rows = [(i, "words " * 40, "en", s) for i, s in enumerate(names * 3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    domains = {r["source"]: r["d"] for r in df.selectExpr("source", f"{mixing.LEVELS['domain']} AS d").collect()}
+    assert domains == {s: {"src3": "web", "src09": "web", "src12": "curated", "src99999999999": "curated"}.get(s, "other") for s in names}
+    assert mixing.mix(df, mixing.LEVELS, {}, share=1.0, epochs=1).count() == len(rows)
+
+
 def test_mix_without_broadcast_and_with_clashing_names(spark):
     """The salted join gives the same rows; columns named like the operator's own pass through."""
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").selectExpr("*", "doc_id AS _h", "'x' AS e", "1 AS _range", "lang AS _leaf", "2 AS t")
