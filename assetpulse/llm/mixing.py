@@ -18,6 +18,9 @@ LEVELS = {
     "language": "lang",
     "leaf": "source",
 }
+#: Target weights by node and the budget as a share of all tokens: those of the query and of the pipeline's stage.
+WEIGHTS = {"web": 1.0, "curated": 1.0, "en": 2.0}
+SHARE = 0.8
 TOKENS = "greatest(1L, ceil(octet_length(coalesce(text, '')) / 4))"
 
 
@@ -63,7 +66,7 @@ def with_leaves(rows: DataFrame, small: DataFrame, names: list[str], how: str, m
     return rows.join(salted, [*names, "_salt"], how).drop("_salt")
 
 
-def mix(docs: DataFrame, levels: dict[str, str], weights: dict[str, float], share: float = 0.8, epochs: int = 2, seed: int = 7,
+def mix(docs: DataFrame, levels: dict[str, str], weights: dict[str, float], share: float = SHARE, epochs: int = 2, seed: int = 7,
         tokens: str = TOKENS, broadcast_rows: int = 100_000) -> DataFrame:
     """docs with _epoch, once per epoch in which a row is taken; share of all tokens is the budget.
 
@@ -95,4 +98,4 @@ def mix(docs: DataFrame, levels: dict[str, str], weights: dict[str, float], shar
 
 
 def op4_mix(spark, sf_dir):
-    return mix(table(spark, sf_dir, "documents"), LEVELS, {"web": 1.0, "curated": 1.0, "en": 2.0}).selectExpr("doc_id", "source", "lang", "_epoch AS epoch")
+    return mix(table(spark, sf_dir, "documents"), LEVELS, WEIGHTS).selectExpr("doc_id", "source", "lang", "_epoch AS epoch")

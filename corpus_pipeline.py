@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from assetpulse.llm.exact_dedup import exact_groups
-from assetpulse.llm.mixing import LEVELS, mix
+from assetpulse.llm.mixing import LEVELS, SHARE, WEIGHTS, mix
 from assetpulse.llm.packing import pack, pieces_of
 from assetpulse.llm.quality import score, train
 from assetpulse.llm.simhash import near_groups
@@ -30,8 +30,9 @@ def simhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One epoch and a budget of all tokens: every leaf gives all it has, so each clean document stays."""
-    return mix(docs, LEVELS, {}, share=1.0, epochs=1).select(*docs.columns)
+    """op4_mix's weights and share: a leaf within its budget gives every row, a leaf over it a seeded prefix. One epoch, so
+    that no row comes out twice after the duplicates are gone."""
+    return mix(docs, LEVELS, WEIGHTS, share=SHARE, epochs=1).select(*docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

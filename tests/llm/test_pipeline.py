@@ -1,7 +1,11 @@
 """Each stage keeps the columns of documents, and the last packs what the others kept."""
 
+from collections import defaultdict
+
 import corpus_pipeline as pipeline
 
+from assetpulse.llm import mixing
+
 SF = "/root/testdata/sf0.001"
 
 
@@ -15,3 +19,47 @@ def test_stages(spark, tmp_path):
             assert docs.columns == columns and 0 < docs.count() <= before
             before = docs.count()
     assert docs.select("doc_id").distinct().count() == kept.select("doc_id").distinct().count()
+
+
+def dealt(offers, weights, budget):
+    """Budgets of sibling nodes by plain water filling: whoever offers less than its part gives all, until nobody does."""
+    got, rest = {}, dict(offers)
+    while rest:
+        per = budget / sum(weights.get(n, 1.0) for n in rest)
+        small = {n: o for n, o in rest.items() if o <= per * weights.get(n, 1.0)}
+        if not small:
+            return got | {n: per * weights.get(n, 1.0) for n in rest}
+        got |= small
+        budget -= sum(small.values())
+        rest = {n: o for n, o in rest.items() if n not in small}
+    return got
+
+
+def test_mixing_meets_its_budgets(spark):
+    """Leaf totals are those of a plain budget over domain, language and source; a hot source loses its share."""
+    names = ["src0"] * 300 + ["src1"] * 100 + ["src11"] * 60 + ["src12"] * 4 + ["wiki"] * 40
+    rows = [(i, "word " * (20 + i % 7), ("en", "fr", "de")[i % 3], s, 0) for i, s in enumerate(names)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    tokens = {r[0]: -(-len(r[1]) // 4) for r in rows}
+    domain = {"src0": "web", "src1": "web", "src11": "curated", "src12": "curated", "wiki": "other"}
+    leaf = {r[0]: (domain[r[3]], r[2], r[3]) for r in rows}
+    total, want = defaultdict(int), {(): mixing.SHARE * sum(tokens.values())}
+    for i, path in leaf.items():
+        total[path] += tokens[i]
+    for depth in range(3):
+        for above, budget in list(want.items()):
+            if len(above) == depth:
+                offers = defaultdict(float)
+                for path, t in total.items():
+                    if path[:depth] == above:
+                        offers[path[depth]] += t
+                want |= {(*above, n): b for n, b in dealt(offers, mixing.WEIGHTS, budget).items()}
+    got, times = defaultdict(int), defaultdict(int)
+    for r in pipeline.sources(spark, df, SF).collect():
+        got[leaf[r["doc_id"]]] += tokens[r["doc_id"]]
+        times[r["doc_id"]] += 1
+    for path in total:
+        assert want[path] - 1e-6 <= got[path] <= want[path] + max(tokens.values()), path
+    assert max(times.values()) == 1 and len(times) < len(rows)
+    share = sum(t for p, t in got.items() if p[2] == "src0") / sum(got.values())
+    assert share < 0.9 * sum(tokens[r[0]] for r in rows if r[3] == "src0") / sum(tokens.values())
