@@ -17,8 +17,8 @@ from assetpulse.session import materialize
 BLOCKS = [(0, 11), (11, 11), (22, 11), (33, 11), (44, 10), (54, 10)]
 
 
-def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
-    """doc_id, fp (signed 64 bits). Null or blank text: zero; fewer words than a shingle: the whole sequence."""
+def fingerprints(docs: DataFrame, shingle: int = 4, row: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, columns of row, fp (signed 64 bits). Null or blank text: zero; fewer words than a shingle: the whole sequence."""
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import re
@@ -42,9 +42,11 @@ def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
             return int(np.packbits(count * 2 > total, bitorder="little").view("<i8")[0])
 
         for batch in batches:
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "fp": [one(t) for t in batch["text"]]})
+            yield batch.drop(columns="text").assign(doc_id=batch["doc_id"].astype("Int64"), fp=[one(t) for t in batch["text"]])
 
-    return docs.select("doc_id", "text").mapInPandas(scan, "doc_id long, fp long")
+    own = docs.select("doc_id", *row)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema if f.name != "doc_id")
+    return docs.select("doc_id", *row, "text").mapInPandas(scan, ", ".join(filter(None, ["doc_id long", schema, "fp long"])))
 
 
 def gray_rank(x: np.ndarray) -> np.ndarray:
@@ -159,11 +161,17 @@ def links(distinct: DataFrame, bits: int, cell_rows: int = 4096) -> DataFrame:
     return ranked.mapInPandas(find, "a long, b long").distinct()
 
 
-def near_groups(docs: DataFrame, shingle: int = 4, bits: int = 4) -> DataFrame:
-    """doc_id, fingerprint, component_id: the smallest doc_id reachable over links of at most bits (4 or fewer)."""
+def near_groups(docs: DataFrame, shingle: int = 4, bits: int = 4, row: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, fingerprint, component_id: the smallest doc_id reachable over links of at most bits (4 or fewer).
+
+    Where columns row are named that tell rows apart, both ids are structs (no_id, doc_id, *row): the least of a component is
+    one row, and a row without id only if all are."""
     if bits > 4:
         raise ValueError("six blocks cover at most 4 differing bits")
-    rows = materialize(fingerprints(docs, shingle))
+    rows = fingerprints(docs, shingle, row)
+    if row:
+        rows = rows.select(F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", *row).alias("doc_id"), "fp")
+    rows = materialize(rows)
     distinct = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
     roots = connected_components(links(distinct, bits))
     rooted = distinct.join(roots, distinct["fp"] == roots["node"], "left").selectExpr("fp", "least", "coalesce(root, fp) AS root")

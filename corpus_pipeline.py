@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from assetpulse.llm.exact_dedup import exact_groups
 from assetpulse.llm.mixing import LEVELS, SHARE, WEIGHTS, mix
@@ -13,20 +15,40 @@ from assetpulse.llm.quality import score, train
 from assetpulse.llm.simhash import near_groups
 from assetpulse.session import use_checkpoint_dir
 
+PLACE = ["_file", "_at"]
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return score(docs, model).where("quality_score >= 0.5").select(*docs.columns)
 
 
+def with_place(docs: DataFrame) -> DataFrame:
+    """docs with _file and _at, a row's file and its place there: the same at each read, and no two rows share them. Rows
+    that do not come straight from files are written first."""
+    try:
+        return docs.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_at"))
+    except AnalysisException:
+        use_checkpoint_dir(docs.sparkSession)
+        folder = f"{docs.sparkSession.sparkContext.getCheckpointDir()}/rows-{uuid.uuid4()}"
+        docs.write.parquet(folder)
+        return with_place(docs.sparkSession.read.parquet(folder))
+
+
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = exact_groups(docs).where("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
+    """One row per group of equal texts: the largest doc_id, of its repeats the last by file and place. A row without
+    doc_id stays only in a group without any, there again the last."""
+    placed = with_place(docs)
+    groups = exact_groups(placed.withColumn("_key", F.struct("doc_id", *PLACE)), "_key")
+    return placed.join(groups.where("kept").select("_key.*").select(*PLACE), PLACE, "left_semi").select(*docs.columns)
 
 
 def simhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = near_groups(docs, 4, 4).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
+    """One row per component of near texts: the smallest doc_id, of its repeats the first by file and place. A row without
+    doc_id stays only in a component without any, there again the first."""
+    placed = with_place(docs)
+    groups = near_groups(placed, 4, 4, tuple(PLACE))
+    return placed.join(groups.where("doc_id <=> component_id").select("doc_id.*").select(*PLACE), PLACE, "left_semi").select(*docs.columns)
 
 
 def sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,7 +70,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each stage's rows are written under the shared checkpoint folder and read by the next."""
+    """Of a group of equal or near texts one row stays, also where ids are null or repeated. Each stage's rows are written under the shared checkpoint folder and read by the next."""
     use_checkpoint_dir(spark)
     folder = f"{spark.sparkContext.getCheckpointDir()}/pipeline-{uuid.uuid4()}"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")

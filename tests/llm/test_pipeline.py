@@ -1,9 +1,11 @@
 """Each stage keeps the columns of documents, and the last packs what the others kept."""
 
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import corpus_pipeline as pipeline
 
+from test_llm import fingerprint, lower, roots
+
 from assetpulse.llm import mixing
 
 SF = "/root/testdata/sf0.001"
@@ -63,3 +65,43 @@ def test_mixing_meets_its_budgets(spark):
     assert max(times.values()) == 1 and len(times) < len(rows)
     share = sum(t for p, t in got.items() if p[2] == "src0") / sum(got.values())
     assert share < 0.9 * sum(tokens[r[0]] for r in rows if r[3] == "src0") / sum(tokens.values())
+
+
+def one_each(rows, group, best):
+    """One row of each group by plain choice: ids before nulls, the best id; which of equal ids is left open."""
+    groups = defaultdict(list)
+    for r in rows:
+        groups[group(r)].append(r)
+    return {g: best((r["doc_id"] for r in own if r["doc_id"] is not None), default=None) for g, own in groups.items()}
+
+
+def test_run_keeps_one_row_of_each_group(spark, tmp_path):
+    """Null and repeated ids: the two stages alone, and the ids that run() packs."""
+    good = [r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").where("length(text) > 400").orderBy("doc_id").limit(12).collect()]
+    ids = [None, None, 1, 1, 2, 3, 3, None, 4, 5, 5, None, None, 6, 7, 7]
+    texts = [0, 1, 2, 2, 3, 3, 4, 4, 5, 6, 7, 8, 8, 9, 9, 10]
+    rows = [(i, good[t] if n % 3 else good[t].upper(), "en", f"src{n % 3}", n) for n, (i, t) in enumerate(zip(ids, texts, strict=True))]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for df in (docs, docs.union(docs.limit(0))):  # from files, and not
+        got = pipeline.exact(spark, df, "").collect()
+        want = one_each(docs.collect(), lambda r: lower(r["text"]), max)
+        assert Counter((lower(r["text"]), r["doc_id"]) for r in got) == Counter(want.items())
+    pipeline.exact(spark, docs, "").write.parquet(f"{tmp_path}/exact")
+    kept = spark.read.parquet(f"{tmp_path}/exact")
+    for df in (kept, docs):
+        own = df.collect()
+        prints = {lower(r["text"]): fingerprint(r["text"]) for r in own}
+        near = [(a, b) for a in prints.values() for b in prints.values() if (a ^ b).bit_count() <= 4]
+        root = roots(near, set(prints.values()))
+        want = one_each(own, lambda r: root[prints[lower(r["text"])]], min)
+        got = pipeline.simhash(spark, df, "").collect()
+        assert Counter((root[prints[lower(r["text"])]], r["doc_id"]) for r in got) == Counter(want.items())
+    quality, mix = pipeline.STAGES[0], pipeline.STAGES[3]
+    every = [(n, (lambda s, d, _: d) if n in (quality[0], mix[0]) else f) for n, f in pipeline.STAGES]
+    stages, pipeline.STAGES = pipeline.STAGES, every  # the other stages may drop any row
+    try:
+        packed = Counter(r["doc_id"] for r in pipeline.run(spark, str(tmp_path)).where("piece = 0").collect())
+    finally:
+        pipeline.STAGES = stages
+    assert packed == Counter(r["doc_id"] for r in pipeline.simhash(spark, kept, "").collect()) and packed[None] > 0
