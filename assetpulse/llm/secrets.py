@@ -59,32 +59,36 @@ def scan(docs: DataFrame, owner: str, repository: str) -> DataFrame:
     return rows.mapInPandas(find, "doc_id long, owner string, repository string, found array<struct<kind string, start long, stop long, hash string, live boolean>>")
 
 
-def ownership(docs: DataFrame, owner: str, repository: str, copied_owners: int = 3) -> DataFrame:
-    """One row per document: doc_id, spans array of (start, rank, kind, stop, class).
+def ownership(docs: DataFrame, owner: str, repository: str, copied_owners: int = 3, copied_repositories: int = 3) -> DataFrame:
+    """One row per document: doc_id, spans array of (start, rank, kind, stop, class, owners, repositories, occurrences).
 
-    class: copied where the hash occurs with copied_owners owners or more, live where it occurs with one owner and looks
-    live, else plain. Wide candidates are kept as kind live where their class is live. Counts are of distinct owners
-    and repositories over the whole corpus; repeated rows keep a row each; null owners count as one owner."""
+    class: copied where the hash occurs with copied_owners owners or in copied_repositories repositories or more, else live
+    where it looks live, else plain. Wide candidates are kept as kind live where their class is live. Counts are of distinct
+    owners, of distinct repositories (each with its owner) and of all occurrences over the whole corpus; repeated rows keep a
+    row each; null owners count as one owner."""
     rows = materialize(scan(docs, owner, repository).withColumn("row", F.monotonically_increasing_id()))
     each = rows.select("row", "owner", "repository", F.explode("found").alias("f")).select("row", "owner", "repository", "f.*")
     places = each.groupBy("hash", F.coalesce("owner", F.lit("")).alias("owner"), F.coalesce("repository", F.lit("")).alias("repository")).agg(F.count("*").alias("n"))
-    owners = places.groupBy("hash", "owner").agg(F.count("*").alias("repos"))
-    stats = materialize(owners.groupBy("hash").agg(F.count("*").alias("owners"), F.sum("repos").alias("repos")))
+    owners = places.groupBy("hash", "owner").agg(F.count("*").alias("repos"), F.sum("n").alias("n"))
+    stats = materialize(owners.groupBy("hash").agg(F.count("*").alias("owners"), F.sum("repos").alias("repositories"), F.sum("n").alias("occurrences")))
     found = each.drop("owner", "repository").join(stats, "hash")
     rank = "CASE kind WHEN 'assign' THEN 0 WHEN 'access' THEN 1 WHEN 'hex' THEN 2 ELSE 3 END"
-    group = f"CASE WHEN owners >= {copied_owners} THEN 'copied' WHEN owners = 1 AND live THEN 'live' ELSE 'plain' END"
-    found = found.selectExpr("row", "kind", "start", "stop", f"{rank} AS rank", f"{group} AS class").where("kind <> 'wide' OR class = 'live'")
-    found = found.selectExpr("row", "struct(start, rank, CASE WHEN kind = 'wide' THEN 'live' ELSE kind END AS kind, stop, class) AS s")
+    group = f"CASE WHEN owners >= {copied_owners} OR repositories >= {copied_repositories} THEN 'copied' WHEN live THEN 'live' ELSE 'plain' END"
+    counts = "owners, repositories, occurrences"
+    found = found.selectExpr("row", "kind", "start", "stop", f"{rank} AS rank", f"{group} AS class", *counts.split(", ")).where("kind <> 'wide' OR class = 'live'")
+    found = found.selectExpr("row", f"struct(start, rank, CASE WHEN kind = 'wide' THEN 'live' ELSE kind END AS kind, stop, class, {counts}) AS s")
     lists = found.groupBy("row").agg(F.sort_array(F.collect_list("s")).alias("spans"))
-    return rows.select("row", "doc_id").join(lists, "row", "left").select("doc_id", F.coalesce("spans", F.array().cast("array<struct<start long, rank int, kind string, stop long, class string>>")).alias("spans"))
+    kind = "array<struct<start long, rank int, kind string, stop long, class string, owners long, repositories long, occurrences long>>"
+    return rows.select("row", "doc_id").join(lists, "row", "left").select("doc_id", F.coalesce("spans", F.array().cast(kind)).alias("spans"))
 
 
 def op1_secrets(spark, sf_dir):
-    """Owner is the source; a repository is a source's part in one language."""
+    """Owner is the source; a repository is a source's part in one language. The counts are by span, in the order of spans."""
     found = ownership(table(spark, sf_dir, "documents"), "source", "concat_ws('/', source, lang)")
     text = "array_join(transform({}, s -> concat(s.kind, ':', s.start, ':', s.stop)), ',')"
     return found.selectExpr(
         "doc_id", *[f"cast(size(filter(spans, s -> s.kind = '{k}')) AS long) AS n_{k}" for k in LEAST],
         f"sha2({text.format('filter(spans, s -> s.rank < 3)')}, 256) AS base_sha256", f"{text.format('spans')} AS spans",
         *[f"cast(size(filter(spans, s -> s.class = '{c}')) AS long) AS n_{c}" for c in ("live", "copied")],
+        *[f"transform(spans, s -> s.{c}) AS {c}" for c in ("owners", "repositories", "occurrences")],
     )

@@ -36,6 +36,18 @@ def test_ownership_separates_copies(spark):
     assert secrets.ownership(df.limit(0), "o", "r").count() == 0
 
 
+def test_ownership_counts_repositories_and_copies(spark):
+    """One owner: a token of one repository stays live however often it occurs, one of three repositories is copied."""
+    many, wide, two = "Qw7xK2mN9pL4" + "vB6tR8yZ1", "Zx9_aB3dE5fG7hJ9kL1m", "Hj5Pn3Vc8Mq2" + "Ls7Wd4Tg9"
+    rows = [(i, f"token={many} {wide}Q", "a", f"r{i % 3}") for i in range(6)]
+    rows += [(10 + i, f"see {wide}", "a", "r0") for i in range(4)] + [(20, two, "a", "r"), (21, two, "b", "r")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, o string, r string")
+    got = {r["doc_id"]: [(s["kind"], s["class"], s["owners"], s["repositories"], s["occurrences"]) for s in r["spans"]] for r in secrets.ownership(df, "o", "r").collect()}
+    assert all(got[i] == [("assign", "copied", 1, 3, 6)] for i in range(6))
+    assert all(got[10 + i] == [("live", "live", 1, 1, 4)] for i in range(4))
+    assert got[20] == got[21] == [("live", "live", 2, 2, 2)]
+
+
 def test_licences_equal_sql(spark):
     line = compare(spark, "op7", llm.all_queries()["op7_licenses"], llm.all_sql()["op7_licenses"], connect(SF), SF)
     assert line.startswith("ok") and " 0 rows" not in line, line
