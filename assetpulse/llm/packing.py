@@ -13,6 +13,10 @@ from assetpulse.llm.common import table
 from assetpulse.session import materialize
 
 
+#: Of tokens, documents and attention cost (tokens squared) in the best-fit score: those of the query and of the pipeline.
+WEIGHTS = (1.0, 0.5, 0.5)
+
+
 class WordIds:
     """Token ids of texts, as little-endian bytes. Tokens of this vocabulary never span white space, so each distinct word
     is encoded once per task and looked up afterwards; at most about limit words are held. A group of texts is split and
@@ -175,8 +179,8 @@ def place(lengths: np.ndarray, capacity: tuple[float, float, float], weights: tu
 
 def pack(pieces: DataFrame, max_tokens: int = 4096, max_docs: int = 4096, max_cost: float | None = None,
          weights: tuple[float, float, float] = (1.0, 0.0, 0.0), rule: str = "norm", group_rows: int = 8192) -> DataFrame:
-    """Adds sequence_id and offset. Pieces are dealt by hash into groups of about group_rows, each packed by itself:
-    a group leaves a few bins part full, whatever the size of the input. The groups grow in number, not in size."""
+    """Adds sequence_id and offset. Pieces are dealt by a hash of their row number, whatever their ids, into groups of
+    about group_rows, each packed by itself: a group leaves a few bins part full, whatever the size of the input. The groups grow in number, not in size."""
     kept = materialize(pieces)
     groups = kept.count() // group_rows + 1
     capacity = (max_tokens, max_docs, max_cost or float(max_tokens) ** 2)
@@ -186,7 +190,7 @@ def pack(pieces: DataFrame, max_tokens: int = 4096, max_docs: int = 4096, max_co
         bins, offsets = place(frame["length"].to_numpy(), capacity, weights, rule)
         return frame.assign(sequence_id=frame["_group"].to_numpy("int64") * 2**32 + bins, offset=offsets).drop(columns="_group")
 
-    dealt = kept.withColumn("_group", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(groups)))
+    dealt = kept.withColumn("_group", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups)))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema) + ", sequence_id long, offset long"
     return dealt.groupBy("_group").applyInPandas(fill, schema)
 
@@ -194,4 +198,4 @@ def pack(pieces: DataFrame, max_tokens: int = 4096, max_docs: int = 4096, max_co
 def op2_pack(spark, sf_dir):
     import public_tokenizers
 
-    return pack(pieces_of(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), with_ids=False))
+    return pack(pieces_of(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), with_ids=False), weights=WEIGHTS)

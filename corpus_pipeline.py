@@ -8,9 +8,10 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from assetpulse.llm import mixing
 from assetpulse.llm.exact_dedup import exact_groups
-from assetpulse.llm.mixing import LEVELS, SHARE, WEIGHTS, mix
-from assetpulse.llm.packing import pack, pieces_of
+from assetpulse.llm.mixing import LEVELS, SHARE, mix
+from assetpulse.llm.packing import WEIGHTS, pack, pieces_of
 from assetpulse.llm.quality import score, train
 from assetpulse.llm.simhash import near_groups
 from assetpulse.session import use_checkpoint_dir
@@ -54,13 +55,13 @@ def simhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """op4_mix's weights and share: a leaf within its budget gives every row, a leaf over it a seeded prefix. One epoch, so
     that no row comes out twice after the duplicates are gone."""
-    return mix(docs, LEVELS, WEIGHTS, share=SHARE, epochs=1).select(*docs.columns)
+    return mix(docs, LEVELS, mixing.WEIGHTS, share=SHARE, epochs=1).select(*docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return pack(pieces_of(docs, public_tokenizers.path("word_bpe_49k.json"), with_ids=False))
+    return pack(pieces_of(docs, public_tokenizers.path("word_bpe_49k.json"), with_ids=False), weights=WEIGHTS)
 
 
 STAGES = [("quality", quality), ("exact_dedup", exact), ("simhash", simhash), ("mixing", sources), ("packing", packing)]

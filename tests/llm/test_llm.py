@@ -139,6 +139,21 @@ def test_pack(spark, docs, odd):
         assert len(bins) <= 1.03 * -(-sum(w[3] for w in want) // 4096) + 1
 
 
+def test_rows_of_one_id_are_dealt_over_groups(spark):
+    """Null or repeated ids do not meet in one group, and weights of all three capacities keep the sequence count."""
+    for one in (None, 7):
+        rows = [(one, 0, 0, 50 + i % 400, i) for i in range(2000)]
+        pieces = spark.createDataFrame(rows, "doc_id long, piece int, start long, length long, ids_crc32 long")
+        got = packing.pack(pieces, group_rows=200, weights=packing.WEIGHTS).collect()
+        sizes = {}
+        for r in got:
+            sizes[r["sequence_id"] >> 32] = sizes.get(r["sequence_id"] >> 32, 0) + 1
+        assert len(got) == 2000 and len(sizes) == 11 and max(sizes.values()) < 300
+    lengths = np.random.default_rng(3).integers(1, 3000, 2000)
+    count = {w: packing.place(lengths, (4096, 4096, 4096.0**2), w, "norm")[0].max() + 1 for w in ((1.0, 0.0, 0.0), packing.WEIGHTS)}
+    assert count[packing.WEIGHTS] <= 1.01 * count[1.0, 0.0, 0.0]
+
+
 @pytest.mark.parametrize("rule", ["norm", "dot"])
 def test_every_capacity_holds(rule):
     lengths = np.random.default_rng(2).integers(1, 90, 400)
