@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from assetpulse.llm import exact_dedup, licenses, mixing, packing, preferences, quality, secrets, simhash, vectors, warc
+from assetpulse.llm import exact_dedup, licenses, mixing, packing, preferences, quality, secrets, simhash, spelling, token_counts, vector_codes, vectors, warc
 
 
 def all_queries() -> dict:
@@ -17,8 +17,11 @@ def all_queries() -> dict:
         "op8_simhash": simhash.op8_simhash,
         "op9_vectors": vectors.op9_vectors,
         "op10_preferences": preferences.op10_preferences,
+        "op11_token_counts": token_counts.op11_token_counts,
+        "op12_spelling": spelling.op12_spelling,
+        "op13_vector_codes": vector_codes.op13_vector_codes,
     }
 
 
 def all_sql() -> dict[str, str]:
-    return {"op3_exact_dedup": exact_dedup.SQL, "op7_licenses": licenses.sql()}
+    return {"op3_exact_dedup": exact_dedup.SQL, "op7_licenses": licenses.sql(), "op13_vector_codes": vector_codes.sql()}
