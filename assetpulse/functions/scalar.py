@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,8 +21,14 @@ __all__ = [
     "numbers_filled",
     "euclidean",
     "operating_days_between",
+    "days_in_mask",
+    "packed_order",
+    "ORDER_BITS",
 ]
 
+#: Bits a packed order can hold: 38 decimal digits.
+ORDER_BITS = 126
+
 
 def as_date(value: dt.date | str) -> Column:
     """Date literal from a date or an ISO string."""
@@ -88,3 +95,35 @@ def operating_days_between(first: Column, last: Column, weekdays: Column) -> Col
         return total + F.greatest(F.floor((span - offset) / F.lit(7.0)).cast("int") + 1, F.lit(0))
 
     return F.aggregate(weekdays, F.lit(0), add)
+
+
+def days_in_mask(mask: Column, days: Column) -> Column:
+    """How many of the first `days` days fall on the weekdays of a 7-bit mask whose bit 0 is the first day's weekday: whole
+    weeks times the mask's bits, and the bits of the week begun."""
+    begun = F.call_function("shiftleft", F.lit(1), F.pmod(days, F.lit(7))) - 1
+    return F.floor(days / F.lit(7)).cast("int") * F.bit_count(mask) + F.bit_count(mask.bitwiseAND(begun))
+
+
+def packed_order(parts: Sequence[tuple[Column, int]]) -> Column:
+    """Whole numbers from 0 up, each with its number of bits, as one number that orders as the tuple does, nulls first.
+
+    Up to 63 bits give a long, up to 126 a decimal: both are fixed-width, so max_by on them aggregates by hash. A value that
+    needs more than its bits (all ones stand for no value) is an error, never a wrong order."""
+    if sum(bits for _, bits in parts) > ORDER_BITS or any(not 0 < bits < 63 for _, bits in parts):
+        raise ValueError(f"a packed order has parts of 1 to 62 bits, {ORDER_BITS} together")
+    words: list[tuple[Column, int]] = []
+    for value, bits in parts:
+        value = value.cast("long")
+        fault = F.raise_error(F.concat(F.lit(f"order value outside {bits} bits: "), value.cast("string")))
+        outside = (value < 0) | (value >= F.lit(2**bits - 1))
+        placed = F.when(outside, fault.cast("long")).otherwise(F.coalesce(value + 1, F.lit(0).cast("long")))
+        if words and words[-1][1] + bits <= 63:
+            word, held = words[-1]
+            words[-1] = (F.shiftleft(word, bits) + placed, held + bits)
+        else:
+            words.append((placed, bits))
+    (total, _), *rest = words
+    for word, bits in rest:
+        wide = total.cast("decimal(38,0)") * F.lit(Decimal(2**bits)).cast("decimal(20,0)")
+        total = (wide + word.cast("decimal(20,0)")).cast("decimal(38,0)")
+    return total

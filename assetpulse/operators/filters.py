@@ -55,7 +55,7 @@ def life_events_where(life_events: DataFrame, code: int, value: int) -> DataFram
 
 
 def firmware_from_life_events(
-    life_events: DataFrame, type_column: str = "life_event_type_value", version_column: str = "life_event_type_value"
+    life_events: DataFrame, type_column: str, version_column: str
 ) -> DataFrame:
     """Firmware history out of a generic life-event table: rows of the firmware type, renamed."""
     return life_events.filter(F.col(type_column).cast("int") == FIRMWARE_EVENT).select(

@@ -12,11 +12,12 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from assetpulse.constants import ASSET, COST, DATE
+from assetpulse.constants import ASSET, COST, DATE, DEVICE_COLUMNS
 from assetpulse.functions import as_date, at_most, date_label, numbers_filled, ratio
 from assetpulse.operators.filters import between_dates
-from assetpulse.operators.joins import encode
+from assetpulse.operators.joins import encode, first_per_key
 
 LABEL = "failure_event"
 NAME_COLUMNS = ["model_group_name", "category_name", "type_name"]
@@ -41,6 +42,13 @@ def prepare(
     return numbers_filled(encode(encode(kept, security_map, "security_type"), model_map, "model_name"))
 
 
+def encode_devices(features: DataFrame, security_map: DataFrame, model_map: DataFrame) -> DataFrame:
+    """The device table, one row per product, with security type and model encoded and the other names dropped."""
+    names = [name for name in DEVICE_COLUMNS if name in features.columns]
+    devices = first_per_key(features, "product_identifier", names).drop(*NAME_COLUMNS)
+    return encode(encode(devices, security_map, "security_type"), model_map, "model_name")
+
+
 def time_split(
     data: DataFrame, train_end: dt.date | str, test_days: int = TEST_DAYS, embargo_days: int = 0
 ) -> tuple[DataFrame, DataFrame]:
@@ -62,14 +70,21 @@ def feature_columns(data: DataFrame, label: str = LABEL) -> list[str]:
     return [name for name in data.columns if name not in (ASSET, DATE, label)]
 
 
-def with_class_weight(train: DataFrame, label: str = LABEL, output: str = "weight") -> DataFrame:
-    """Balanced weights n / (2 * class size), from one aggregate row."""
-    sizes = train.agg(F.count("*").alias("n"), F.count_if(F.col(label) == 1).alias("positive")).first()
-    negative = sizes["n"] - sizes["positive"]
-    weight = F.when(F.col(label) == 1, sizes["n"] / (2.0 * max(sizes["positive"], 1))).otherwise(
-        sizes["n"] / (2.0 * max(negative, 1))
+def class_weights(train: DataFrame, label: str = LABEL) -> DataFrame:
+    """Both classes (1 and the rest, 0) with their rows and balanced weight n / (2 * rows); an empty class has the weight n / 2."""
+    sizes = train.agg(F.count("*").alias("n"), F.count_if(F.col(label) == 1).alias("positive"))
+    classes = F.array(
+        F.struct(F.lit(0).alias("class"), (F.col("n") - F.col("positive")).alias("rows")),
+        F.struct(F.lit(1).alias("class"), F.col("positive").alias("rows")),
     )
-    return train.withColumn(output, weight)
+    weight = F.col("n") / (F.lit(2.0) * F.greatest("rows", F.lit(1)))
+    return sizes.select("n", F.inline(classes)).select("class", "rows", weight.alias("weight"))
+
+
+def with_class_weight(train: DataFrame, label: str = LABEL, output: str = "weight") -> DataFrame:
+    """Balanced weights, from the two rows of class_weights."""
+    weights = {row["class"]: row["weight"] for row in class_weights(train, label).collect()}
+    return train.withColumn(output, F.when(F.col(label) == 1, weights[1]).otherwise(weights[0]))
 
 
 def fit_forest(
@@ -186,6 +201,38 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(f"{path}/model")
 
 
+@dataclass(frozen=True)
+class StoredModel:
+    """A model read back with its description; it scores tables that have its features, whatever else they have."""
+
+    model: PipelineModel
+    version: str
+    train_end: str
+    trained_on: str
+    features: tuple[str, ...]
+
+    def check(self, data: DataFrame) -> None:
+        """Raises ValueError where data lacks a feature, has it in a kind a model cannot read, or has numeric columns that a
+        model trained on data like it would also have used (a newer table, an older model)."""
+        kinds = {field.name: field.dataType for field in data.schema.fields}
+        missing = [name for name in self.features if name not in kinds]
+        odd = [name for name in self.features if name in kinds and not isinstance(kinds[name], (T.NumericType, T.BooleanType))]
+        new = [name for name in feature_columns(data) if name not in self.features and isinstance(kinds[name], T.NumericType)]
+        faults = {"missing": missing, "not numeric": odd, "unknown to the model": new}
+        if any(faults.values()):
+            raise ValueError("features do not fit: " + "; ".join(f"{what} {names}" for what, names in faults.items() if names))
+
+    def predict(self, data: DataFrame, label: str = LABEL) -> DataFrame:
+        self.check(data)
+        return predict(self.model, data, label)
+
+
+def read_model(path: str) -> StoredModel:
+    """Model and description from path, as save_model wrote them."""
+    meta = SparkSession.active().read.parquet(f"{path}/metadata").first()
+    return StoredModel(load_model(path), meta["version"], meta["train_end"], meta["trained_on"], tuple(meta["feature_columns"]))
+
+
 @dataclass(frozen=True)
 class ModelRun:
     model: PipelineModel
@@ -195,11 +242,18 @@ class ModelRun:
 
 
 def run_model(
-    prepared: DataFrame, train_end: dt.date | str, name: str = "random forest", embargo_days: int = 0, trees: int = 100
+    prepared: DataFrame, train_end: dt.date | str, name: str = "random forest", embargo_days: int = 0, trees: int = 100,
+    store: str | None = None, version: str = "1", trained_on: dt.date | str | None = None,
 ) -> ModelRun:
-    """Split, fit, predict, report the last test date and evaluate."""
+    """Split, fit, predict, report the last test date and evaluate. With store, the model is saved there with its features and
+    read back, and the stored model makes the predictions."""
     train, test = time_split(prepared, train_end, embargo_days=embargo_days)
     model = fit_forest(train, trees=trees)
-    predictions = predict(model, test)
+    if store is None:
+        predictions = predict(model, test)
+    else:
+        save_model(model, store, feature_columns(train), version, train_end, trained_on or dt.date.today())
+        stored = read_model(store)
+        model, predictions = stored.model, stored.predict(test)
     report = score_report(test, predictions, [day_after(train_end, TEST_DAYS)])
     return ModelRun(model, predictions, report, results_table({name: evaluate(predictions)}))

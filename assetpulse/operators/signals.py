@@ -15,17 +15,31 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assetpulse.constants import ASSET, DATE, FAILURE_CODES
-from assetpulse.functions import as_date
+from assetpulse.functions import ORDER_BITS, as_date, packed_order
 from assetpulse.operators.filters import is_failure, is_pm
 from assetpulse.operators.joins import restrict_to
 
 
-def work_signal(work: DataFrame, as_of: dt.date | str, tie_break: Sequence[str]) -> DataFrame:
+#: A column, or a column of whole numbers from 0 up and how many bits they need.
+TieBreak = str | tuple[str, int]
+
+FIRMWARE_SOURCES = ("history", "life_events", "history_first", "life_events_first")
+
+
+def row_order(tie_break: Sequence[TieBreak]) -> Column:
+    """What orders the rows of a day. With a bit width for every column it is one packed number: an aggregate that picks the
+    last row then keeps a hash table, with a struct of columns it has to sort the raw rows."""
+    if tie_break and all(isinstance(part, tuple) for part in tie_break):
+        return packed_order([(F.col(name), bits) for name, bits in tie_break])
+    return F.struct(*[part if isinstance(part, str) else part[0] for part in tie_break])
+
+
+def work_signal(work: DataFrame, as_of: dt.date | str, tie_break: Sequence[TieBreak]) -> DataFrame:
     """Work of the last row of each day; a null unit on an existing row counts as 0 in sums."""
     return (
         work.filter(F.col(DATE) <= as_date(as_of))
         .groupBy(ASSET, F.col(DATE).alias("day"))
-        .agg(F.max_by(F.col("working_unit").cast("long"), F.struct(*tie_break)).alias("work"))
+        .agg(F.max_by(F.col("working_unit").cast("long"), row_order(tie_break)).alias("work"))
         .withColumn("work", F.coalesce("work", F.lit(0).cast("long")))
         .withColumn("has_work", F.lit(True))
     )
@@ -81,18 +95,54 @@ def code_failure_signal(
     )
 
 
-def firmware_signal(firmware: DataFrame, as_of: dt.date | str, tie_break: Sequence[str] = ()) -> DataFrame:
-    """Firmware set on each day, the last of the day winning. The date column must be parsed already."""
-    order = F.struct("created_date", *tie_break, "firmware_version_id")
+def firmware_signal(firmware: DataFrame, as_of: dt.date | str, tie_break: Sequence[TieBreak] = ()) -> DataFrame:
+    """Firmware set on each day, the last of the day winning: by time, tie_break, version. The date column must be parsed
+    already. If the tie-break has bit widths (or is empty), versions are whole numbers from 0 up."""
+    version = F.col("firmware_version_id").cast("int")
+    if all(isinstance(part, tuple) for part in tie_break):
+        parts = [(micros_of_day(F.col("created_date")), 37), *[(F.col(name), bits) for name, bits in tie_break]]
+        order = packed_order([*parts, (version, min(32, ORDER_BITS - sum(bits for _, bits in parts)))])
+    else:
+        order = F.struct("created_date", *[part if isinstance(part, str) else part[0] for part in tie_break], version)
     return (
         firmware.withColumn("day", F.col("created_date").cast("date"))
         .filter(F.col("day") <= as_date(as_of))
         .groupBy(ASSET, "day")
-        .agg(F.max_by(F.col("firmware_version_id").cast("int"), order).alias("firmware"))
+        .agg(F.max_by(version, order).alias("firmware"))
         .withColumn("has_firmware", F.lit(True))
     )
 
 
+def micros_of_day(moment: Column) -> Column:
+    seconds = F.hour(moment) * 3600 + F.minute(moment) * 60
+    return seconds.cast("long") * 1_000_000 + (F.extract(F.lit("SECOND"), moment) * 1_000_000).cast("long")
+
+
+def firmware_sources(
+    history: DataFrame | None, events: DataFrame | None, as_of: dt.date | str, tie_break: Sequence[TieBreak], source: str
+) -> DataFrame | None:
+    """Firmware of each day from the history, from life events, or from both: where both set it on a day, the one named first
+    holds. None without a source of the kind asked for."""
+    parts = {}
+    if history is not None and source != "life_events":
+        parts["history"] = firmware_signal(history, as_of, tie_break)
+    if events is not None and source != "history":
+        parts["life_events"] = firmware_signal(events, as_of)
+    if len(parts) < 2:
+        return next(iter(parts.values()), None)
+    first = source.removesuffix("_first")
+    ranked = [part.withColumn("rank", F.lit(int(name == first))) for name, part in parts.items()]
+    both = ranked[0].unionByName(ranked[1]).groupBy(ASSET, "day").agg(F.max_by("firmware", "rank").alias("firmware"))
+    return both.withColumn("has_firmware", F.lit(True))
+
+
+def weekday_signal(operational_days: DataFrame, min_hours: float = 0) -> DataFrame:
+    """Operating weekdays of each asset as a 7-bit mask, bit 0 for Sunday (day numbers 0 to 6, Sunday = 0)."""
+    open_days = operational_days.filter(F.col("operational_hours") >= min_hours)
+    bit = F.call_function("shiftleft", F.lit(1), F.col("day").cast("int"))
+    return open_days.groupBy(F.col("id").alias(ASSET)).agg(F.bit_or(bit).alias("operating_weekdays"))
+
+
 def install_signal(assets: DataFrame, valid: DataFrame | None = None, product: bool = True) -> DataFrame:
     """Install day of each listed asset; it also gates which assets have a timeline."""
     listed = restrict_to(assets, valid) if valid is not None else assets

@@ -16,7 +16,7 @@ Per asset there are at most two rows per calendar day, however many raw rows it
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -24,9 +24,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assetpulse.constants import ASSET, DATE
-from assetpulse.functions import as_date, ratio
+from assetpulse.functions import as_date, days_in_mask, ratio
 
 COUNTERS = {"work": "long", "pm": "long", "failure": "long", "code_failure": "long"}
+OPERATING_WEEKDAYS = "operating_weekdays"
 OTHERS = {"has_work": "boolean", "firmware": "int", "has_firmware": "boolean"}
 
 
@@ -35,7 +36,7 @@ class TimelineSettings:
     as_of: dt.date | str
     window_days: int = 30
     pm_scope: str = "from_install"
-    product: bool = False
+    attributes: tuple[str, ...] = ()
     code_columns: tuple[str, ...] = ()
 
     def __post_init__(self):
@@ -59,14 +60,14 @@ def stack_signals(signals: Sequence[DataFrame], settings: TimelineSettings) -> D
 
 
 def with_bounds(stacked: DataFrame, settings: TimelineSettings) -> DataFrame:
-    """Adds install and start (first day of the asset's facts); assets without either are dropped."""
+    """Adds install, start (first day of the asset's facts) and the attributes; assets without either day are dropped, as
+    are the rows without a day, which only carry attributes."""
     whole = f"OVER (PARTITION BY {ASSET})"
     bounds = [f"min(installed) {whole} AS install", f"min(CASE WHEN has_work THEN day END) {whole} AS first_work"]
-    if settings.product:
-        bounds.append(f"max(product_identifier) {whole} AS product")
+    bounds += [f"max({name}) {whole} AS asset_{name}" for name in settings.attributes]
     return (
         stacked.selectExpr("*", *bounds)
-        .filter("install IS NOT NULL AND first_work IS NOT NULL")
+        .filter("install IS NOT NULL AND first_work IS NOT NULL AND day IS NOT NULL")
         .withColumn("start", F.greatest("install", "first_work"))
         .filter(F.col("start") <= as_date(settings.as_of))
     )
@@ -96,7 +97,7 @@ def change_days(bounded: DataFrame, settings: TimelineSettings) -> DataFrame:
         "max(CASE WHEN sign = 1 THEN firmware END) AS firmware",
         "coalesce(max(CASE WHEN sign = 1 THEN has_firmware END), false) AS has_firmware",
     ]
-    keys = [ASSET, "install", "start"] + (["product"] if settings.product else [])
+    keys = [ASSET, "install", "start", *[f"asset_{name}" for name in settings.attributes]]
     effective = signed.withColumn("day", F.expr(f"CASE WHEN sign = 1 THEN day ELSE {later} END"))
     return effective.groupBy(*keys, "day").agg(*[F.expr(total) for total in sums])
 
@@ -163,8 +164,11 @@ def _state_columns(settings: TimelineSettings) -> list[str]:
         "later_code_failure_day",
         "coalesce(firmware_now.firmware, later_firmware) AS firmware_in_force",
     ]
-    if settings.product:
-        columns.append("product")
+    for name in settings.attributes:
+        if name == OPERATING_WEEKDAYS:
+            columns.append(f"{weekdays_from_install(f'asset_{name}')} AS operating_from_install")
+        else:
+            columns.append(f"asset_{name} AS {name}")
     for name in settings.code_columns:
         # Sample deviation from exact integer sums.
         squared = f"CAST(roll2_{name} * {n} - roll_{name} * roll_{name} AS DOUBLE)"
@@ -172,6 +176,19 @@ def _state_columns(settings: TimelineSettings) -> list[str]:
     return columns
 
 
+def weekdays_from_install(mask: str) -> str:
+    """SQL: a mask of weekdays (bit 0 is Sunday) turned so that bit 0 is the weekday of install; null is no weekday."""
+    first = "(dayofweek(install) - 1)"
+    return f"((shiftright(coalesce({mask}, 0), {first}) | shiftleft(coalesce({mask}, 0), 7 - {first})) & 127)"
+
+
+def with_previous(states: DataFrame) -> DataFrame:
+    """Adds the columns of the asset's state before this one as before_*; unused ones are pruned. The rows are in order already,
+    so this is one more function in the sorted pass over change days."""
+    window = f"PARTITION BY {ASSET} ORDER BY day"
+    return states.selectExpr("*", *[f"lag({name}) OVER ({window}) AS before_{name}" for name in states.columns if name != ASSET])
+
+
 def expand_days(
     states: DataFrame, first_date: dt.date | str | None = None, last_date: dt.date | str | None = None
 ) -> DataFrame:
@@ -192,36 +209,54 @@ def fact_columns(
     horizon_days: int = 30,
     cap_days: int = 180,
     failure_label: str = "requests",
+    state: Callable[[str], Column] = F.col,
+    today: Column | None = None,
 ) -> dict[str, Column]:
-    """Fact columns as arithmetic on an expanded state row."""
+    """Fact columns as arithmetic on an expanded state row: those of the day `today` (the row's day) in the state that
+    `state` reads (the row's own)."""
     if failure_label not in ("requests", "error_codes"):
         raise ValueError("failure_label is 'requests' or 'error_codes'")
-    today = F.col(DATE)
-    on_change_day = today == F.col("day")
-    age = F.datediff(today, F.col("install"))
+    today = F.col(DATE) if today is None else today
+    on_change_day = today == state("day")
+    age = F.datediff(today, state("install"))
 
     def days_to(kind: str) -> Column:
-        following = F.when(on_change_day, F.col(f"next_{kind}_day")).otherwise(F.col(f"later_{kind}_day"))
+        following = F.when(on_change_day, state(f"next_{kind}_day")).otherwise(state(f"later_{kind}_day"))
         return F.datediff(following, today)
 
     label = days_to("failure" if failure_label == "requests" else "code_failure")
     columns = {
-        "working_unit": F.when(on_change_day, F.col("work")).otherwise(F.lit(0)),
-        "notes_in": F.col("work_total"),
-        "notes_in_last30": F.col("roll_work"),
-        "notes_in_last_pm": F.col("work_since_pm"),
-        "last_pm_date": F.datediff(today, F.col("pm_anchor")),
+        "working_unit": F.when(on_change_day, state("work")).otherwise(F.lit(0)),
+        "notes_in": state("work_total"),
+        "notes_in_last30": state("roll_work"),
+        "notes_in_last_pm": state("work_since_pm"),
+        "last_pm_date": F.datediff(today, state("pm_anchor")),
         "age": age,
-        "firmwareHistory": F.col("firmware_in_force"),
+        "firmwareHistory": state("firmware_in_force"),
         "failure_event": F.coalesce((label <= horizon_days).cast("int"), F.lit(0)),
         "day_to_failure": F.least(F.coalesce(days_to("failure"), F.lit(cap_days)), F.lit(cap_days)),
-        "numIncidents": F.col("incidents"),
-        "days_Since_failure": F.datediff(today, F.col("failure_anchor")),
-        "Avg_notes_in": ratio(F.col("work_total"), age),
-        "Avg_notes_in_last30": ratio(F.col("roll_work"), F.lit(settings.window_days)),
+        "numIncidents": state("incidents"),
+        "days_Since_failure": F.datediff(today, state("failure_anchor")),
+        "Avg_notes_in": ratio(state("work_total"), age),
+        "Avg_notes_in_last30": ratio(state("roll_work"), F.lit(settings.window_days)),
     }
+    if OPERATING_WEEKDAYS in settings.attributes:
+        columns["operational_age"] = days_in_mask(state("operating_from_install"), age + 1)
     # The deviation is null until the window is full.
     for name in settings.code_columns:
-        columns[name] = F.col(f"roll_{name}")
-        columns[f"{name}_std"] = F.expr(f"CASE WHEN {DATE} >= full_window_from THEN spread_{name} END")
+        columns[name] = state(f"roll_{name}")
+        columns[f"{name}_std"] = F.when(today >= state("full_window_from"), state(f"spread_{name}"))
     return columns
+
+
+def previous_fact_columns(settings: TimelineSettings, **options: object) -> dict[str, Column]:
+    """Fact columns of the asset's previous row: on a quiet day the same state one day earlier, on a change day the state
+    before it (with_previous). Null on the asset's first day."""
+    quiet = F.col(DATE) > F.col("day")
+
+    def state(name: str) -> Column:
+        return F.when(quiet, F.col(name)).otherwise(F.col(f"before_{name}"))
+
+    known = quiet | F.col("before_day").isNotNull()
+    columns = fact_columns(settings, state=state, today=F.date_sub(F.col(DATE), 1), **options)
+    return {name: F.when(known, value) for name, value in columns.items()}

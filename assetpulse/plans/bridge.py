@@ -11,13 +11,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 AS_OF = "2001-06-30"
 SCREEN_AS_OF = "2024-01-30"
-TIE_BREAK = ["order_id", "line", "part_id", "quantity", "price"]
+#: Whole numbers, each with the bits it may need.
+TIE_BREAK = [("order_id", 40), ("line", 6), ("part_id", 34), ("quantity", 12), ("price_cents", 33)]
+FIRMWARE_TIE_BREAK = TIE_BREAK[:3]
 _TIE = [
     "l_orderkey AS order_id",
     "l_linenumber AS line",
     "l_partkey AS part_id",
-    "l_quantity AS quantity",
-    "l_extendedprice AS price",
+    "CAST(l_quantity AS BIGINT) AS quantity",
+    "CAST(round(l_extendedprice * 100) AS BIGINT) AS price_cents",
 ]
 
 
@@ -67,8 +69,12 @@ class Bridge:
                 "l_suppkey AS customer_asset_identifier",
                 "CAST(l_shipdate AS DATE) AS service_request_date",
                 """CASE WHEN l_returnflag = 'A' AND l_quantity <= 4 THEN 'Preventative Maintenance'
-                        WHEN l_returnflag = 'R' AND l_quantity >= 46 THEN 'Hardware Fault'
+                        WHEN l_returnflag = 'R' AND l_quantity >= 48 THEN 'Hardware Fault'
+                        WHEN l_returnflag = 'R' AND l_quantity >= 46 THEN 'Paper Jam'
                         WHEN l_returnflag = 'A' AND l_quantity BETWEEN 5 AND 10 THEN 'Cleaning Supplies'
+                        WHEN l_returnflag = 'A' THEN CASE CAST(l_quantity AS INT) % 6
+                            WHEN 0 THEN 'Log Collection/Configuration' WHEN 1 THEN 'Installation/Integration'
+                            WHEN 2 THEN 'Misrouted Call' WHEN 3 THEN 'Welcome Call' WHEN 4 THEN 'Serial Number Wrong' END
                    END AS incident_category""",
                 "l_linestatus AS status",
                 "CAST(l_linenumber AS STRING) AS priority",
@@ -117,6 +123,29 @@ class Bridge:
             )
         )
 
+    def fleet_life_events(self) -> DataFrame:
+        """Status (2), log (3) and firmware (4) events of the fact bridge's assets. Most assets have a log event at install."""
+        changes = (
+            self.table("lineitem")
+            .filter("(l_returnflag = 'A' AND l_linenumber >= 6) OR (l_returnflag = 'R' AND l_linenumber = 5 AND l_quantity > 40)")
+            .selectExpr(
+                "l_suppkey AS customer_asset_identifier",
+                "CAST(l_shipdate AS DATE) AS date",
+                "CASE l_linenumber WHEN 7 THEN 3 WHEN 6 THEN 2 ELSE 4 END AS life_event_code",
+                """CAST(CASE WHEN l_linenumber = 5 THEN l_partkey % 50
+                             WHEN l_linenumber = 7 AND (l_suppkey % 7 = 3 OR (l_suppkey % 7 IN (1, 5) AND l_partkey % 4 = 0)) THEN 2
+                             WHEN l_linenumber = 6 AND l_suppkey % 10 = 4 AND l_partkey % 3 = 0 THEN 0
+                             ELSE 1 END AS INT) AS life_event_value""",
+            )
+        )
+        installed = self.assets().filter("customer_asset_identifier % 4 <> 2").selectExpr(
+            "customer_asset_identifier",
+            "installed_date AS date",
+            "3 AS life_event_code",
+            "CASE WHEN customer_asset_identifier % 7 = 3 THEN 2 ELSE 1 END AS life_event_value",
+        )
+        return changes.unionByName(installed)
+
     def service_orders(self) -> DataFrame:
         """Orders; the asset is the customer, so that some orders point outside the asset master."""
         return self.table("orders").selectExpr(

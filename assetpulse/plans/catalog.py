@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,11 +12,11 @@ from pyspark.sql import types as T
 
 from assetpulse.constants import ASSET, CRITICALITIES_SHORT, DATE, LISTED_CODES_SHORT, MODEL_CUTOFFS
 from assetpulse.functions import at_most
-from assetpulse.operators import model, ranking
+from assetpulse.operators import coverage, filters, model, ranking
 from assetpulse.operators import reference_tables as ref
 from assetpulse.plans import daily_facts as facts
-from assetpulse.plans import screening
-from assetpulse.plans.bridge import AS_OF, SCREEN_AS_OF, TIE_BREAK, Bridge
+from assetpulse.plans import fleet, screening
+from assetpulse.plans.bridge import AS_OF, FIRMWARE_TIE_BREAK, SCREEN_AS_OF, TIE_BREAK, Bridge
 from assetpulse.session import materialize
 from assetpulse.sources import drop_any_null, valid_dates
 
@@ -46,7 +48,7 @@ def fact_sources(bridge: Bridge, *parts: str) -> facts.FactSources:
         work=bridge.daily_work(),
         assets=bridge.assets(),
         work_tie_break=TIE_BREAK,
-        firmware_tie_break=TIE_BREAK,
+        firmware_tie_break=FIRMWARE_TIE_BREAK,
         **{name: optional[name]() for name in chosen},
     )
 
@@ -180,10 +182,9 @@ TEST_START, TEST_END = "2001-05-01", "2001-05-30"
 MODEL_FIRST_DATE = "1998-01-01"
 
 
-def prepared_facts(bridge: Bridge) -> DataFrame:
-    facts_in_range = bridge_facts(bridge, first_date=MODEL_FIRST_DATE, last_date=TEST_END)
-    return model.prepare(
-        facts_in_range, bridge.security_map(), bridge.model_map(), TEST_END, first_date=MODEL_FIRST_DATE
+def prepared_facts(bridge: Bridge, sources: facts.FactSources | None = None) -> DataFrame:
+    return fleet.prepared_facts(
+        sources or fact_sources(bridge), bridge.security_map(), bridge.model_map(), AS_OF, TEST_END, MODEL_FIRST_DATE
     )
 
 
@@ -191,6 +192,51 @@ def ml_prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(prepared_facts(Bridge(spark, sf_dir)), "Avg_notes_in", "Avg_notes_in_last30")
 
 
+# Limits that part the assets of the fact bridge: about 200 work rows each, runs of 20 to 100 irregular steps.
+FLEET_LIMITS = screening.ScreenSettings(min_rows=185, max_irregular_run=45)
+
+
+def bridge_fleet(bridge: Bridge, *parts: str) -> fleet.Fleet:
+    return fleet.screen_fleet(fact_sources(bridge, *parts), bridge.fleet_life_events(), AS_OF, FLEET_LIMITS)
+
+
+def daily_facts_valid(bridge: Bridge) -> DataFrame:
+    return rounded(bridge_fleet(bridge).facts(), "Avg_notes_in", "Avg_notes_in_last30")
+
+
+def ml_prepared_valid(bridge: Bridge) -> DataFrame:
+    return rounded(prepared_facts(bridge, bridge_fleet(bridge).sources), "Avg_notes_in", "Avg_notes_in_last30")
+
+
+def firmware_from_life_events(source: str) -> Query:
+    """Firmware as of each day, from life events or from both sources."""
+
+    def build(bridge: Bridge) -> DataFrame:
+        events = filters.firmware_from_life_events(bridge.fleet_life_events(), "life_event_code", "life_event_value")
+        sources = replace(fact_sources(bridge, "firmware"), firmware_events=valid_dates(events, "created_date"))
+        return facts.daily_facts(sources, AS_OF, facts.FactSettings(firmware_source=source)).select(ASSET, DATE, "firmwareHistory")
+
+    return bridge_query(build)
+
+
+ELIGIBLE_AFTER = "1996-12-31"
+
+FLEET_QUERIES: dict[str, Query] = {
+    "daily_facts_valid": bridge_query(daily_facts_valid),
+    "dropped_assets": bridge_query(lambda b: bridge_fleet(b).dropped()),
+    "ml_prepared_valid": bridge_query(ml_prepared_valid),
+    "log_status_throughout": bridge_query(
+        lambda b: coverage.log_status_throughout(b.fleet_life_events(), b.daily_work(), AS_OF)
+    ),
+    "eligible_assets": bridge_query(
+        lambda b: coverage.eligible_assets(b.assets(), b.daily_work(), b.fleet_life_events(), AS_OF, ELIGIBLE_AFTER, 400, 180)
+    ),
+    "firmware_from_life_events": firmware_from_life_events("life_events"),
+    "firmware_history_first": firmware_from_life_events("history_first"),
+    "firmware_life_events_first": firmware_from_life_events("life_events_first"),
+}
+
+
 def time_split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     bridge = Bridge(spark, sf_dir)
     panel = facts.daily_work_panel(facts.FactSources(bridge.daily_work(), bridge.assets(), TIE_BREAK), AS_OF)
@@ -263,11 +309,37 @@ def regression_metrics(bridge: Bridge) -> DataFrame:
     return rounded(model.results_table({"time since failure": metrics}))
 
 
-def forest_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fits the forest on the training days and scores the test days. Fact rows are read by several passes,
-    so they are written once."""
-    run = model.run_model(materialize(prepared_facts(Bridge(spark, sf_dir))), TRAIN_END)
-    return run.predictions
+def forest_run(bridge: Bridge) -> model.ModelRun:
+    """Fits the forest on the training days, stores it in the shared folder and scores the test days with the stored model. Fact
+    rows are read by several passes, so they are written once."""
+    prepared = materialize(prepared_facts(bridge))
+    folder = f"{bridge.spark.sparkContext.getCheckpointDir()}/forest-{uuid.uuid4()}"
+    return model.run_model(prepared, TRAIN_END, store=folder, trained_on=AS_OF)
+
+
+def forest_predictions(bridge: Bridge) -> DataFrame:
+    return forest_run(bridge).predictions
+
+
+def forest_report(bridge: Bridge) -> DataFrame:
+    """The report of the last test day, with scores replaced by whether they are probabilities."""
+    fit = F.col("mdl_pred").between(0.0, 1.0).cast("int").alias("is_probability")
+    return forest_run(bridge).report.select(DATE, ASSET, "failure_event", "notes_in_last_pm", fit)
+
+
+def forest_metrics(bridge: Bridge) -> DataFrame:
+    """What does not depend on the trees: the class sizes in the confusion counts, and whether the metrics are shares."""
+    predictions = forest_run(bridge).predictions
+    counts = model.confusion(predictions).select((F.col("tn") + F.col("fp")).alias("negatives"), (F.col("fn") + F.col("tp")).alias("positives"))
+    shares = [F.col(name).between(0.0, 1.0) for name in ("recall", "precision", "accuracy")]
+    fit = model.evaluate(predictions).select((shares[0] & shares[1] & shares[2]).cast("int").alias("are_shares"))
+    return counts.withColumn("are_shares", fit.scalar())
+
+
+def class_weights(bridge: Bridge) -> DataFrame:
+    """Of the training days; the label alone is needed."""
+    days = bridge_facts(bridge, "service_requests", first_date=MODEL_FIRST_DATE, last_date=TRAIN_END)
+    return rounded(model.class_weights(days))
 
 
 MODEL_QUERIES: dict[str, Query] = {
@@ -283,25 +355,25 @@ MODEL_QUERIES: dict[str, Query] = {
     "reference_lines": bridge_query(lambda b: rounded(ranking.reference_lines(scored_report(b), "failure_event"))),
     "classification_metrics": bridge_query(classification_metrics),
     "regression_metrics": bridge_query(regression_metrics),
-    "forest_predictions": forest_predictions,
+    "forest_predictions": bridge_query(forest_predictions),
+    "forest_report": bridge_query(forest_report),
+    "forest_metrics": bridge_query(forest_metrics),
+    "class_weights": bridge_query(class_weights),
 }
 
 
-def operational_age(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bridge = Bridge(spark, sf_dir)
-    sources = facts.FactSources(bridge.daily_work(), bridge.assets(), TIE_BREAK)
-    panel = facts.daily_work_panel(sources, AS_OF).select(ASSET, DATE, "age")
-    return facts.operational_age(panel, bridge.assets(), bridge.operational_days())
+def operational_age(bridge: Bridge) -> DataFrame:
+    sources = facts.FactSources(bridge.daily_work(), bridge.assets(), TIE_BREAK, operational_days=bridge.operational_days())
+    return facts.daily_facts(sources, AS_OF).select(ASSET, DATE, "age", "operational_age")
 
 
-def row_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+def row_change(bridge: Bridge) -> DataFrame:
     settings = facts.FactSettings(criticalities=CRITICALITIES_SHORT, codes=LISTED_CODES_SHORT)
-    sources = fact_sources(Bridge(spark, sf_dir), "service_requests", "error_events")
-    return rounded(facts.row_change(facts.daily_facts(sources, AS_OF, settings)))
+    return rounded(facts.daily_change(fact_sources(bridge, "service_requests", "error_events"), AS_OF, settings))
 
 
-FACT_QUERIES |= {"operational_age": operational_age, "row_change": row_change}
+FACT_QUERIES |= {"operational_age": bridge_query(operational_age), "row_change": bridge_query(row_change)}
 
 
 def all_queries() -> dict[str, Query]:
-    return {**FACT_QUERIES, **SCREEN_QUERIES, **REFERENCE_QUERIES, **MODEL_QUERIES}
+    return {**FACT_QUERIES, **FLEET_QUERIES, **SCREEN_QUERIES, **REFERENCE_QUERIES, **MODEL_QUERIES}

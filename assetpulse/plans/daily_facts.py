@@ -53,19 +53,23 @@ class FactSettings:
     exclude_listed_codes: bool = False
     failure_codes: Sequence[int] = field(default_factory=lambda: tuple(FAILURE_CODES))
     device_columns: str | None = "features"
+    firmware_source: str = "history"
+    min_hours: float = 0
     first_date: dt.date | str | None = None
     last_date: dt.date | str | None = None
 
     def __post_init__(self):
         if self.device_columns not in ("features", "master", None):
             raise ValueError("device_columns is 'features', 'master' or None")
+        if self.firmware_source not in sig.FIRMWARE_SOURCES:
+            raise ValueError(f"firmware_source is one of {sig.FIRMWARE_SOURCES}")
 
 
 @dataclass(frozen=True)
 class FactSources:
     """Inputs of the fact table. A source left out takes its columns out of the result.
 
-    error_events must have been cleared of rows with nulls, and firmware.created_date be parsed
+    firmware_events is firmware out of life events (filters.firmware_from_life_events). error_events must have been cleared of rows with nulls, and firmware.created_date be parsed
     (sources.drop_any_null, sources.valid_dates).
     """
 
@@ -77,18 +81,47 @@ class FactSources:
     error_events: DataFrame | None = None
     firmware: DataFrame | None = None
     firmware_tie_break: Sequence[str] = ()
+    firmware_events: DataFrame | None = None
     asset_features: DataFrame | None = None
+    operational_days: DataFrame | None = None
 
 
-def daily_facts(sources: FactSources, as_of: dt.date | str, settings: FactSettings | None = None) -> DataFrame:
+@dataclass(frozen=True)
+class Timeline:
+    """States of the assets, and what is needed to expand them to fact rows."""
+
+    states: DataFrame
+    line: tl.TimelineSettings
+    settings: FactSettings
+    names: list[str]
+    device: list[str]
+
+    def options(self) -> dict[str, object]:
+        return {
+            "horizon_days": self.settings.horizon_days,
+            "cap_days": self.settings.cap_days,
+            "failure_label": self.settings.failure_label,
+        }
+
+    def days(self, states: DataFrame) -> DataFrame:
+        return tl.expand_days(states, self.settings.first_date, self.settings.last_date)
+
+
+def timeline(sources: FactSources, as_of: dt.date | str, settings: FactSettings | None = None) -> Timeline:
+    """Signals, change days and states; all shuffles and joins are below the states."""
     settings = settings or FactSettings()
     by_product = settings.device_columns == "features" and sources.asset_features is not None
     stack = [
         sig.install_signal(sources.assets, sources.valid, product=by_product),
         sig.work_signal(sources.work, as_of, sources.work_tie_break),
     ]
+    attributes = ["product_identifier"] if by_product else []
     names = list(WORK_COLUMNS)
     code_columns: list[str] = []
+    if sources.operational_days is not None:
+        stack.append(sig.weekday_signal(sources.operational_days, settings.min_hours))
+        attributes.append(tl.OPERATING_WEEKDAYS)
+        names.append("operational_age")
     if sources.service_requests is not None:
         stack.append(sig.service_signal(sources.service_requests, as_of))
         names += SERVICE_COLUMNS
@@ -107,15 +140,18 @@ def daily_facts(sources: FactSources, as_of: dt.date | str, settings: FactSettin
         label_known = True
     if label_known:
         names.append("failure_event")
-    if sources.firmware is not None:
-        stack.append(sig.firmware_signal(sources.firmware, as_of, sources.firmware_tie_break))
+    firmware = sig.firmware_sources(
+        sources.firmware, sources.firmware_events, as_of, sources.firmware_tie_break, settings.firmware_source
+    )
+    if firmware is not None:
+        stack.append(firmware)
         names.append("firmwareHistory")
 
     line = tl.TimelineSettings(
         as_of=as_of,
         window_days=settings.window_days,
         pm_scope=settings.pm_scope,
-        product=by_product,
+        attributes=tuple(attributes),
         code_columns=tuple(code_columns),
     )
     bounded = tl.with_bounds(tl.stack_signals(stack, line), line)
@@ -123,17 +159,37 @@ def daily_facts(sources: FactSources, as_of: dt.date | str, settings: FactSettin
     device: list[str] = []
     if by_product:
         device = [name for name in DEVICE_COLUMNS if name in sources.asset_features.columns]
-        features = first_per_key(sources.asset_features, "product_identifier", device)
-        states = states.join(features.withColumnRenamed("product_identifier", "product"), "product")
+        states = states.join(first_per_key(sources.asset_features, "product_identifier", device), "product_identifier")
     elif settings.device_columns == "master":
         device = [name for name in DEVICE_COLUMNS if name in sources.assets.columns]
         states = states.join(first_per_key(sources.assets, ASSET, device), ASSET)
-
-    columns = tl.fact_columns(line, settings.horizon_days, settings.cap_days, settings.failure_label)
     for name in code_columns:
         names += [name, f"{name}_std"]
-    days = tl.expand_days(states, settings.first_date, settings.last_date)
-    return days.select(ASSET, DATE, *[columns[name].alias(name) for name in names], *device)
+    return Timeline(states, line, settings, names, device)
+
+
+def daily_facts(sources: FactSources, as_of: dt.date | str, settings: FactSettings | None = None) -> DataFrame:
+    line = timeline(sources, as_of, settings)
+    columns = tl.fact_columns(line.line, **line.options())
+    return line.days(line.states).select(ASSET, DATE, *[columns[name].alias(name) for name in line.names], *line.device)
+
+
+def daily_change(
+    sources: FactSources,
+    as_of: dt.date | str,
+    settings: FactSettings | None = None,
+    columns: Sequence[str] = tuple(CHANGE_COLUMNS),
+    threshold: float = CHANGE_DISTANCE,
+) -> DataFrame:
+    """row_change of the fact table, without a dense window: the previous row is arithmetic on the state that held a day
+    earlier, which is the row's own or the one before it. Any fact columns may be compared."""
+    line = timeline(sources, as_of, settings)
+    days = line.days(tl.with_previous(line.states))
+    now = tl.fact_columns(line.line, **line.options())
+    before = tl.previous_fact_columns(line.line, **line.options())
+    first = (F.col(DATE) == F.col("day")) & F.col("before_day").isNull()
+    distance = F.when(~first, euclidean([(now[name], before[name]) for name in columns]))
+    return with_changed(days.select(ASSET, DATE, distance.alias("distance")), threshold)
 
 
 def daily_work_panel(sources: FactSources, as_of: dt.date | str, window_days: int = 30) -> DataFrame:
@@ -172,7 +228,8 @@ def dropped_assets(sources: FactSources, as_of: dt.date | str) -> DataFrame:
 
 
 def operational_age(facts: DataFrame, assets: DataFrame, operational_days: DataFrame, min_hours: float = 0) -> DataFrame:
-    """Operating days in [install, date]; an asset without operating weekdays stays at 0."""
+    """Operating days in [install, date] for a table of days that is already dense; an asset without operating weekdays stays
+    at 0. In a fact job, give FactSources.operational_days instead: nothing is then joined to days."""
     weekdays = (
         operational_days.filter(F.col("operational_hours").isNotNull() & (F.col("operational_hours") >= min_hours))
         .groupBy(F.col("id").alias(ASSET))
@@ -186,24 +243,30 @@ def operational_age(facts: DataFrame, assets: DataFrame, operational_days: DataF
 def row_change(
     facts: DataFrame, columns: Sequence[str] = tuple(CHANGE_COLUMNS), threshold: float = CHANGE_DISTANCE
 ) -> DataFrame:
-    """Distance of each day's row to the asset's previous row; null on the first day."""
+    """Distance of each day's row to the asset's previous row, for a table of days that is already dense; null on the first
+    day. In a fact job, daily_change gives the same without a window over days."""
     ordered = Window.partitionBy(ASSET).orderBy(DATE)
     previous = F.lag(F.struct(*columns)).over(ordered)
     moved = facts.select(ASSET, DATE, *columns, previous.alias("previous"))
     distance = F.when(
         F.col("previous").isNotNull(), euclidean([(F.col(name), F.col(f"previous.{name}")) for name in columns])
     )
-    return moved.select(ASSET, DATE, distance.alias("distance")).withColumn(
-        "changed", (F.col("distance") >= threshold).cast("int")
-    )
+    return with_changed(moved.select(ASSET, DATE, distance.alias("distance")), threshold)
+
+
+def with_changed(distances: DataFrame, threshold: float) -> DataFrame:
+    return distances.withColumn("changed", (F.col("distance") >= threshold).cast("int"))
 
 
 __all__ = [
     "FactSettings",
     "FactSources",
+    "Timeline",
+    "daily_change",
     "daily_facts",
     "daily_work_panel",
     "dropped_assets",
     "operational_age",
     "row_change",
+    "timeline",
 ]

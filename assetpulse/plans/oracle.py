@@ -42,8 +42,12 @@ _CTES: dict[str, tuple[list[str], str]] = {
         [],
         """SELECT l_suppkey AS customer_asset_identifier, CAST(l_shipdate AS DATE) AS service_request_date,
                   CASE WHEN l_returnflag = 'A' AND l_quantity <= 4 THEN 'Preventative Maintenance'
-                       WHEN l_returnflag = 'R' AND l_quantity >= 46 THEN 'Hardware Fault'
+                       WHEN l_returnflag = 'R' AND l_quantity >= 48 THEN 'Hardware Fault'
+                       WHEN l_returnflag = 'R' AND l_quantity >= 46 THEN 'Paper Jam'
                        WHEN l_returnflag = 'A' AND l_quantity BETWEEN 5 AND 10 THEN 'Cleaning Supplies'
+                       WHEN l_returnflag = 'A' THEN CASE CAST(l_quantity AS INTEGER) % 6
+                           WHEN 0 THEN 'Log Collection/Configuration' WHEN 1 THEN 'Installation/Integration'
+                           WHEN 2 THEN 'Misrouted Call' WHEN 3 THEN 'Welcome Call' WHEN 4 THEN 'Serial Number Wrong' END
                   END AS incident_category,
                   l_linestatus AS status, CAST(l_linenumber AS VARCHAR) AS priority, 'SN-' || l_suppkey AS serial_number
            FROM lineitem WHERE l_returnflag IN ('A', 'R')""",
@@ -59,7 +63,7 @@ _CTES: dict[str, tuple[list[str], str]] = {
         ["requests", "assets"],
         f"""SELECT r.customer_asset_identifier, service_request_date AS day, CAST(count(*) AS BIGINT) AS n
            FROM requests r JOIN assets a ON a.customer_asset_identifier = r.customer_asset_identifier
-           WHERE incident_category = 'Hardware Fault'
+           WHERE incident_category IN ('Hardware Fault', 'Paper Jam')
              AND service_request_date BETWEEN installed_date AND {AS_OF}
            GROUP BY 1, 2""",
     ),
@@ -249,6 +253,12 @@ _AVERAGES = """CASE WHEN age <> 0 THEN CAST(notes_in AS DOUBLE) / age END AS Avg
     CAST(notes_in_last30 AS DOUBLE) / 30 AS Avg_notes_in_last30"""
 
 
+_FACT_SELECT = f"""SELECT {KEY}, notes_in, notes_in_last30, age, {_AVERAGES}, notes_in_last_pm, last_pm_date,
+      day_to_failure, numIncidents, days_Since_failure, failure_event, firmwareHistory,
+      {_CODE_SELECT}, {", ".join(DEVICE)}
+    {_FACT_JOIN} JOIN features USING (product_identifier)"""
+
+
 def facts_sql() -> dict[str, str]:
     return {
         "daily_spine_work": with_ctes(
@@ -278,14 +288,7 @@ def facts_sql() -> dict[str, str]:
         ),
         "age_and_averages": with_ctes(f"SELECT {KEY}, age, {_AVERAGES} FROM work_sums", "work_sums"),
         "code_rolling_features": with_ctes(f"SELECT {KEY}, {_CODE_SELECT} FROM code_rolling", "code_rolling"),
-        "daily_facts": with_ctes(
-            f"""SELECT {KEY}, notes_in, notes_in_last30, age, {_AVERAGES}, notes_in_last_pm, last_pm_date,
-                  day_to_failure, numIncidents, days_Since_failure, failure_event, firmwareHistory,
-                  {_CODE_SELECT}, {", ".join(DEVICE)}
-                {_FACT_JOIN} JOIN features USING (product_identifier)""",
-            *_FACT_PARTS,
-            "features",
-        ),
+        "daily_facts": with_ctes(_FACT_SELECT, *_FACT_PARTS, "features"),
     }
 
 
@@ -591,10 +594,22 @@ _CTES.update(
     }
 )
 
-def model_sql() -> dict[str, str]:
+
+def _prepared_select() -> str:
     code_fill = ", ".join(
         f"{name}, round(coalesce({name}_std, 0), 6) AS {name}_std" for name in CODE_CONDITIONS
     )
+    return f"""SELECT {KEY}, notes_in, notes_in_last30, age,
+                  coalesce(CASE WHEN age <> 0 THEN CAST(notes_in AS DOUBLE) / age END, 0) AS Avg_notes_in,
+                  CAST(notes_in_last30 AS DOUBLE) / 30 AS Avg_notes_in_last30, notes_in_last_pm, last_pm_date,
+                  numIncidents, days_Since_failure, failure_event, coalesce(firmwareHistory, 0) AS firmwareHistory,
+                  {code_fill}, n.n_nationkey + 1 AS model_name, model_group_id, category_id, type_id, capacity,
+                  CASE WHEN n.n_nationkey % 3 < 2 THEN n.n_nationkey % 3 + 1 ELSE 0 END AS security_type
+                {_FACT_JOIN} JOIN features f USING (product_identifier) JOIN nation n ON n.n_name = f.model_name
+                WHERE date BETWEEN DATE '1998-01-01' AND {TEST_END}"""
+
+
+def model_sql() -> dict[str, str]:
     metrics = """SELECT round(coalesce(CAST(tp AS DOUBLE) / nullif(tp + fn, 0), 0), 6) AS recall,
               round(coalesce(CAST(tp AS DOUBLE) / nullif(tp + fp, 0), 0), 6) AS precision,
               round(CAST(tp + tn AS DOUBLE) / (tn + fp + fn + tp), 6) AS accuracy,
@@ -617,18 +632,7 @@ def model_sql() -> dict[str, str]:
         for curve, band, cut, column in bands
     )
     return {
-        "ml_prepared": with_ctes(
-            f"""SELECT {KEY}, notes_in, notes_in_last30, age,
-                  coalesce(CASE WHEN age <> 0 THEN CAST(notes_in AS DOUBLE) / age END, 0) AS Avg_notes_in,
-                  CAST(notes_in_last30 AS DOUBLE) / 30 AS Avg_notes_in_last30, notes_in_last_pm, last_pm_date,
-                  numIncidents, days_Since_failure, failure_event, coalesce(firmwareHistory, 0) AS firmwareHistory,
-                  {code_fill}, n.n_nationkey + 1 AS model_name, model_group_id, category_id, type_id, capacity,
-                  CASE WHEN n.n_nationkey % 3 < 2 THEN n.n_nationkey % 3 + 1 ELSE 0 END AS security_type
-                {_FACT_JOIN} JOIN features f USING (product_identifier) JOIN nation n ON n.n_name = f.model_name
-                WHERE date BETWEEN DATE '1998-01-01' AND {TEST_END}""",
-            *_FACT_PARTS,
-            "features",
-        ),
+        "ml_prepared": with_ctes(_prepared_select(), *_FACT_PARTS, "features"),
         "time_split_counts": with_ctes(
             f"""SELECT 'train' AS part, count(*) AS rows FROM spine WHERE date <= {TRAIN_END}
                 UNION ALL SELECT 'test', count(*) FROM spine WHERE date > {TRAIN_END} AND date <= {TEST_END}""",
@@ -735,5 +739,142 @@ def option_sql() -> dict[str, str]:
     }
 
 
+# ---- screening of the fact bridge's assets: the rules above, on its tables and limits ----
+
+_FLEET = ["universe", "inactive", "daily", "manual", "manual_only", "steps", "runs", "irregular", "few", "future", "errors", "valid"]
+
+
+def _fleet_ctes() -> None:
+    for name in _FLEET:
+        needs, text = _CTES[f"s_{name}"]
+        for old, new in {"s_": "f_", "max(run) > 6": "max(run) > 45", "count(*) <= 60": "count(*) <= 185", SCREEN_AS_OF: AS_OF}.items():
+            text = text.replace(f" {old}", f" {new}") if old == "s_" else text.replace(old, new)
+        _CTES[f"f_{name}"] = ([f"f_{need[2:]}" for need in needs], text)
+
+
+_CTES.update(
+    {
+        "f_assets": (["assets"], "SELECT * FROM assets"),
+        "f_work": (["work_rows"], "SELECT customer_asset_identifier, date, row_number() OVER () AS event_id FROM work_rows"),
+        "f_life": (
+            ["assets"],
+            """SELECT l_suppkey AS customer_asset_identifier, CAST(l_shipdate AS DATE) AS date, 3 AS life_event_code,
+                  CASE WHEN l_suppkey % 7 = 3 THEN 2 WHEN l_suppkey % 7 IN (1, 5) AND l_partkey % 4 = 0 THEN 2 ELSE 1 END AS life_event_value
+               FROM lineitem WHERE l_returnflag = 'A' AND l_linenumber = 7
+               UNION ALL
+               SELECT l_suppkey, CAST(l_shipdate AS DATE), 2, CASE WHEN l_suppkey % 10 = 4 AND l_partkey % 3 = 0 THEN 0 ELSE 1 END
+               FROM lineitem WHERE l_returnflag = 'A' AND l_linenumber = 6
+               UNION ALL
+               SELECT l_suppkey, CAST(l_shipdate AS DATE), 4, l_partkey % 50
+               FROM lineitem WHERE l_returnflag = 'R' AND l_linenumber = 5 AND l_quantity > 40
+               UNION ALL
+               SELECT customer_asset_identifier, installed_date, 3, CASE WHEN customer_asset_identifier % 7 = 3 THEN 2 ELSE 1 END
+               FROM assets WHERE customer_asset_identifier % 4 <> 2""",
+        ),
+        "f_log_days": (
+            ["f_life"],
+            f"""SELECT customer_asset_identifier, date, bool_and(life_event_value IS NOT DISTINCT FROM 1) AS ok
+                FROM f_life WHERE life_event_code = 3 AND date <= {AS_OF} GROUP BY 1, 2""",
+        ),
+        "f_first_work": (
+            ["work_rows"],
+            f"SELECT customer_asset_identifier, min(date) AS first_day FROM work_rows WHERE date <= {AS_OF} GROUP BY 1",
+        ),
+        "f_other_days": (
+            ["f_first_work", "f_log_days"],
+            f"""SELECT d.customer_asset_identifier FROM (
+                  SELECT customer_asset_identifier, CAST(unnest(generate_series(first_day, {AS_OF}, INTERVAL 1 DAY)) AS DATE) AS date
+                  FROM f_first_work) d
+                ASOF LEFT JOIN f_log_days l ON l.customer_asset_identifier = d.customer_asset_identifier AND l.date <= d.date
+                WHERE l.ok IS DISTINCT FROM true""",
+        ),
+        "f_firmware_events": (
+            ["f_life"],
+            f"""SELECT customer_asset_identifier, date AS day, max(life_event_value) AS version
+                FROM f_life WHERE life_event_code = 4 AND date <= {AS_OF} GROUP BY 1, 2""",
+        ),
+    }
+)
+_fleet_ctes()
+
+
+def _firmware_sql(first: str, second: str | None) -> str:
+    rest = f"UNION ALL SELECT * FROM {second} b WHERE NOT EXISTS (SELECT 1 FROM {first} a WHERE a.customer_asset_identifier = b.customer_asset_identifier AND a.day = b.day)"
+    both = f"(SELECT * FROM {first} {rest if second else ''})"
+    daily = _CTES["firmware_daily"][1].replace("JOIN firmware f", f"JOIN {both} f")
+    return with_ctes(f"SELECT customer_asset_identifier, date, CAST(firmwareHistory AS INTEGER) AS firmwareHistory FROM ({daily})", "spine", "firmware", "f_firmware_events")
+
+
+def fleet_sql() -> dict[str, str]:
+    valid = "customer_asset_identifier IN (SELECT customer_asset_identifier FROM f_valid)"
+    causes = {
+        "f_inactive": "not active",
+        "f_manual_only": "log status manual",
+        "f_irregular": "irregular work",
+        "f_few": "too few work rows",
+        "f_future": "install date in the future",
+    }
+    cases = " ".join(f"WHEN x.id IN (SELECT customer_asset_identifier FROM {table}) THEN '{cause}'" for table, cause in causes.items())
+    needed = [*_FACT_PARTS, "features", "f_valid"]
+    return {
+        "daily_facts_valid": with_ctes(f"{_FACT_SELECT} WHERE {valid}", *needed),
+        "ml_prepared_valid": with_ctes(f"{_prepared_select()} AND {valid}", *needed),
+        "dropped_assets": with_ctes(
+            f"""SELECT id AS customer_asset_identifier, cause FROM (
+                  SELECT x.id, CASE {cases}
+                    WHEN x.id NOT IN (SELECT customer_asset_identifier FROM daily_work) THEN 'no work'
+                    WHEN x.id NOT IN (SELECT customer_asset_identifier FROM assets) THEN 'not in master'
+                    WHEN x.id NOT IN (SELECT customer_asset_identifier FROM assets JOIN features USING (product_identifier)) THEN 'no device row'
+                  END AS cause
+                  FROM (SELECT customer_asset_identifier AS id FROM assets UNION SELECT customer_asset_identifier FROM work_rows) x)
+                WHERE cause IS NOT NULL""",
+            *causes,
+            "daily_work",
+            "assets",
+            "features",
+        ),
+        "log_status_throughout": with_ctes(
+            f"""SELECT w.customer_asset_identifier, first_day, {AS_OF} AS last_day,
+                  CAST(NOT EXISTS (SELECT 1 FROM f_other_days o WHERE o.customer_asset_identifier = w.customer_asset_identifier) AS INTEGER) AS log_throughout
+                FROM f_first_work w""",
+            "f_first_work",
+            "f_other_days",
+        ),
+        "eligible_assets": with_ctes(
+            f"""SELECT DISTINCT customer_asset_identifier AS id FROM assets
+                WHERE installed_date > DATE '1996-12-31' AND installed_date + 400 < {AS_OF}
+                  AND customer_asset_identifier IN (SELECT customer_asset_identifier FROM work_rows WHERE date <= {AS_OF}
+                                                    GROUP BY 1 HAVING count(DISTINCT date) >= 180)
+                  AND customer_asset_identifier IN (SELECT customer_asset_identifier FROM f_first_work)
+                  AND customer_asset_identifier NOT IN (SELECT customer_asset_identifier FROM f_other_days)""",
+            "assets",
+            "work_rows",
+            "f_first_work",
+            "f_other_days",
+        ),
+        "firmware_from_life_events": _firmware_sql("f_firmware_events", None),
+        "firmware_history_first": _firmware_sql("firmware", "f_firmware_events"),
+        "firmware_life_events_first": _firmware_sql("f_firmware_events", "firmware"),
+        "forest_report": with_ctes(
+            f"""SELECT date, customer_asset_identifier, failure_event, notes_in_last_pm, 1 AS is_probability
+                FROM report WHERE date = {TEST_END}""",
+            "report",
+        ),
+        "forest_metrics": with_ctes(
+            """SELECT count(*) FILTER (WHERE failure_event = 0) AS negatives, count(*) FILTER (WHERE failure_event = 1) AS positives,
+                 1 AS are_shares FROM report""",
+            "report",
+        ),
+        "class_weights": with_ctes(
+            f"""SELECT c.class, count(l.date) AS rows,
+                  round((SELECT count(*) FROM labels_daily WHERE date BETWEEN DATE '1998-01-01' AND {TRAIN_END}) / (2.0::DOUBLE * greatest(count(l.date), 1)), 6) AS weight
+                FROM (SELECT unnest([0, 1]) AS class) c LEFT JOIN labels_daily l
+                  ON l.failure_event = c.class AND l.date BETWEEN DATE '1998-01-01' AND {TRAIN_END}
+                GROUP BY c.class""",
+            "labels_daily",
+        ),
+    }
+
+
 def all_sql() -> dict[str, str]:
-    return {**facts_sql(), **option_sql(), **screening_sql(), **reference_sql(), **model_sql()}
+    return {**facts_sql(), **option_sql(), **fleet_sql(), **screening_sql(), **reference_sql(), **model_sql()}
