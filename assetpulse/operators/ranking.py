@@ -19,6 +19,8 @@ from assetpulse.constants import DATE
 from assetpulse.functions import ratio
 
 SCORE_RANGES = 4096  # ranges on either side of zero
+FULL_SHARE = 1000  # a range with more than this part of a date's scores is split
+SPLITS = 2  # how many times a range may be split
 CHUNK_ROWS = 1_000_000  # curve points one task may emit
 
 
@@ -31,13 +33,37 @@ def score_range(score: Column, ranges: int = SCORE_RANGES) -> Column:
     return F.floor(F.signum(score) * (1 - 1 / (1 + root)) * ranges)
 
 
+def split_full(ranged: DataFrame, by: list[str], path: list[str], part: str, full_share: int) -> DataFrame:
+    """Adds the column part: place of the score inside its range, where the range has more than 1 / full_share of the date's
+    distinct scores; else 0. The range between its least and largest score is cut evenly into about twice as many parts as
+    full_share allows it.
+
+    At most full_share ranges of a date are that full, whatever the data, so the table of them is broadcast."""
+    sizes = ranged.groupBy(*by, *path).agg(F.count("*").alias("rows"), F.min("score").alias("least"), F.max("score").alias("most"))
+    share = F.col("rows") * full_share / F.sum("rows").over(Window.partitionBy(*by))
+    width = F.col("most") - F.col("least")
+    full = sizes.withColumn("share", share).filter((F.col("share") > 1) & (width > 0) & (width < float("inf")))
+    full = full.select(*by, *path, "least", "most", F.ceil(F.col("share") * 2).alias("parts"))
+    place = F.floor((F.col("score") - F.col("least")) / width * F.col("parts"))
+    joined = ranged.join(F.broadcast(full), [*by, *path], "left")
+    return joined.select(*ranged.columns, F.coalesce(F.least(place, F.col("parts") - 1), F.lit(0)).alias(part))
+
+
 def score_groups(
-    scored: DataFrame, score: str, label: str, ranges: int = SCORE_RANGES, by: Sequence[str] = (DATE,)
+    scored: DataFrame,
+    score: str,
+    label: str,
+    ranges: int = SCORE_RANGES,
+    by: Sequence[str] = (DATE,),
+    full_share: int = FULL_SHARE,
+    splits: int = SPLITS,
 ) -> DataFrame:
     """One row per (date, score): rows n and failures pos at the score, n_before and pos_before at better
     scores, and the date's totals n_all and pos_all. Rows whose score is null or NaN are left out.
 
-    by: the columns that stand for a date, e.g. with the name of a curve. Results don't depend on ranges.
+    by: the columns that stand for a date, e.g. with the name of a curve. Scores go to fixed ranges; ranges that hold more than
+    1 / full_share of a date are split, and split parts again, so that scores in a narrow band spread as well. Results
+    depend on none of these settings.
     """
     by, value = list(by), F.col(score).cast("double")
     grouped = (
@@ -46,21 +72,25 @@ def score_groups(
         .agg(F.count("*").alias("n"), F.sum(F.col(label).cast("long")).alias("pos"))
     )
     ranged = grouped.withColumn("range", score_range(F.col("score"), ranges))
+    path = ["range"]
+    for level in range(splits):
+        ranged = split_full(ranged, by, path, f"part{level}", full_share)
+        path.append(f"part{level}")
 
-    # At most twice as many rows per date as there are ranges.
-    totals = ranged.groupBy(*by, "range").agg(F.sum("n").alias("range_n"), F.sum("pos").alias("range_pos"))
+    # At most twice as many rows per date as there are ranges, and a few times full_share for each split.
+    totals = ranged.groupBy(*by, *path).agg(F.sum("n").alias("range_n"), F.sum("pos").alias("range_pos"))
     by_date = Window.partitionBy(*by)
-    better_ranges = by_date.orderBy(F.desc("range")).rowsBetween(Window.unboundedPreceding, -1)
+    better_ranges = by_date.orderBy(*map(F.desc, path)).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
         *by,
-        "range",
+        *path,
         F.coalesce(F.sum("range_n").over(better_ranges), F.lit(0)).alias("range_n_before"),
         F.coalesce(F.sum("range_pos").over(better_ranges), F.lit(0)).alias("range_pos_before"),
         F.sum("range_n").over(by_date).alias("n_all"),
         F.sum("range_pos").over(by_date).alias("pos_all"),
     )
     better = (
-        Window.partitionBy(*by, "range")
+        Window.partitionBy(*by, *path)
         .orderBy(F.desc("score"))
         .rowsBetween(Window.unboundedPreceding, -1)
     )
@@ -70,7 +100,7 @@ def score_groups(
             "pos_inside": F.coalesce(F.sum("pos").over(better), F.lit(0)),
         }
     )
-    return inside.join(offsets, [*by, "range"]).select(
+    return inside.join(offsets, [*by, *path]).select(
         *by,
         "score",
         "n",

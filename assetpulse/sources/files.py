@@ -3,6 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,16 +26,37 @@ __all__ = [
 ]
 
 
+HEADER_READERS = 16  # files whose header is looked at at a time
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV with a header line; the declared columns are found by name, others are ignored, a missing one is an error.
-
-    Only the header is looked at first; every column is text until it is cast. Text that is not of the
-    declared type fails the job."""
-    text = spark.read.option("header", True).option("inferSchema", False).csv(path)
-    missing = [field.name for field in schema.fields if field.name not in text.columns]
-    if missing:
-        raise ValueError(f"{path} lacks the columns {missing}")
-    return text.select(*[F.col(f"`{field.name}`").cast(field.dataType).alias(field.name) for field in schema.fields])
+    """CSV files, each with a header line; the declared columns are found by name in every file, others are ignored, a file
+    that lacks one is an error. Files of a folder may have their columns in different orders.
+
+    Only the headers are looked at first, one line of each file: the driver lists the files as for any read, and groups them
+    by header. Each group is one scan; every column is text until it is cast. Text that is not of the declared type fails
+    the job. Files without any line are left out."""
+    names = [field.name for field in schema.fields]
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for file, header in _headers(spark, path):
+        missing = [name for name in names if name not in header]
+        if missing:
+            raise ValueError(f"{file} lacks the columns {missing}")
+        groups.setdefault(header, []).append(file)
+    parts = [_text(spark, files).select(*[F.col(f"`{field.name}`").cast(field.dataType).alias(field.name) for field in schema.fields]) for files in groups.values()]
+    return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], schema)
+
+
+def _text(spark: SparkSession, files: Sequence[str]) -> DataFrame:
+    return spark.read.option("header", True).option("inferSchema", False).csv(list(files))
+
+
+def _headers(spark: SparkSession, path: str) -> list[tuple[str, tuple[str, ...]]]:
+    """(file, column names) of each file with a line, in the order of the file names."""
+    files = sorted(unquote(file) for file in spark.read.text(path).inputFiles())
+    with ThreadPoolExecutor(HEADER_READERS) as pool:
+        found = zip(files, pool.map(lambda file: tuple(_text(spark, [file]).columns), files), strict=True)
+        return [(file, header) for file, header in found if header]
 
 
 def read_id_list(spark: SparkSession, path: str, header: bool) -> DataFrame:

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from assetpulse.constants import SOURCE_TABLES
+from assetpulse.session import materialize
 
-__all__ = ["jdbc_read_options", "read_table", "extract_tables", "checked_for_sink", "append_table"]
+__all__ = ["jdbc_read_options", "read_table", "extract_tables", "checked_for_sink", "append_table", "append_once"]
 
 FETCH_ROWS = 10_000  # rows per round trip when reading
 BATCH_ROWS = 50_000  # rows per insert batch
@@ -98,11 +99,78 @@ def append_table(
     writers: int | None = None,
     widths: str = "fail",
 ) -> None:
-    """Append each row once, in insert batches; writers bounds the number of open connections.
+    """Append in insert batches; writers bounds the number of open connections.
 
-    Rows are dealt to the writers by a shuffle, so that the stages before keep all their tasks."""
+    Rows are dealt to the writers by a shuffle, so that the stages before keep all their tasks. A task that runs again after
+    an executor was lost appends its rows again; append_once does not."""
     checked = checked_for_sink(df, schema, widths)
     if writers:
         checked = checked.repartition(writers)
     merged = {"batchsize": str(BATCH_ROWS), **options, "dbtable": table}
     checked.write.format("jdbc").options(**merged).mode("append").save()
+
+
+ROW_KEY = "row_key"
+
+
+def keyed_rows(df: DataFrame) -> DataFrame:
+    """df, written once to the shared folder, with a key per row that a task which runs again gives again."""
+    return materialize(df).withColumn(ROW_KEY, F.monotonically_increasing_id())
+
+
+def publish_statements(table: str, staging: str, run: str, columns: Sequence[str]) -> tuple[list[str], list[str], list[str]]:
+    """SQL before, inside and after the one transaction that makes a run's rows part of the table. A second run of the same name
+    breaks the ledger's key, and with it the transaction."""
+    names = ", ".join(columns)
+    once = f"SELECT DISTINCT {ROW_KEY}, {names} FROM {staging}"
+    return (
+        [f"CREATE TABLE IF NOT EXISTS {table}_runs (run VARCHAR(64) PRIMARY KEY)"],
+        [f"INSERT INTO {table}_runs VALUES ('{run}')", f"INSERT INTO {table} ({names}) SELECT {names} FROM ({once}) AS once"],
+        [f"DROP TABLE {staging}"],
+    )
+
+
+def stage_rows(df: DataFrame, options: Mapping[str, str], staging: str) -> None:
+    """A new staging table with df's rows, some of them more than once if tasks ran again."""
+    df.write.format("jdbc").options(**{"batchsize": str(BATCH_ROWS), **options, "dbtable": staging}).mode("overwrite").save()
+
+
+def run_statements(spark: SparkSession, options: Mapping[str, str], statements: tuple[list[str], list[str], list[str]]) -> None:
+    """Runs SQL on one connection of the driver; the middle list is one transaction."""
+    properties = spark._jvm.java.util.Properties()
+    for name, value in options.items():
+        properties.setProperty(name, value)
+    connection = spark._jvm.java.sql.DriverManager.getConnection(options["url"], properties)
+    try:
+        for part, alone in zip(statements, (True, False, True), strict=True):
+            connection.setAutoCommit(alone)
+            for text in part:
+                connection.createStatement().execute(text)
+            if not alone:
+                connection.commit()
+    finally:
+        connection.close()
+
+
+def append_once(
+    df: DataFrame,
+    schema: T.StructType,
+    options: Mapping[str, str],
+    table: str,
+    run: str,
+    writers: int | None = None,
+    widths: str = "fail",
+    stage: Callable[[DataFrame, Mapping[str, str], str], None] = stage_rows,
+    publish: Callable[[SparkSession, Mapping[str, str], tuple], None] = run_statements,
+) -> None:
+    """Append each row once, also where tasks run again, and each run once.
+
+    Rows get keys and go to a staging table of the run; a task that runs again adds the same rows with the same keys. One
+    transaction then enters the run in the table's ledger and copies one row per key. A job that fails before it leaves the
+    table as it was and can be run again; after it, the same run is refused. `run` is a plain word (letters, digits, _)."""
+    if not run.replace("_", "").isalnum():
+        raise ValueError(f"run {run!r} is not a plain word")
+    keyed = keyed_rows(checked_for_sink(df, schema, widths))
+    staging = f"{table}_{run}"
+    stage(keyed.repartition(writers) if writers else keyed, options, staging)
+    publish(df.sparkSession, options, publish_statements(table, staging, run, [field.name for field in schema.fields]))

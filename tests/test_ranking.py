@@ -3,6 +3,7 @@ import random
 
 import pytest
 from fleet import d
+from pyspark.sql import functions as F
 
 from assetpulse.operators import ranking
 
@@ -124,3 +125,19 @@ def test_reference_lines_and_dates(spark):
     assert got == [("ideal", 1, 0.0, 0.0), ("ideal", 2, 0.25, 1.0), ("ideal", 3, 1.0, 1.0), ("random", 1, 0.0, 0.0), ("random", 2, 1.0, 1.0)]
     assert ranking.report_dates(df, [dt.date(2020, 1, 2)]).count() == 0
     assert ranking.report_dates(df, None).count() == 4
+
+
+def test_scores_in_a_narrow_band(spark):
+    """Ranges that hold much of a date are split, twice where need be, and give the same groups."""
+    rng = random.Random(6)
+    band = [0.5 + rng.random() / 100 for _ in range(3000)] + [0.7 + rng.random() * 1e-9 for _ in range(3000)] + [float("inf"), 1e300, -3.0, 0.0]
+    rows = [(d("2020-01-01"), i, x, int(rng.random() < 0.3), 1) for i, x in enumerate(band)]
+    scored = report(spark, rows)
+    grouped = scored.groupBy("date", F.col("mdl_pred").alias("score")).agg(F.count("*").alias("n"))
+    ranged = grouped.withColumn("range", ranking.score_range(F.col("score")))
+    assert ranged.groupBy("range").count().agg(F.max("count")).first()[0] > 500
+    split = ranking.split_full(ranking.split_full(ranged, ["date"], ["range"], "a", 100), ["date"], ["range", "a"], "b", 100)
+    sizes = [r["count"] for r in split.groupBy("range", "a", "b").count().collect()]
+    assert sum(sizes) == len(band) and max(sizes) <= 2 * len(band) / 100
+    whole, fine = (ranking.score_groups(scored, "mdl_pred", "failure_event", full_share=share, splits=splits) for share, splits in ((1, 0), (100, 2)))
+    assert fine.count() == len(set(band)) and fine.exceptAll(whole).count() == 0

@@ -36,6 +36,69 @@ def test_csv_by_name(spark, tmp_path):
         sources.read_csv(spark, str(source), schemas.DAILY_WORK)
 
 
+def test_csv_folder_of_unlike_headers(spark, tmp_path):
+    """Each file's columns are found by its own header."""
+    folder = tmp_path / "a folder"
+    folder.mkdir()
+    (folder / "1.csv").write_text("customer_asset_identifier,date,working_unit\n2,2020-01-01,9\n")
+    (folder / "2.csv").write_text("working_unit,date,customer_asset_identifier\n8,2020-01-02,3\n,2020-01-03,4\n")
+    (folder / "3.csv").write_text('x,"customer_asset_identifier",date,working_unit\n0,5,2020-01-04,7\n')
+    (folder / "4.csv").write_text("customer_asset_identifier,date,working_unit\n")
+    (folder / "5.csv").write_text("")
+    got = sorted(map(tuple, sources.read_csv(spark, str(folder), schemas.DAILY_WORK).collect()))
+    assert got == [(2, d("2020-01-01"), 9), (3, d("2020-01-02"), 8), (4, d("2020-01-03"), None), (5, d("2020-01-04"), 7)]
+    (folder / "6.csv").write_text("date,working_unit\n2020-01-01,1\n")
+    with pytest.raises(ValueError, match="6.csv lacks"):
+        sources.read_csv(spark, str(folder), schemas.DAILY_WORK)
+    (tmp_path / "empty").mkdir()
+    (tmp_path / "empty" / "1.csv").write_text("")
+    assert sources.read_csv(spark, str(tmp_path / "empty"), schemas.DAILY_WORK).collect() == []
+
+
+def test_rows_are_published_once(spark, tmp_path):
+    """The staging sink gets the rows of some tasks twice, as after a lost executor; the table gets each row once, equal rows
+    as often as they were given, and a run once."""
+    import duckdb
+
+    schema = T.StructType([T.StructField("asset", T.LongType(), False), T.StructField("kind", T.StringType())])
+    rows = [(i % 40, None if i % 5 else "x") for i in range(100)]
+    df = spark.createDataFrame(rows, "asset long, kind string").repartition(5)
+    target = duckdb.connect()
+    target.execute("CREATE TABLE visits (asset BIGINT, kind VARCHAR)")
+
+    def stage(staged, options, name):
+        folder = f"{options['url']}/{name}"
+        staged.write.mode("overwrite").parquet(folder)
+        staged.where(F.spark_partition_id() % 2 == 0).write.mode("append").parquet(folder)  # tasks that run again
+        target.execute(f"CREATE OR REPLACE TABLE {name} AS SELECT * FROM read_parquet('{folder}/*.parquet')")
+        assert target.execute(f"SELECT count(*) FROM {name}").fetchone()[0] > len(rows)
+
+    def publish(session, options, statements):
+        for part, whole in zip(statements, (False, True, False), strict=True):
+            if whole:
+                target.execute("BEGIN")
+            try:
+                for text in part:
+                    target.execute(text)
+            except duckdb.Error:
+                target.execute("ROLLBACK")
+                raise
+            if whole:
+                target.execute("COMMIT")
+
+    def load(run):
+        sources.append_once(df, schema, {"url": str(tmp_path)}, "visits", run, writers=3, stage=stage, publish=publish)
+        return sorted(target.execute("SELECT * FROM visits").fetchall(), key=repr)
+
+    assert load("r1") == sorted(rows, key=repr)
+    with pytest.raises(duckdb.Error):
+        load("r1")
+    assert sorted(target.execute("SELECT * FROM visits").fetchall(), key=repr) == sorted(rows, key=repr)
+    assert load("r2") == sorted(rows * 2, key=repr)
+    with pytest.raises(ValueError):
+        load("r; DROP")
+
+
 def test_written_files(spark, tmp_path):
     df = spark.createDataFrame([(2, d("2020-01-01"), 1), (1, d("2020-01-02"), 2), (1, d("2020-01-01"), 3)], schemas.DAILY_WORK)
     sources.write_facts(df, str(tmp_path / "facts"))
