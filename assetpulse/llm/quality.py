@@ -99,21 +99,27 @@ def predict(model: dict, x: np.ndarray) -> np.ndarray:
 
 
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int = 8000) -> dict:
-    """Fits on at most sample_rows labelled rows (least hash of the id first) that are not held out."""
+    """Fits on at most sample_rows labelled ids (least hash first) that are not held out, one document of each.
+
+    An id with both labels is left out, as are labels other than 0 and 1 and null ids; of documents that share an id the one
+    with the least features counts. At most sample_rows rows of features come to the driver, whatever repeats."""
     known = labels.where("quality IN (0, 1) AND crc32(cast(cast(doc_id AS string) AS binary)) % 3 <> 1")
-    picked = known.select("doc_id", "quality").dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
+    agreed = known.groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("quality").alias("other")).where("quality = other")
+    picked = agreed.select("doc_id", "quality").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
 
     def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame({"x": [features(t) for t in b["text"]], "y": b["quality"].astype(float)})
+            yield pd.DataFrame({"doc_id": b["doc_id"], "x": [features(t) for t in b["text"]], "y": b["quality"].astype(float)})
 
-    rows = docs.select("doc_id", "text").join(picked, "doc_id").select("text", "quality").mapInPandas(extract, "x array<double>, y double").collect()
+    found = docs.select("doc_id", "text").join(picked, "doc_id").select("doc_id", "text", "quality").mapInPandas(extract, "doc_id long, x array<double>, y double")
+    rows = sorted(found.groupBy("doc_id").agg(F.min("x").alias("x"), F.first("y").alias("y")).collect(), key=lambda r: r["doc_id"])
     width = len(features(""))
     return fit(np.array([r["x"] for r in rows], float).reshape(-1, width), np.array([r["y"] for r in rows], float))
 
 
 def score(docs: DataFrame, model: dict) -> DataFrame:
-    """docs with the column quality_score."""
+    """docs with the column quality_score, a column of that name being replaced. Null and empty texts score as the empty
+    text; repeated rows score alike."""
     known = docs.sparkSession.sparkContext.broadcast(model)  # a few kB of tables
 
     @F.pandas_udf("double")

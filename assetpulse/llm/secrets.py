@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from bisect import bisect_left
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -21,6 +22,23 @@ LEAST = {"assign": 6, "access": 20, "hex": 24}
 WIDE = r"[A-Za-z0-9+/_=-]{20,}"
 
 
+def overlaps(spans: list[tuple[int, int]]) -> Callable[[int, int], bool]:
+    """Whether a span meets one of the given; the given ones are merged and sorted once, then searched by halves."""
+    merged: list[list[int]] = []
+    for a, b in sorted(spans):
+        if merged and a <= merged[-1][1]:
+            merged[-1][1] = max(merged[-1][1], b)
+        else:
+            merged.append([a, b])
+    starts = [a for a, _ in merged]
+
+    def covered(start: int, stop: int) -> bool:
+        at = bisect_left(starts, stop) - 1  # the last that begins before stop
+        return at >= 0 and merged[at][1] > start
+
+    return covered
+
+
 def scan(docs: DataFrame, owner: str, repository: str) -> DataFrame:
     """One row per document: doc_id, owner, repository, found array of (kind, start, stop, hash, live). Null text is empty.
 
@@ -38,13 +56,15 @@ def scan(docs: DataFrame, owner: str, repository: str) -> DataFrame:
             for kind, pattern in kinds.items():
                 if kind == "assign" and not any(w in low for w in words) or kind == "access" and "AKIA" not in text:
                     continue
+                if kind == "wide":
+                    covered = overlaps(taken)
                 for m in pattern.finditer(text):
                     value = m[2] if kind == "assign" else m[0]
                     if kind != "wide":
                         if len(value) < LEAST[kind]:
                             continue
                         taken.append(m.span())
-                    elif any(a < m.end() and m.start() < b for a, b in taken):
+                    elif covered(m.start(), m.end()):
                         continue
                     live = len(value) >= 20 and len(set(value)) >= 10 and bool(re.search("[0-9]", value)) and bool(re.search("[A-Za-z]", value))
                     live = live and not re.search("example|placeholder|changeme|your|test", value, re.I)

@@ -170,7 +170,43 @@ def test_quality(spark, odd):
     assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1) for r in rows)
     assert np.mean([r["predicted"] == truth[r["doc_id"]] for r in held]) > 0.9
     model = quality.fit(np.zeros((0, len(quality.features("")))), np.zeros(0))
-    assert quality.score(odd, model).count() == len(ODD)
+    scored = quality.score(odd.withColumn("quality_score", odd["n_chars"]), model).collect()
+    assert len(scored) == len(ODD) and all(r["quality_score"] == 0.5 for r in scored)
+    model = quality.fit(np.array([quality.features(t) for _, t in ODD] * 20), np.array([0.0, 0, 1, 1, 1, 0, 1, 0] * 20))
+    by_text = {}
+    for r in quality.score(odd, model).collect():
+        by_text.setdefault(r["text"] or "", set()).add(r["quality_score"])
+    assert all(len(v) == 1 and 0 < min(v) < 1 for v in by_text.values())
+
+
+def test_quality_learns_from_a_bounded_sample(spark):
+    """Repeated ids bring one row each, conflicting labels none; the least hash decides who is in the sample."""
+    docs = spark.createDataFrame([(i % 40, f"word{i} text. " * (1 + i % 7)) for i in range(4000)] + [(None, "x")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)] + [(4, 1), (6, 0), (None, 1), (8, 7)], "doc_id long, quality int")
+    seen = []
+    original, quality.fit = quality.fit, lambda x, y, **_: seen.append((x.shape, y.tolist()))
+    try:
+        for rows in (2, 1000):
+            quality.train(docs, labels, sample_rows=rows)
+        quality.train(docs, labels.limit(0))
+    finally:
+        quality.fit = original
+    ids = [i for i in range(40) if zlib.crc32(str(i).encode()) % 3 != 1 and i != 4]
+    assert seen[0][0][0] == 2 and seen[1] == ((len(ids), 14), [float(i % 2) for i in ids]) and seen[2][0] == (0, 14)
+
+
+def test_quality_tables_add_up():
+    """A score is the base and one entry of each table at the row's bins."""
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(400, 5))
+    model = quality.fit(x, (x[:, 0] + x[:, 1] * x[:, 2] > 0).astype(float))
+    for row, got in zip(x[:50], quality.predict(model, x[:50]), strict=True):
+        code = [int((c <= v).sum()) for c, v in zip(model["cuts"], row, strict=True)]
+        total = model["base"] + sum(t[k] for t, k in zip(model["one"], code, strict=True))
+        small = [k * model["coarse"] // model["bins"] for k in code]
+        total += sum(cells[small[a] * model["coarse"] + small[b]] for a, b, cells in model["two"])
+        assert got == pytest.approx(1 / (1 + np.exp(-total)))
+    assert ((quality.predict(model, x) >= 0.5) == (x[:, 0] + x[:, 1] * x[:, 2] > 0)).mean() > 0.9
 
 
 def test_mix(spark, odd):

@@ -1,7 +1,9 @@
 """Secret scan, licence scan and preference formatting against plain versions."""
 
 import hashlib
+import random
 import re
+import time
 
 import pyarrow.parquet as pq
 import pytest
@@ -27,6 +29,21 @@ def test_secrets(spark):
     assert sum(map(sum, (w[0] for w in want.values()))) > 0
 
 
+def test_long_texts_of_many_spans():
+    """Time grows with the text: each wide candidate is looked up among the merged base spans."""
+    rng = random.Random(1)
+    for _ in range(300):
+        spans = [(a, a + rng.randrange(1, 9)) for a in (rng.randrange(200) for _ in range(rng.randrange(12)))]
+        covered = secrets.overlaps(spans)
+        for start in range(0, 200, 3):
+            stop = start + rng.randrange(1, 12)
+            assert covered(start, stop) == any(a < stop and start < b for a, b in spans)
+    spans = [(i * 20, i * 20 + 9) for i in range(200_000)]
+    started = time.perf_counter()
+    covered = secrets.overlaps(spans)
+    assert not any(covered(a + 10, a + 19) for a, _ in spans) and time.perf_counter() - started < 5
+
+
 def test_ownership_separates_copies(spark):
     wide = "Zx9_" + "aB3dE5fG7hJ9kL1m"
     rows = [(1, f"see {wide} x", "a", "r"), (2, f"{wide}Q", "a", "r"), (3, f"{wide}Q", "b", "r"), (4, f"{wide}Q", "c", "r"), (4, None, None, None), (None, "token=abcdef", "a", "r")]
