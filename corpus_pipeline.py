@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assetpulse.llm import mixing
@@ -19,16 +19,25 @@ from assetpulse.session import use_checkpoint_dir
 PLACE = ["_file", "_at"]
 
 
+def whole_row(docs: DataFrame) -> Column:
+    """All of a row as one column, so that the stages' own columns clash with none of its names."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows that score 0.5 or more. Null and empty texts score as the empty text; equal texts score alike, so repeated rows
+    stay or go together; no rows give none."""
     model = train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return score(docs, model).where("quality_score >= 0.5").select(*docs.columns)
+    return score(docs.select(whole_row(docs), "text"), model).where("quality_score >= 0.5").select("_row.*")
 
 
 def with_place(docs: DataFrame) -> DataFrame:
-    """docs with _file and _at, a row's file and its place there: the same at each read, and no two rows share them. Rows
-    that do not come straight from files are written first."""
+    """_row, doc_id, text, _file and _at, a row's file and its place there: the same at each read, and no two rows share them.
+    Rows that do not come straight from files are written first."""
     try:
-        return docs.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_at"))
+        hidden = docs.metadataColumn("_metadata")
+        places = hidden.getField("file_path").alias("_file"), hidden.getField("row_index").alias("_at")
+        return docs.select(whole_row(docs), "doc_id", "text", *places)
     except AnalysisException:
         use_checkpoint_dir(docs.sparkSession)
         folder = f"{docs.sparkSession.sparkContext.getCheckpointDir()}/rows-{uuid.uuid4()}"
@@ -41,7 +50,7 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     doc_id stays only in a group without any, there again the last."""
     placed = with_place(docs)
     groups = exact_groups(placed.withColumn("_key", F.struct("doc_id", *PLACE)), "_key")
-    return placed.join(groups.where("kept").select("_key.*").select(*PLACE), PLACE, "left_semi").select(*docs.columns)
+    return placed.join(groups.where("kept").select("_key.*").select(*PLACE), PLACE, "left_semi").select("_row.*")
 
 
 def simhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,7 +58,7 @@ def simhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     doc_id stays only in a component without any, there again the first."""
     placed = with_place(docs)
     groups = near_groups(placed, 4, 4, tuple(PLACE))
-    return placed.join(groups.where("doc_id <=> component_id").select("doc_id.*").select(*PLACE), PLACE, "left_semi").select(*docs.columns)
+    return placed.join(groups.where("doc_id <=> component_id").select("doc_id.*").select(*PLACE), PLACE, "left_semi").select("_row.*")
 
 
 def sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,6 +68,8 @@ def sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row per piece, with its sequence and offset. Null and empty texts are one token; repeated rows are packed each; pieces
+    of one length go by doc_id and piece; no rows give none."""
     import public_tokenizers
 
     return pack(pieces_of(docs, public_tokenizers.path("word_bpe_49k.json"), with_ids=False), weights=WEIGHTS)
