@@ -23,6 +23,22 @@ def test_stages(spark, tmp_path):
     assert docs.select("doc_id").distinct().count() == kept.select("doc_id").distinct().count()
 
 
+def test_columns_of_any_name_pass_through(spark, tmp_path):
+    """Columns named like the stages' own, or like Spark's hidden one, keep their values."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    names = ["_at", "_file", "_key", "_row", "quality_score", "_metadata", "fp", "keep_id", "component_id", "group_size", "kept", "sequence_id", "row"]
+    docs.selectExpr("*", *[f"-7.5D * (doc_id + {n}) AS `{c}`" for n, c in enumerate(names)]).write.parquet(str(tmp_path / "docs"))
+    wide = spark.read.parquet(str(tmp_path / "docs"))
+    for name, stage in pipeline.STAGES[:4]:
+        rows = stage(spark, wide, SF)
+        assert rows.columns == wide.columns, name
+        got = rows.collect()
+        assert got and all(r[c] == -7.5 * (r["doc_id"] + n) for r in got for n, c in enumerate(names)), name
+        plain = stage(spark, docs, SF)
+        assert sorted(r["doc_id"] for r in got) == sorted(r["doc_id"] for r in plain.collect()), name
+        assert stage(spark, wide.limit(0), SF).count() == 0
+
+
 def dealt(offers, weights, budget):
     """Budgets of sibling nodes by plain water filling: whoever offers less than its part gives all, until nobody does."""
     got, rest = {}, dict(offers)
