@@ -27,6 +27,15 @@ HEADLINES = [
     "technician_history_left",
     "orders_without_activity",
     "precision_curve",
+    "daily_facts_valid",
+    "ml_prepared",
+    "row_change",
+    "operational_age",
+    "log_status_throughout",
+    "baseline_score",
+    "gain_curve",
+    "roc_auc",
+    "periodic_work_left",
 ]
 
 
