@@ -49,6 +49,13 @@ class Bridge:
             "1 + s_nationkey % 3 AS partner_id",
         )
 
+    def assets_with_devices(self) -> DataFrame:
+        """The master with device columns of its own."""
+        nation = self.table("nation").selectExpr(
+            "CAST(n_nationkey AS BIGINT) AS product_identifier", "n_name AS model_name", "100 * (n_nationkey + 1) AS capacity"
+        )
+        return self.assets().join(nation, "product_identifier")
+
     def daily_work(self) -> DataFrame:
         return (
             self.table("lineitem")

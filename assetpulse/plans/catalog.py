@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from assetpulse import schemas
 from assetpulse.constants import ASSET, CRITICALITIES_SHORT, DATE, LISTED_CODES_SHORT, MODEL_CUTOFFS
 from assetpulse.functions import at_most
 from assetpulse.operators import coverage, filters, model, ranking
@@ -17,8 +18,8 @@ from assetpulse.operators import reference_tables as ref
 from assetpulse.plans import daily_facts as facts
 from assetpulse.plans import fleet, screening
 from assetpulse.plans.bridge import AS_OF, FIRMWARE_TIE_BREAK, SCREEN_AS_OF, TIE_BREAK, Bridge
-from assetpulse.session import materialize
-from assetpulse.sources import drop_any_null, valid_dates
+from assetpulse.session import materialize, use_checkpoint_dir
+from assetpulse.sources import checked_for_sink, drop_any_null, valid_dates, write_dated
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -372,8 +373,68 @@ def row_change(bridge: Bridge) -> DataFrame:
     return rounded(facts.daily_change(fact_sources(bridge, "service_requests", "error_events"), AS_OF, settings))
 
 
+def other_windows(bridge: Bridge) -> DataFrame:
+    """Windows of a week, a label of ten days ahead, distances up to 90 days."""
+    settings = facts.FactSettings(window_days=7, horizon_days=10, cap_days=90, code_types=(), codes=(160, 177), device_columns=None)
+    days = facts.daily_facts(fact_sources(bridge, "service_requests", "error_events"), AS_OF, settings)
+    codes = [name for name in days.columns if name.startswith("Code")]
+    return rounded(days.select(ASSET, DATE, "notes_in_last30", "Avg_notes_in_last30", "failure_event", "day_to_failure", *codes), "Avg_notes_in_last30")
+
+
+def codes_without_listed(bridge: Bridge) -> DataFrame:
+    """Code groups that leave out the codes counted on their own."""
+    settings = facts.FactSettings(exclude_listed_codes=True, device_columns=None)
+    days = facts.daily_facts(fact_sources(bridge, "error_events"), AS_OF, settings)
+    return rounded(days.select(ASSET, DATE, *[name for name in days.columns if name.startswith("CodeType")]))
+
+
+def devices_from_master(bridge: Bridge) -> DataFrame:
+    sources = facts.FactSources(bridge.daily_work(), bridge.assets_with_devices(), TIE_BREAK)
+    return facts.daily_facts(sources, AS_OF, facts.FactSettings(device_columns="master")).select(ASSET, DATE, "age", "model_name", "capacity")
+
+
+def no_devices(bridge: Bridge) -> DataFrame:
+    """A device table is given and not used; the rows keep to assets, whatever their product."""
+    days = facts.daily_facts(fact_sources(bridge, "asset_features"), AS_OF, facts.FactSettings(device_columns=None))
+    return days.drop("Avg_notes_in", "Avg_notes_in_last30")
+
+
+def sunk(df: DataFrame, schema: T.StructType, name: str) -> DataFrame:
+    """df through the checks of a declared table, written as that table's rows of one date and read back."""
+    session = df.sparkSession
+    use_checkpoint_dir(session)
+    folder = f"{session.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4()}"
+    write_dated(checked_for_sink(df, schema), folder, AS_OF)
+    return session.read.parquet(folder).drop("as_of")
+
+
+def sink_service_requests(bridge: Bridge) -> DataFrame:
+    """Requests with a category; the declared table takes no nulls."""
+    history = ref.service_request_history(bridge.service_requests()).filter("incident_category IS NOT NULL")
+    return sunk(history, schemas.SERVICE_REQUEST_HISTORY, "service_request_history")
+
+
+def sink_error_codes(bridge: Bridge) -> DataFrame:
+    return sunk(ref.asset_error_codes(bridge.error_events()), schemas.ASSET_ERROR_CODES, "asset_error_codes")
+
+
+OPTION_QUERIES: dict[str, Query] = {
+    "facts_other_windows": bridge_query(other_windows),
+    "codes_without_listed": bridge_query(codes_without_listed),
+    "devices_from_master": bridge_query(devices_from_master),
+    "facts_without_devices": bridge_query(no_devices),
+    "sink_service_requests": bridge_query(sink_service_requests),
+    "sink_error_codes": bridge_query(sink_error_codes),
+    # The master that holds the assets of the rows, so that nearly all find theirs.
+    "periodic_work_own_master": bridge_query(lambda b: ref.periodic_work(b.screen_work(), b.screen_assets(), "inner")),
+    "technician_history_own_master": bridge_query(
+        lambda b: ref.technician_history(b.field_activity(), b.service_orders(), b.screen_assets(), "inner")
+    ),
+}
+
+
 FACT_QUERIES |= {"operational_age": bridge_query(operational_age), "row_change": bridge_query(row_change)}
 
 
 def all_queries() -> dict[str, Query]:
-    return {**FACT_QUERIES, **FLEET_QUERIES, **SCREEN_QUERIES, **REFERENCE_QUERIES, **MODEL_QUERIES}
+    return {**FACT_QUERIES, **OPTION_QUERIES, **FLEET_QUERIES, **SCREEN_QUERIES, **REFERENCE_QUERIES, **MODEL_QUERIES}

@@ -214,6 +214,7 @@ def _code_ctes(conditions: dict[str, str], suffix: str = "") -> None:
 
 
 _code_ctes(CODE_CONDITIONS)
+_code_ctes({f"CodeType_1_criticality_{c}": f"code_type = 1 AND criticality = {c}" for c in (1, 2, 3)}, "_unlisted")
 
 DEVICE = [
     "model_name",
@@ -739,6 +740,53 @@ def option_sql() -> dict[str, str]:
     }
 
 
+def variant_sql() -> dict[str, str]:
+    """Options of the fact job and the declared sinks."""
+    reference = reference_sql()
+    weekly = ", ".join(
+        f"CAST(sum({c}) OVER w AS BIGINT) AS {c}, round(CASE WHEN row_number() OVER o >= 7 THEN stddev_samp({c}) OVER w END, 6) AS {c}_std"
+        for c in ("Code_160", "Code_177")
+    )
+    windows = """WINDOW o AS (PARTITION BY customer_asset_identifier ORDER BY date),
+           w AS (PARTITION BY customer_asset_identifier ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)"""
+    groups = [f"CodeType_1_criticality_{c}" for c in (1, 2, 3)]
+    own = ", ".join(f"{name}, round({name}_std, 6) AS {name}_std" for name in groups)
+    listed = "160, 177, 12, 74, 64, 182, 307, 306, 310, 305, 312"
+    requests = ", ".join(
+        f"CAST({name} AS VARCHAR) AS {name}" if name == "service_request_date" else name
+        for name in ("customer_asset_identifier", "service_request_date", "incident_category", "incident_status", "customer_id", '"Asset_serial_number"', '"Priority"')
+    )
+    return {
+        "facts_other_windows": with_ctes(
+            f"""SELECT a.*, CASE WHEN ahead <= 10 THEN 1 ELSE 0 END AS failure_event,
+                  CASE WHEN ahead < 90 THEN ahead ELSE 90 END AS day_to_failure, c.* EXCLUDE (customer_asset_identifier, date)
+                FROM (SELECT {KEY}, CAST(sum(working_unit) OVER w AS BIGINT) AS notes_in_last30,
+                        CAST(sum(working_unit) OVER w AS DOUBLE) / 7 AS Avg_notes_in_last30 FROM worked {windows}) a
+                JOIN failure_ahead f USING ({KEY}) JOIN (SELECT {KEY}, {weekly} FROM code_filled {windows}) c USING ({KEY})""",
+            "worked",
+            "failure_ahead",
+            "code_filled",
+        ),
+        "codes_without_listed": with_ctes(f"SELECT {KEY}, {own} FROM code_rolling_unlisted", "code_rolling_unlisted").replace(
+            "code_type = 1 AND", f"code_type = 1 AND code_id NOT IN ({listed}) AND"
+        ),
+        "devices_from_master": with_ctes(
+            f"""SELECT {KEY}, date - installed_date AS age, n_name AS model_name, 100 * (n_nationkey + 1) AS capacity
+                FROM spine JOIN nation ON n_nationkey = product_identifier""",
+            "spine",
+        ),
+        "facts_without_devices": with_ctes(f"SELECT {KEY}, notes_in, notes_in_last30, age FROM work_sums", "work_sums"),
+        "sink_service_requests": f"SELECT {requests} FROM ({reference['service_request_history']}) WHERE incident_category IS NOT NULL",
+        "sink_error_codes": f"SELECT * REPLACE (CAST(date AS VARCHAR) AS date) FROM ({reference['asset_error_codes']})",
+        "periodic_work_own_master": reference["periodic_work_inner"].replace("JOIN assets a", "JOIN s_assets a").replace(*_assets_for("s_assets")),
+        "technician_history_own_master": reference["technician_history_inner"].replace("JOIN assets a", "JOIN s_assets a").replace(*_assets_for("s_assets")),
+    }
+
+
+def _assets_for(name: str) -> tuple[str, str]:
+    return f"assets AS ({_CTES['assets'][1]})", f"{name} AS ({_CTES[name][1]})"
+
+
 # ---- screening of the fact bridge's assets: the rules above, on its tables and limits ----
 
 _FLEET = ["universe", "inactive", "daily", "manual", "manual_only", "steps", "runs", "irregular", "few", "future", "errors", "valid"]
@@ -877,4 +925,4 @@ def fleet_sql() -> dict[str, str]:
 
 
 def all_sql() -> dict[str, str]:
-    return {**facts_sql(), **option_sql(), **fleet_sql(), **screening_sql(), **reference_sql(), **model_sql()}
+    return {**facts_sql(), **option_sql(), **variant_sql(), **fleet_sql(), **screening_sql(), **reference_sql(), **model_sql()}
