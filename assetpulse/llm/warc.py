@@ -56,18 +56,31 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0) -> None:
 
 
 def read_archives(spark, folder: str, range_bytes: int = 8 << 20) -> DataFrame:
-    """One row per record: file, offset, headers, payload. Tasks own byte ranges: each seeks the gzip magic in its range,
-    takes a place as a member only if it decodes to a WARC header, and reads records that start inside to their end.
-    The folder must be one that every executor can open. Empty members carry no record."""
+    """One row per record: file, offset, headers, payload, payload_bytes, payload_digest. Tasks own byte ranges: each seeks the
+    gzip magic in its range, takes a place as a member only if it decodes to a WARC header, and reads records that start inside
+    to their end. Size and SHA-1 of a response are worked out from the payload read, and the job fails where the record's header
+    says otherwise; a revisit has no payload and gives its header's. The folder must be one that every executor can open.
+    Empty members carry no record."""
     files = spark.read.format("binaryFile").load(folder).where("length > 0").select("path", "length")
     ranges = files.select("path", F.explode(F.expr(f"sequence(0L, length - 1, {range_bytes}L)")).alias("start"))
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import base64
+        import hashlib
         import re
         import zlib
 
         from pyarrow import fs
 
+        def checked(headers: dict[str, str], payload: bytes, place: str) -> tuple[int, str]:
+            told = int(headers.get("X-Payload-Length", -1)), headers.get("WARC-Payload-Digest", "").removeprefix("sha1:")
+            if headers.get("WARC-Type") == "revisit":
+                return told
+            own = len(payload), base64.b32encode(hashlib.sha1(payload).digest()).decode()
+            if own[1] != (told[1] or own[1]) or told[0] not in (-1, own[0]):
+                raise ValueError(f"{place}: the payload is not the one of the header")
+            return own
+
         def records(path: str, start: int) -> Iterator[dict]:
             system, name = fs.FileSystem.from_uri(re.sub("^file:/+", "file:///", path))
             with system.open_input_file(name) as source:
@@ -96,23 +109,25 @@ def read_archives(spark, folder: str, range_bytes: int = 8 << 20) -> DataFrame:
                     head, _, rest = text.partition(b"\r\n\r\n")
                     lines = [x.split(": ", 1) for x in head.decode("utf-8", "replace").split("\r\n")[1:]]
                     headers = {x[0]: x[1] for x in lines if len(x) == 2}
-                    block = rest[: int(headers.get("Content-Length", 0))]
-                    yield {"file": path, "offset": start + at, "headers": headers, "payload": block.partition(b"\r\n\r\n")[2]}
+                    payload = rest[: int(headers.get("Content-Length", 0))].partition(b"\r\n\r\n")[2]
+                    length, digest = checked(headers, payload, f"{path} at {start + at}")
+                    yield {"file": path, "offset": start + at, "headers": headers, "payload": payload, "payload_bytes": length, "payload_digest": digest}
                     at = place - len(member.unused_data) - start
 
         for b in batches:
             for path, start in zip(b["path"], b["start"], strict=True):
-                out = []
+                out, held = [], 0
                 for r in records(path, int(start)):
                     out.append(r)
-                    if len(out) >= 256:
+                    held += len(r["payload"])
+                    if len(out) >= 256 or held >= range_bytes:
                         yield pd.DataFrame(out)
-                        out = []
+                        out, held = [], 0
                 if out:
                     yield pd.DataFrame(out)
 
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return ranges.repartition(parts).mapInPandas(read, "file string, offset long, headers map<string,string>, payload binary")
+    return ranges.repartition(parts).mapInPandas(read, "file string, offset long, headers map<string,string>, payload binary, payload_bytes long, payload_digest string")
 
 
 def op6_warc(spark, sf_dir):
@@ -121,7 +136,6 @@ def op6_warc(spark, sf_dir):
     write_archives(table(spark, sf_dir, "pages"), folder)
     page = "cast(nullif(regexp_extract(headers['{}'], 'page:(\\\\d+)', 1), '') AS long)"
     return read_archives(spark, folder).selectExpr(
-        page.format("WARC-Record-ID") + " AS page_id", "cast(headers['X-Payload-Length'] AS long) AS payload_bytes",
-        "substr(headers['WARC-Payload-Digest'], 6) AS payload_digest", "headers['WARC-Type'] AS record_type",
+        page.format("WARC-Record-ID") + " AS page_id", "payload_bytes", "payload_digest", "headers['WARC-Type'] AS record_type",
         page.format("WARC-Refers-To") + " AS refers_to",
     )
