@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -57,68 +58,96 @@ def gray_rank(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def near_pairs(key: np.ndarray, fp: np.ndarray, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+#: Rows of a node, level by level; the last level are the rows themselves.
+RUNS = (1024, 128, 16, 4, 1)
+
+
+class GrayTree:
+    """Nodes over rows sorted by key, then Gray rank: each level cuts a key's rows into runs of Gray neighbours. A node keeps the
+    mask of the bits that all its rows share, and their pattern."""
+
+    def __init__(self, key: np.ndarray, fp: np.ndarray) -> None:
+        self.fp = fp
+        first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        sizes = np.diff(np.r_[first, len(key)])
+        self.starts, self.masks, self.patterns = [first], [], []  # the top level has one node per key
+        for run in RUNS:
+            parts = -(-sizes // run)
+            upto = np.cumsum(parts) - parts
+            self.starts.append(np.repeat(first, parts) + (np.arange(parts.sum()) - np.repeat(upto, parts)) * run)
+        for starts in self.starts:
+            both, any_ = np.bitwise_and.reduceat(fp, starts), np.bitwise_or.reduceat(fp, starts)
+            self.masks.append(both | ~any_)
+            self.patterns.append(both)
+
+    def children(self, level: int) -> tuple[np.ndarray, np.ndarray]:
+        """First child of each node, and how many it has."""
+        below = np.searchsorted(self.starts[level + 1], np.r_[self.starts[level], len(self.fp)])
+        return below[:-1], np.diff(below)
+
+    def differ(self, level: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """On how many bits that both share each pair of nodes differs: what all their rows differ by at least."""
+        masks, patterns = self.masks[level], self.patterns[level]
+        return np.bitwise_count((patterns[a] ^ patterns[b]) & masks[a] & masks[b])
+
+
+def near_pairs(key: np.ndarray, fp: np.ndarray, bits: int, seen: list | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Row pairs of equal key within bits of each other; rows come sorted by key, then Gray rank.
 
-    A tree over the rows: a key's rows, runs of 256 and of 16 Gray neighbours, rows. A node keeps the mask of the bits
-    all its rows share and their pattern; a pair of nodes goes on to its children only while the differences on the
-    bits shared on both sides stay within the limit. The frontier is worked in blocks, depth first.
-    """
-    first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-    last = np.r_[first[1:], len(key)]
-    many = last - first > 1
-    roots = np.stack([first[many], last[many]], axis=1)
-
-    def nodes_near(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        def pattern(n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            edges, where = np.unique(n, axis=0, return_inverse=True)
-            flat = np.append(edges.ravel(), 0)[:-1]
-            padded = np.append(fp, np.uint64(0))
-            both = np.bitwise_and.reduceat(padded, flat)[::2]
-            any_ = np.bitwise_or.reduceat(padded, flat)[::2]
-            return (both | ~any_)[where.ravel()], both[where.ravel()]
-
-        (ma, va), (mb, vb) = pattern(a), pattern(b)
-        return np.bitwise_count((va ^ vb) & ma & mb) <= bits
-
-    stack = [(roots[i : i + 4096], roots[i : i + 4096], 0) for i in range(0, len(roots), 4096)]
+    A pair of nodes goes on to its children only while the differences on the bits shared on both sides, which add up on the
+    way down, stay within the limit; else all pairs below it are pruned. The frontier is worked in blocks, depth first.
+    seen collects (level, pairs of nodes met, pairs kept)."""
+    if not len(key):
+        return
+    tree = GrayTree(key, fp)
+    below = [tree.children(level) for level in range(len(RUNS))]
+    tops = np.flatnonzero(np.diff(np.r_[tree.starts[0], len(key)]) > 1)
+    stack = [(tops[i : i + 65536], tops[i : i + 65536], 0) for i in range(0, len(tops), 65536)]
     while stack:
         a, b, level = stack.pop()
-        if level == 3:
-            i, j = a[:, 0], b[:, 0]
-            ok = (i < j) & (np.bitwise_count(fp[i] ^ fp[j]) <= bits)
-            if ok.any():
-                yield i[ok], j[ok]
-            continue
-        size = (256, 16, 1)[level]
-        na, nb = -((a[:, 0] - a[:, 1]) // size), -((b[:, 0] - b[:, 1]) // size)
-        cost = np.cumsum(na * nb)
-        for low in range(0, int(cost[-1]) if len(cost) else 0, 1_000_000):
-            at = np.arange(low, min(int(cost[-1]), low + 1_000_000))
-            p = np.searchsorted(cost, at, side="right")
-            k = at - (cost[p] - (na * nb)[p])
-            ia, ib = k // nb[p], k % nb[p]
-            ca = np.stack([a[p, 0] + ia * size, np.minimum(a[p, 0] + (ia + 1) * size, a[p, 1])], axis=1)
-            cb = np.stack([b[p, 0] + ib * size, np.minimum(b[p, 0] + (ib + 1) * size, b[p, 1])], axis=1)
-            keep = ca[:, 0] <= cb[:, 0]
-            ca, cb = ca[keep], cb[keep]
-            if level < 2 and len(ca):
-                keep = nodes_near(ca, cb)
-                ca, cb = ca[keep], cb[keep]
-            if len(ca):
-                stack.append((ca, cb, level + 1))
-
-
-def links(distinct: DataFrame, bits: int, cell_rows: int = 4096) -> DataFrame:
+        first, count = below[level]
+        ways = np.cumsum(count[a] * count[b])
+        for low in range(0, int(ways[-1]) if len(ways) else 0, 1_000_000):
+            at = np.arange(low, min(int(ways[-1]), low + 1_000_000))
+            p = np.searchsorted(ways, at, side="right")
+            k = at - (ways[p] - (count[a] * count[b])[p])
+            x, y = first[a[p]] + k // count[b[p]], first[b[p]] + k % count[b[p]]
+            once = x < y if level + 1 == len(RUNS) else x <= y
+            x, y = x[once], y[once]
+            keep = tree.differ(level + 1, x, y) <= bits
+            if seen is not None:
+                seen.append((level + 1, len(x), int(keep.sum())))
+            x, y = x[keep], y[keep]
+            if not len(x):
+                continue
+            if level + 1 == len(RUNS):
+                yield tree.starts[-1][x], tree.starts[-1][y]
+            else:
+                stack.append((x, y, level + 1))
+
+
+def cell_keys(width: int) -> list[str]:
+    """SQL keys of width bits, one per table: two fingerprints with at most four differing bits agree on the whole key in one
+    table at least. Up to 12 bits are taken from each of five blocks, of which one is free of differences; up to 20 from
+    each two of six blocks, of which two are."""
+    if width <= 12:
+        return [f"shiftrightunsigned(fp, {at}) & {2**width - 1}L" for at in (0, 13, 26, 39, 52)][: 5 if width else 1]
+    high, low = width - width // 2, width // 2
+    pairs = itertools.combinations(BLOCKS, 2)
+    return [f"(shiftrightunsigned(fp, {i}) & {2**high - 1}L) * {2**low}L + (shiftrightunsigned(fp, {j}) & {2**low - 1}L)" for (i, _), (j, _) in pairs]
+
+
+def links(distinct: DataFrame, bits: int, cell_rows: int = 16_384) -> DataFrame:
     """(a, b) fingerprints whose components are those of all pairs within bits (at most 4).
 
-    Rows meet where two of six blocks agree. Keys with more than cell_rows rows are dealt into cells of pairs of
-    parts, so that no task gets a whole hot key. A batch emits a star per component, not its pairs.
-    """
-    block = [f"(shiftrightunsigned(fp, {at}) & {2**n - 1}L)" for at, n in BLOCKS]
-    keys = [f"struct({t} AS t, {block[i]} * 2048L + {block[j]} AS k)" for t, (i, j) in enumerate(itertools.combinations(range(6), 2))]
+    Rows meet in cells of about cell_rows rows, at every size of the input: cell keys take a bit more from the fingerprint for each
+    doubling of the rows. Within a cell the Gray-order tree finds the pairs. Keys with over twice cell_rows rows are dealt
+    into cells of pairs of parts, so that no task gets a whole hot key. A cell emits a star per component, not its pairs."""
+    rows = distinct.count()
+    width = min(20, max(0, math.ceil(math.log2(max(1, rows) / cell_rows))))
+    keys = [f"struct({t} AS t, {key} AS k)" for t, key in enumerate(cell_keys(width))]
     entries = distinct.selectExpr("fp", f"explode(array({', '.join(keys)})) AS e").selectExpr("fp", "e.t", "e.k")
-    hot = materialize(entries.groupBy("t", "k").count().where(F.col("count") > cell_rows).selectExpr("t", "k", f"ceil(count / {cell_rows}) AS m"))
+    hot = materialize(entries.groupBy("t", "k").count().where(F.col("count") > 2 * cell_rows).selectExpr("t", "k", f"ceil(count / {cell_rows}) AS m"))
     dealt = entries.join(hot, ["t", "k"], "left").selectExpr("fp", "t", "k", "coalesce(m, 1L) AS m").selectExpr("*", "pmod(xxhash64(fp), m) AS c")
     cells = dealt.selectExpr("fp", "t", "k", "explode(transform(sequence(0L, m - 1), o -> least(o, c) * 65536 + greatest(o, c))) AS cell")
     parts = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -167,7 +196,7 @@ def near_groups(docs: DataFrame, shingle: int = 4, bits: int = 4, row: tuple[str
     Where columns row are named that tell rows apart, both ids are structs (no_id, doc_id, *row): the least of a component is
     one row, and a row without id only if all are."""
     if bits > 4:
-        raise ValueError("six blocks cover at most 4 differing bits")
+        raise ValueError("the cell keys cover at most 4 differing bits")
     rows = fingerprints(docs, shingle, row)
     if row:
         rows = rows.select(F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", *row).alias("doc_id"), "fp")

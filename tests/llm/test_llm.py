@@ -92,24 +92,64 @@ def test_simhash(spark, docs, odd):
         assert sorted(map(tuple, simhash.near_groups(df).collect()), key=repr) == sorted(want, key=repr)
 
 
+def gray_sorted(fp, key=None):
+    key = np.zeros(len(fp), int) if key is None else key
+    order = np.lexsort((simhash.gray_rank(fp), key))
+    return key[order], fp[order]
+
+
 def test_near_pairs_is_complete():
     rng = np.random.default_rng(1)
-    fp = rng.integers(0, 2**63, 40, "uint64").repeat(30)
+    fp = rng.integers(0, 2**63, 60, "uint64").repeat(50)
     for _ in range(3):
         fp = fp ^ (np.uint64(1) << rng.integers(0, 64, len(fp)).astype("uint64"))
-    key = rng.integers(0, 3, len(fp))
-    order = np.lexsort((simhash.gray_rank(fp), key))
-    fp, key = fp[order], key[order]
-    got = {(int(a), int(b)) for i, j in simhash.near_pairs(key, fp, 4) for a, b in zip(i, j, strict=True)}
-    want = {(a, b) for a in range(len(fp)) for b in range(a + 1, len(fp)) if key[a] == key[b] and (int(fp[a]) ^ int(fp[b])).bit_count() <= 4}
-    assert got == want
-
-
-def test_hot_keys_are_dealt_into_cells(spark):
-    values = [(i ^ (i << 3),) for i in range(300)]
-    df = spark.createDataFrame(values, "fp long").distinct()
-    whole = {tuple(r) for r in connected_components(simhash.links(df, 4)).collect()}
-    assert whole == {tuple(r) for r in connected_components(simhash.links(df, 4, cell_rows=16)).collect()}
+    for keys in (1, 3, 1000):
+        key, own = gray_sorted(fp, rng.integers(0, keys, len(fp)))
+        got = sorted(zip(*map(np.ndarray.tolist, map(np.concatenate, zip(*simhash.near_pairs(key, own, 4), strict=True))), strict=True))
+        near = (np.bitwise_count(own[:, None] ^ own[None, :]) <= 4) & (key[:, None] == key[None, :])
+        assert got == [(a, b) for a, b in zip(*map(np.ndarray.tolist, np.nonzero(near)), strict=True) if a < b]
+    assert list(simhash.near_pairs(np.zeros(0, int), np.zeros(0, "uint64"), 4)) == []
+
+
+def test_the_tree_prunes(spark):
+    """At sf0.1 most of the pairs of runs are pruned before their rows are compared."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    fp = np.unique(np.array([r["fp"] for r in simhash.fingerprints(docs).select("fp").distinct().collect()], "int64").view("uint64"))
+    seen = []
+    pairs = sum(len(i) for i, _ in simhash.near_pairs(*gray_sorted(fp), 4, seen))
+    met, kept = sum(m for level, m, _ in seen if level < len(simhash.RUNS)), sum(k for level, _, k in seen if level < len(simhash.RUNS))
+    compared = sum(m for level, m, _ in seen if level == len(simhash.RUNS))
+    assert kept < 0.5 * met and compared < len(fp) ** 2 / 2 / 3 and pairs > 0
+
+
+def test_cell_keys_cover_four_differences(spark):
+    rng = np.random.default_rng(2)
+    a = rng.integers(-(2**63), 2**63 - 1, 400)
+    b = a.copy()
+    for row in range(400):
+        for bit in rng.choice(64, 4, replace=False):
+            b[row] ^= np.int64(-(2**63)) if bit == 63 else np.int64(1 << bit)
+    for width in (0, 5, 12, 13, 20):
+        keys = simhash.cell_keys(width)
+        both = [spark.createDataFrame([(int(v),) for v in side], "fp long").selectExpr(*[f"{k} AS k{n}" for n, k in enumerate(keys)]).collect() for side in (a, b)]
+        assert all(any(p == q for p, q in zip(x, y, strict=True)) for x, y in zip(*both, strict=True))
+        assert len(keys) == (1 if width == 0 else 5 if width <= 12 else 15) and all(0 <= v < 2**width for row in both[0] for v in row)
+
+
+def test_links_are_the_same_in_cells_of_any_size(spark):
+    """One cell, many, keys of two blocks, and hot keys that are dealt into pairs of parts."""
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 2**62, 60).repeat(20)
+    for _ in range(4):
+        base = base ^ (1 << rng.integers(0, 62, len(base)))
+    values = sorted({int(v) for v in base} | {i ^ (i << 3) for i in range(300)})
+    df = spark.createDataFrame([(v,) for v in values], "fp long")
+    near = np.array(values)
+    near = np.argwhere(np.triu(np.bitwise_count(near[:, None] ^ near[None, :]) <= 4, 1))
+    want = {(n, r) for n, r in roots([(values[a], values[b]) for a, b in near], values).items() if n != r}
+    for rows in (16_384, 100, 16, 1):
+        got = {tuple(r) for r in connected_components(simhash.links(df, 4, cell_rows=rows)).collect()}
+        assert got == want, rows
 
 
 def test_pack(spark, docs, odd):
