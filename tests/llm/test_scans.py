@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import textwrap
 import time
 
 import pyarrow.parquet as pq
@@ -68,9 +69,39 @@ def test_ownership_counts_repositories_and_copies(spark):
 def test_licences_equal_sql(spark):
     line = compare(spark, "op7", llm.all_queries()["op7_licenses"], llm.all_sql()["op7_licenses"], connect(SF), SF)
     assert line.startswith("ok") and " 0 rows" not in line, line
-    rows = [(1, None), (2, ""), (3, "x\n" + licenses.TEMPLATES["MIT"]), (3, "x\n" + licenses.TEMPLATES["MIT"]), (4, "plain words only")]
-    got = licenses.licence_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
-    assert {(r["doc_id"], r["license"]) for r in got} == {(3, "MIT")}
+    rows = [(1, None), (2, ""), (3, "x\n" + licenses.TEMPLATES["MIT-grant"]), (3, "x\n" + licenses.TEMPLATES["MIT-grant"]), (4, "plain words only"), (None, "Released under the MIT License.")]
+    df = spark.createDataFrame([(*r, 5, 6) for r in rows], "doc_id long, text string, lines int, hits int")
+    got = licenses.licence_units(df).collect()
+    whole, line = (3, "MIT-grant", 0, 1), (3, "MIT-grant", 1, 1)
+    assert sorted((r["doc_id"] or 0, r["license"], r["first_line"], r["last_line"]) for r in got) == [(0, "MIT-notice", 0, 0), whole, whole, line, line]
+    assert licenses.licence_units(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("width", [10_000, 78, 60])
+def test_whole_licences_in_other_text(spark, width):
+    """Each published text, on long lines or wrapped, alone and inside a document of other words."""
+    rng = random.Random(width)
+    other = lambda n: textwrap.fill(" ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randrange(2, 9))) for _ in range(n)), 78)
+    rows, want = [], {}
+    for name, text in licenses.TEMPLATES.items():
+        wrapped = "\n\n".join(textwrap.fill(" ".join(part.split()), width) for part in text.split("\n\n"))
+        for body in (wrapped, f"{other(200)}\n{wrapped}\n{other(200)}", f"{other(30)}\n\n{wrapped}\n\n{other(400)}"):
+            want[len(rows)] = name
+            rows.append((len(rows), body))
+    found = {}
+    for r in licenses.licence_units(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        found.setdefault(r["doc_id"], {}).setdefault(r["license"], []).append(r["dice"])
+    missed = [(want[i], i % 3) for i in want if want[i] not in found.get(i, {})]
+    assert not missed
+    assert all(max(found[i][want[i]]) == 1.0 for i in want if i % 3 == 0)
+
+
+def test_a_paragraph_wrapped_inside_a_document(spark):
+    rng = random.Random(3)
+    before, after = (" ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(200)) for _ in range(2))
+    text = textwrap.fill(before, 78) + "\n" + textwrap.fill(licenses.TEMPLATES["MIT-grant"], 78) + "\n" + textwrap.fill(after, 78)
+    got = licenses.licence_units(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
+    assert {r["license"] for r in got} == {"MIT-grant"} and max(r["dice"] for r in got) > 0.9
 
 
 def test_preferences(spark):
