@@ -23,11 +23,14 @@ def build_session(app_name: str = "assetpulse", master: str | None = None, **con
 
 
 def use_checkpoint_dir(spark: SparkSession) -> None:
-    """Point checkpoints at the shared folder in spark.checkpoint.dir; where it is unset, at one under the warehouse, which is shared too."""
+    """Point checkpoints at the shared folder in spark.checkpoint.dir; where it is unset, on one machine, at one under the
+    warehouse. A cluster without the setting is refused: its machines need not share the default warehouse folder."""
     context = spark.sparkContext
     if context.getCheckpointDir():
         return
     shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and not context.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     context.setCheckpointDir(shared or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints")
 
 
