@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -145,31 +146,45 @@ def upper_trees(words: DataFrame, cell_words: int, sample: int) -> dict[int, KdT
     return trees
 
 
+def full_cells(words: DataFrame, trees: dict[int, KdTree], cell_words: int) -> dict[tuple[int, int], int]:
+    """In how many parts a cell of over twice cell_words words is held (words of equal letters cannot be told apart by a
+    tree). There are at most as many cells as the trees, which the driver holds, have leaves."""
+
+    def own(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for size, part in batch.groupby("size", sort=False):
+                for cell, rows in trees[size].reach(letter_counts(codes_of(part["word"].tolist())), 0, 0):
+                    yield pd.DataFrame({"size": [size], "cell": [cell], "words": [len(rows)]})
+
+    split = words.where(F.col("size").isin(list(trees))).select("size", "word")
+    held = split.mapInPandas(own, "size int, cell int, words long").groupBy("size", "cell").agg(F.sum("words").alias("words"))
+    return {(r["size"], r["cell"]): -(-r["words"] // cell_words) for r in held.where(F.col("words") > 2 * cell_words).collect()}
+
+
 def near_words(words: DataFrame, cell_words: int = 2048, sample: int = 20_000) -> DataFrame:
     """(word, other, other_n) for words(word, n, size) one edit apart, both ways. A word is held in its own cell and asks every cell
     its box search reaches among the words of its length and of the next. A cell of over twice cell_words words is held in
     parts by hash, each asked by all that ask the cell, so that no task holds more."""
     session = words.sparkSession
-    trees = session.sparkContext.broadcast(upper_trees(words, cell_words, sample))
+    uppers = upper_trees(words, cell_words, sample)
+    known = session.sparkContext.broadcast((uppers, full_cells(words, uppers, cell_words)))
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        trees, full = known.value
         for batch in batches:
-            for size, part in batch.groupby("size", sort=False):
-                counts = letter_counts(codes_of(part["word"].tolist()))
+            for size, group in batch.groupby("size", sort=False):
+                counts = letter_counts(codes_of(group["word"].tolist()))
                 for role, target, up, down in ((0, size, 0, 0), (SAME, size, 1, 1), (LONGER, size + 1, 1, 0)):
-                    tree = trees.value.get(target)
-                    for cell, rows in tree.reach(counts, up, down) if tree else [(0, np.arange(len(part)))]:
-                        own = part.iloc[rows]
-                        yield pd.DataFrame({"target": target, "cell": cell, "role": role, "word": own["word"], "n": own["n"]})
-
-    dealt = words.mapInPandas(deal, "target int, cell int, role int, word string, n long")
-    held = dealt.where("role = 0").groupBy("target", "cell").agg(F.count("*").alias("words"))
-    full = materialize(held.where(f"words > {2 * cell_words}").selectExpr("target", "cell", f"ceil(words / {cell_words}) AS parts"))
-    placed = dealt.join(full, ["target", "cell"], "left").withColumn("parts", F.expr("coalesce(parts, 1L)"))
-    own = "CASE WHEN role = 0 THEN array(pmod(xxhash64(word), parts)) ELSE sequence(0L, parts - 1) END"
-    spread = placed.selectExpr("target", "cell", "role", "word", "n", f"explode({own}) AS part")
+                    tree = trees.get(target)
+                    for cell, rows in tree.reach(counts, up, down) if tree else [(0, np.arange(len(group)))]:
+                        own, parts = group.iloc[rows], full.get((target, cell), 1)
+                        hashed = own["word"].map(lambda w: zlib.crc32(w.encode())).to_numpy() % parts if parts > 1 and role == 0 else 0
+                        for part in range(1 if role == 0 else parts):
+                            yield pd.DataFrame({"target": target, "cell": cell, "part": hashed if role == 0 else part, "role": role, "word": own["word"], "n": own["n"]})
+
+    dealt = words.mapInPandas(deal, "target int, cell int, part int, role int, word string, n long")
     tasks = int(session.conf.get("spark.sql.shuffle.partitions"))
-    sorted_ = spread.repartition(tasks, "target", "cell", "part").sortWithinPartitions("target", "cell", "part", "role")
+    sorted_ = dealt.repartition(tasks, "target", "cell", "part").sortWithinPartitions("target", "cell", "part", "role")
 
     def answer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         at, held, index, named = None, [], None, None
