@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assetpulse.llm.common import table
@@ -18,22 +18,33 @@ LEVELS = {
     "language": "lang",
     "leaf": "source",
 }
-#: Target weights by node and the budget as a share of all tokens: those of the query and of the pipeline's stage.
-WEIGHTS = {"web": 1.0, "curated": 1.0, "en": 2.0}
+#: Target weights by path from the top, "*" for any names above, and the budget as a share of all tokens: those of the query and
+#: of the pipeline's stage.
+WEIGHTS = {("web",): 1.0, ("curated",): 1.0, ("*", "en"): 2.0}
 SHARE = 0.8
 TOKENS = "greatest(1L, ceil(octet_length(coalesce(text, '')) / 4))"
 
 
-def budgets(leaves: DataFrame, levels: list[str], weights: dict[str, float], total: float, epochs: int) -> DataFrame:
+def weight_of(own: list[str], weights: dict[tuple[str, ...], float]) -> Column:
+    """Weight of the node whose path the columns own hold: that of the whole path, else of ("*", ..., name), else 1."""
+    named = {"\x1f".join(path): float(w) for path, w in weights.items() if len(path) == len(own)}
+    if not named:
+        return F.lit(1.0)
+    table_ = F.create_map(*[F.lit(v) for kv in named.items() for v in kv])
+    exact = F.concat_ws("\x1f", *own)
+    anywhere = F.concat_ws("\x1f", *[F.lit("*")] * (len(own) - 1), own[-1])
+    return F.coalesce(F.try_element_at(table_, exact), F.try_element_at(table_, anywhere), F.lit(1.0))
+
+
+def budgets(leaves: DataFrame, levels: list[str], weights: dict[tuple[str, ...], float], total: float, epochs: int) -> DataFrame:
     """leaves(levels..., tokens) -> with budget. A node offers its tokens times epochs. A parent's budget goes to its
-    children by weight (default 1); a child that offers less gives all, and its siblings share the rest. Only what a whole
+    children by weight (weight_of); a child that offers less gives all, and its siblings share the rest. Only what a whole
     subtree lacks goes to the parent's siblings, since a node's budget never exceeds what its leaves offer."""
     nodes = leaves.withColumn("budget", F.lit(float(total)))
-    table_ = F.create_map(*[F.lit(v) for kv in weights.items() for v in kv]) if weights else F.expr("map('', 1D)")
     for depth, level in enumerate(levels):
         above, own = levels[:depth], levels[: depth + 1]
         kids = leaves.groupBy(*own).agg((F.sum("tokens") * epochs).cast("double").alias("offer"))
-        kids = kids.withColumn("w", F.coalesce(table_[F.col(level)], F.lit(1.0)))
+        kids = kids.withColumn("w", weight_of(own, weights))
         on = [nodes[c].eqNullSafe(kids[c]) for c in above]
         parents = nodes.select(*above, "budget").distinct() if depth else None
         if parents is not None:
@@ -66,13 +77,14 @@ def with_leaves(rows: DataFrame, small: DataFrame, names: list[str], how: str, m
     return rows.join(salted, [*names, "_salt"], how).drop("_salt")
 
 
-def mix(docs: DataFrame, levels: dict[str, str], weights: dict[str, float], share: float = SHARE, epochs: int = 2, seed: int = 7,
+def mix(docs: DataFrame, levels: dict[str, str], weights: dict[tuple[str, ...], float], share: float = SHARE, epochs: int = 2, seed: int = 7,
         tokens: str = TOKENS, broadcast_rows: int = 100_000) -> DataFrame:
     """docs with _epoch, once per epoch in which a row is taken; share of all tokens is the budget.
 
     An epoch orders a leaf by a seeded hash. Whole epochs come first; of the last one, the prefix of rows that begins
     within the budget. Prefix sums run over 4096 hash ranges a leaf; rows are ordered in the cut range only, so
-    a hot leaf never meets in one task. Null levels are leaves of their own. Columns of docs may have any names.
+    a hot leaf never meets in one task. Null levels are leaves of their own. Repeated rows are taken or left each for
+    itself; rows of one hash are ordered by doc_id. Columns of docs may have any names. No rows give none.
     """
     names = [f"_{n}" for n in levels]
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")

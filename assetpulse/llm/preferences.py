@@ -15,10 +15,13 @@ def format_preferences(turns: DataFrame) -> DataFrame:
     chosen, rejected, and for each side the [start, end) places in its completion that are trained (assistant texts).
 
     The longest common prefix of turns, by role and text, is rendered once as the prompt. Turns are ordered by turn, role
-    and text; null role or text is empty; a missing side is an empty completion; null ids form one pair. A pair is one
-    row of output, so its turns, and only those, meet in one row."""
-    clean = turns.selectExpr("pair_id", "side", "struct(turn, coalesce(role, '') AS role, coalesce(text, '') AS text) AS t")
-    pairs = clean.groupBy("pair_id").agg(*[F.sort_array(F.expr(f"collect_list(t) FILTER (WHERE side = '{s}')")).alias(f"_{s}") for s in ("chosen", "rejected")])
+    and text, a null turn first; repeated turns are each rendered; null role or text is empty; a missing side is an empty
+    completion. A row without id is a pair of its own. No rows give none; other columns are not read. A pair is one row of
+    output, so its turns, and only those, meet in one row."""
+    lone = F.when(F.isnull("pair_id"), F.monotonically_increasing_id()).alias("_lone")
+    clean = turns.select("pair_id", lone, "side", "turn", "role", "text")
+    clean = clean.selectExpr("pair_id", "_lone", "side", "struct(turn, coalesce(role, '') AS role, coalesce(text, '') AS text) AS t")
+    pairs = clean.groupBy("pair_id", "_lone").agg(*[F.sort_array(F.expr(f"collect_list(t) FILTER (WHERE side = '{s}')")).alias(f"_{s}") for s in ("chosen", "rejected")])
     short = "least(size(_chosen), size(_rejected))"
     differ = "NOT (_chosen[i].role = _rejected[i].role AND _chosen[i].text = _rejected[i].text)"
     pairs = pairs.selectExpr("*", f"CASE WHEN {short} = 0 THEN 0 ELSE coalesce(get(filter(sequence(0, {short} - 1), i -> {differ}), 0), {short}) END AS n")
@@ -35,8 +38,8 @@ def format_preferences(turns: DataFrame) -> DataFrame:
 
 def op10_preferences(spark, sf_dir):
     """Chosen: each conversation. Rejected: the same with its last assistant text replaced by that of the conversation with
-    the next id; without one the turn is missing."""
-    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    the next id; without one the turn is missing. Turns without conv_id belong to no conversation and are left out."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").where("conv_id IS NOT NULL")
     last = turns.where("role = 'assistant'").groupBy("conv_id").agg(F.max(F.struct("turn", "text")).alias("l"))
     last = last.selectExpr("conv_id", "l.turn AS last_turn", "l.text AS last_text")
     other = last.selectExpr("conv_id - 1 AS conv_id", "last_text AS other_text", "true AS present")

@@ -237,16 +237,31 @@ def sharded(nodes: DataFrame, shard_vectors: int) -> DataFrame:
 
 
 def shard_graphs(nodes: DataFrame) -> DataFrame:
-    """(dim, shards, shard, graph): one row per shard, its graph and vectors as bytes."""
+    """(dim, shards, shard, graph): one row per shard, its graph and vectors as bytes. Shards are dealt to a task each."""
 
-    def build(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("node")
+    def packed(frame: pd.DataFrame) -> pd.DataFrame:
         held = io.BytesIO()
         layers = Graph(units(frame["embedding"].tolist())).pack()
         np.savez(held, *layers, ids=frame["node"].to_numpy("int64"), counts=frame["n"].to_numpy("int64"), x=np.stack(frame["embedding"].tolist()))
-        return pd.DataFrame({"dim": frame["dim"].iloc[:1], "shards": frame["shards"].iloc[:1], "shard": frame["shard"].iloc[:1], "graph": [held.getvalue()]})
+        first = frame.iloc[0]
+        return pd.DataFrame({"dim": [first["dim"]], "shards": [first["shards"]], "shard": [first["shard"]], "graph": [held.getvalue()]})
 
-    return nodes.select("dim", "shards", "shard", "node", "n", "embedding").groupBy("dim", "shard").applyInPandas(build, "dim int, shards long, shard long, graph binary")
+    def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at, held = None, []
+        for batch in batches:
+            for key, rows in batch.groupby(["dim", "shard"], sort=False):
+                if key != at and held:
+                    yield packed(pd.concat(held))
+                    held = []
+                at = key
+                held.append(rows)
+        if held:
+            yield packed(pd.concat(held))
+
+    total = nodes.select("dim", "shards").distinct().agg(F.sum("shards")).first()[0] or 1
+    parts = min(int(total), MOST_PARTITIONS)
+    dealt = nodes.select("dim", "shards", "shard", "node", "n", "embedding").repartitionById(parts, F.expr(f"int((dim + shard) % {parts})"))
+    return dealt.sortWithinPartitions("dim", "shard", "node").mapInPandas(build, "dim int, shards long, shard long, graph binary")
 
 
 def meetings(nodes: DataFrame, graphs: DataFrame) -> DataFrame:

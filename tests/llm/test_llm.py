@@ -282,6 +282,48 @@ def test_shortage_goes_to_siblings_first(spark):
     assert got == {("a", "x"): 10, ("a", "y"): 50, ("b", "x"): 60}
 
 
+def test_weights_are_of_paths(spark):
+    """A name means its own level and, with a whole path, its own place; a source named like a language has no part in it."""
+    leaves = spark.createDataFrame([("a", "en", 1000), ("a", "x", 1000), ("en", "en", 1000), ("en", "x", 1000)], "d string, s string, tokens long")
+
+    def of(weights):
+        return {(r["d"], r["s"]): r["budget"] for r in mixing.budgets(leaves, ["d", "s"], weights, 120.0, 1).collect()}
+
+    assert of({("en",): 2.0}) == {("a", "en"): 20, ("a", "x"): 20, ("en", "en"): 40, ("en", "x"): 40}
+    assert of({("*", "en"): 2.0}) == {("a", "en"): 40, ("a", "x"): 20, ("en", "en"): 40, ("en", "x"): 20}
+    assert of({("*", "en"): 2.0, ("a", "en"): 5.0}) == {("a", "en"): 50, ("a", "x"): 10, ("en", "en"): 40, ("en", "x"): 20}
+
+
+def test_mix_takes_seeded_prefixes(spark):
+    """Two epochs by plain code: whole epochs first, then, of the rows in the order of their hash, those that begin within
+    what is left of the leaf's budget."""
+    rows = [(i, "word " * (1 + i % 40), "en", f"src{i % 3}", 0) for i in range(900)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    tokens = {r[0]: max(1, -(-len(r[1]) // 4)) for r in rows}
+    weights = {("web",): 1.0, ("*", "*", "src1"): 6.0}
+    leaves = {s: sum(tokens[r[0]] for r in rows if r[3] == s) for s in ("src0", "src1", "src2")}
+    for share in (0.3, 0.9, 1.4):
+        got = {}
+        for r in mixing.mix(df, mixing.LEVELS, weights, share=share, epochs=2).collect():
+            got.setdefault(r["source"], []).append((r["doc_id"], r["_epoch"]))
+        plan = spark.createDataFrame([("web", "en", s, t) for s, t in leaves.items()], "d string, l string, s string, tokens long")
+        budget = {r["s"]: r["budget"] for r in mixing.budgets(plan, ["d", "l", "s"], weights, share * sum(tokens.values()), 2).collect()}
+        hashes = {}
+        for full in range(3):
+            hashes |= {(full, r["doc_id"]): r["h"] for r in df.selectExpr("doc_id", f"xxhash64(7, {full}L, doc_id, text) AS h").collect()}
+        for source, total in leaves.items():
+            full = min(2, int(budget[source] // total))
+            left, at = budget[source] - int(budget[source] // total) * total, 0
+            want = [(i, e) for i in tokens for e in range(full) if rows[i][3] == source]
+            ids = sorted((i for i in tokens if rows[i][3] == source), key=lambda i: ((hashes[full, i] >> 52) % 4096, hashes[full, i] & (2**52 - 1), i))
+            for i in ids:
+                if at >= left:
+                    break
+                want.append((i, full))
+                at += tokens[i]
+            assert sorted(got.get(source, [])) == sorted(want), (share, source)
+
+
 def test_word_ids_match_the_tokenizer_on_odd_texts():
     import public_tokenizers
 

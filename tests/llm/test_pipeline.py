@@ -71,7 +71,8 @@ def test_mixing_meets_its_budgets(spark):
                 for path, t in total.items():
                     if path[:depth] == above:
                         offers[path[depth]] += t
-                want |= {(*above, n): b for n, b in dealt(offers, mixing.WEIGHTS, budget).items()}
+                weights = {path[-1]: w for path, w in mixing.WEIGHTS.items() if len(path) == depth + 1}
+                want |= {(*above, n): b for n, b in dealt(offers, weights, budget).items()}
     got, times = defaultdict(int), defaultdict(int)
     for r in pipeline.sources(spark, df, SF).collect():
         got[leaf[r["doc_id"]]] += tokens[r["doc_id"]]

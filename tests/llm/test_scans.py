@@ -116,6 +116,55 @@ def test_preferences(spark):
     assert len(rows) == 100 and {r["conv_id"] for r in rows if r["chosen"] == r["rejected"]} == unanswered
 
 
+def preferred(rows):
+    """pair -> (n_prompt_turns, prompt, chosen, rejected, both masks), turn by turn."""
+    pairs, out = {}, []
+    for n, (pair, side, turn, role, text) in enumerate(rows):
+        pairs.setdefault(("lone", n) if pair is None else pair, (pair, {"chosen": [], "rejected": []}))[1][side].append((turn is not None, turn or 0, role or "", text or ""))
+    for pair, sides in pairs.values():
+        chosen, rejected = sorted(sides["chosen"]), sorted(sides["rejected"])
+        n = 0
+        while n < min(len(chosen), len(rejected)) and chosen[n][2:] == rejected[n][2:]:
+            n += 1
+        shown, masks = [], []
+        for turns in (chosen[:n], chosen[n:], rejected[n:]):
+            text, spans = "", []
+            for _, _, role, said in turns:
+                start = len(text) + len(f"<|{role}|>\n")
+                text += f"<|{role}|>\n{said}\n"
+                if role == "assistant":
+                    spans.append(f"{start}-{start + len(said)}")
+            shown.append(text)
+            masks.append(",".join(spans))
+        out.append((pair, n, *shown, *masks[1:]))
+    return sorted(out, key=repr)
+
+
+def test_preferences_against_plain_code(spark):
+    schema = "pair_id long, side string, turn long, role string, text string"
+    long = [(9, side, n, "assistant" if n % 2 else "user", f"turn {n} é😀 " * (n % 5)) for side in ("chosen", "rejected") for n in range(1500)]
+    odd = [(1, s, 0, "user", "Hi") for s in ("chosen", "rejected")] * 2 + [(1, "chosen", None, "assistant", None), (2, "rejected", 3, None, ""), (None, "chosen", 1, "assistant", "a"), (None, "chosen", 1, "assistant", "a"), (None, "rejected", 1, "user", "b")]
+    rows = long + [(9, "rejected", 1500, "assistant", "more")] + odd
+    df = spark.createDataFrame([(*r, 1) for r in rows], schema + ", n int")
+    assert sorted(map(tuple, preferences.format_preferences(df).collect()), key=repr) == preferred(rows)
+    assert preferences.format_preferences(df.limit(0)).count() == 0
+
+
+def test_preferences_query_against_plain_code(spark):
+    turns = [(r["conv_id"], r["turn"], r["role"], r["text"]) for r in pq.read_table(f"{SF}/conversations.parquet").to_pylist() if r["conv_id"] is not None]
+    last = {}
+    for conv, turn, role, text in turns:
+        if role == "assistant" and (conv not in last or (turn is not None, turn or 0, text is not None, text or "") > last[conv][0]):
+            last[conv] = ((turn is not None, turn or 0, text is not None, text or ""), turn, text)
+    rows = [(conv, "chosen", turn, role, text) for conv, turn, role, text in turns]
+    for conv, turn, role, text in turns:
+        swap = role == "assistant" and conv in last and turn is not None and turn == last[conv][1]
+        if not swap or conv + 1 in last:
+            rows.append((conv, "rejected", turn, role, last[conv + 1][2] if swap else text))
+    got = llm.all_queries()["op10_preferences"](spark, SF).collect()
+    assert sorted(map(tuple, got), key=repr) == preferred(rows)
+
+
 @pytest.mark.parametrize("name", ["op3_exact_dedup"])
 def test_sql(spark, name):
     line = compare(spark, name, llm.all_queries()[name], llm.all_sql()[name], connect(SF), SF)
