@@ -37,6 +37,7 @@ class TimelineSettings:
     window_days: int = 30
     pm_scope: str = "from_install"
     attributes: tuple[str, ...] = ()
+    partitions: int | None = None
     code_columns: tuple[str, ...] = ()
 
     def __post_init__(self):
@@ -50,12 +51,13 @@ def stack_signals(signals: Sequence[DataFrame], settings: TimelineSettings) -> D
     """All signals as one long table, hash-partitioned by asset; the only shuffle by asset.
 
     The partition count is given, since later steps of the same stage multiply the rows: coalescing by
-    the bytes of this shuffle, as adaptive execution would do, leaves tasks too large.
+    the bytes of this shuffle, as adaptive execution would do, leaves tasks too large. Without settings.partitions it is
+    the session's number of shuffle partitions.
     """
     stacked = reduce(lambda top, bottom: top.unionByName(bottom, allowMissingColumns=True), signals)
     expected = {**COUNTERS, **OTHERS, **{name: "long" for name in settings.code_columns}}
     absent = {name: F.lit(None).cast(kind) for name, kind in expected.items() if name not in stacked.columns}
-    partitions = int(stacked.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    partitions = settings.partitions or int(stacked.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return stacked.withColumns(absent).repartition(partitions, ASSET)
 
 

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from assetpulse import schemas
-from assetpulse.constants import ASSET, CRITICALITIES_SHORT, DATE, LISTED_CODES_SHORT, MODEL_CUTOFFS
-from assetpulse.functions import at_most
+from assetpulse.constants import ASSET, CRITICALITIES_SHORT, DATE, LISTED_CODES_SHORT, LOG_EVENT, LOG_MANUAL, MODEL_CUTOFFS
+from assetpulse.functions import at_most, parse_date
 from assetpulse.operators import coverage, filters, model, ranking
 from assetpulse.operators import reference_tables as ref
 from assetpulse.plans import daily_facts as facts
@@ -37,7 +37,7 @@ def rounded(df: DataFrame, *exact: str, places: int = 6) -> DataFrame:
 
 
 def fact_sources(bridge: Bridge, *parts: str) -> facts.FactSources:
-    """Sources of the fact table; parts limits the optional ones."""
+    """Sources of the fact table; parts limits the optional ones, "work" names none of them."""
     optional = {
         "service_requests": lambda: bridge.service_requests(),
         "error_events": lambda: drop_any_null(bridge.error_events()),
@@ -50,7 +50,7 @@ def fact_sources(bridge: Bridge, *parts: str) -> facts.FactSources:
         assets=bridge.assets(),
         work_tie_break=TIE_BREAK,
         firmware_tie_break=FIRMWARE_TIE_BREAK,
-        **{name: optional[name]() for name in chosen},
+        **{name: optional[name]() for name in chosen if name in optional},
     )
 
 
@@ -83,9 +83,11 @@ FACT_QUERIES: dict[str, Query] = {
     "days_since_pm_from_start": fact_query(["last_pm_date"], "service_requests", pm_scope="from_start"),
     "firmware_as_of": fact_query(["firmwareHistory"], "firmware"),
     "failure_labels": fact_query(["failure_event", "day_to_failure"], "service_requests"),
-    "failure_labels_from_codes": fact_query(["failure_event"], "error_events", failure_label="error_codes"),
+    "failure_labels_from_codes": fact_query(
+        ["failure_event"], "error_events", failure_label="error_codes", code_types=(), codes=()
+    ),
     "incident_history": fact_query(["numIncidents", "days_Since_failure"], "service_requests"),
-    "age_and_averages": fact_query(["age", "Avg_notes_in", "Avg_notes_in_last30"], "service_requests"),
+    "age_and_averages": fact_query(["age", "Avg_notes_in", "Avg_notes_in_last30"], "work"),
     "code_rolling_features": code_rolling_features,
     "daily_facts": fact_query(None),
 }
@@ -178,6 +180,30 @@ REFERENCE_QUERIES: dict[str, Query] = {
 }
 
 
+FILTER_FIRST, FILTER_LAST = "1998-01-01", "1998-12-31"
+
+
+def visits_by_day(bridge: Bridge) -> DataFrame:
+    """Field visits per day; the day is parsed from text."""
+    days = bridge.field_activity().select(parse_date(F.col("date_arrival")).alias("day"))
+    return days.groupBy("day").agg(F.count("*").alias("visits"))
+
+
+FILTER_QUERIES: dict[str, Query] = {
+    "assets_active": bridge_query(lambda b: filters.status_is(b.screen_assets(), "Active").select(ASSET)),
+    "assets_not_active": bridge_query(lambda b: filters.status_not(b.screen_assets(), "Active").select(ASSET, "active_status")),
+    "maintenance_requests": bridge_query(
+        lambda b: filters.with_const(filters.pm_requests(b.service_requests(), FILTER_FIRST, FILTER_LAST), customer_id=ref.CUSTOMER)
+    ),
+    "failure_requests": bridge_query(lambda b: filters.failure_requests(b.service_requests(), FILTER_FIRST, FILTER_LAST)),
+    "manual_log_events": bridge_query(lambda b: filters.life_events_where(b.fleet_life_events(), LOG_EVENT, LOG_MANUAL)),
+    "last_work_of_day": bridge_query(
+        lambda b: filters.keep_last(b.daily_work(), [ASSET, DATE], [name for name, _ in TIE_BREAK]).select(ASSET, DATE, "working_unit")
+    ),
+    "error_log_named": screen_query(lambda status: screening.named_reasons(screening.error_log(status))),
+    "visits_by_day": bridge_query(visits_by_day),
+}
+
 TRAIN_END = "2001-04-30"
 TEST_START, TEST_END = "2001-05-01", "2001-05-30"
 MODEL_FIRST_DATE = "1998-01-01"
@@ -437,4 +463,4 @@ FACT_QUERIES |= {"operational_age": bridge_query(operational_age), "row_change":
 
 
 def all_queries() -> dict[str, Query]:
-    return {**FACT_QUERIES, **OPTION_QUERIES, **FLEET_QUERIES, **SCREEN_QUERIES, **REFERENCE_QUERIES, **MODEL_QUERIES}
+    return {**FACT_QUERIES, **FILTER_QUERIES, **OPTION_QUERIES, **FLEET_QUERIES, **SCREEN_QUERIES, **REFERENCE_QUERIES, **MODEL_QUERIES}

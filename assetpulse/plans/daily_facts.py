@@ -39,7 +39,8 @@ SERVICE_COLUMNS = [
 class FactSettings:
     """Options of the fact table; the defaults are the standard table.
 
-    first_date and last_date limit the days returned, not the history they are computed from.
+    first_date and last_date limit the days returned, not the history they are computed from. partitions is the number of
+    tasks that hold the reduced signals of assets; by default the session's number of shuffle partitions.
     """
 
     window_days: int = 30
@@ -55,6 +56,7 @@ class FactSettings:
     device_columns: str | None = "features"
     firmware_source: str = "history"
     min_hours: float = 0
+    partitions: int | None = None
     first_date: dt.date | str | None = None
     last_date: dt.date | str | None = None
 
@@ -152,6 +154,7 @@ def timeline(sources: FactSources, as_of: dt.date | str, settings: FactSettings
         window_days=settings.window_days,
         pm_scope=settings.pm_scope,
         attributes=tuple(attributes),
+        partitions=settings.partitions,
         code_columns=tuple(code_columns),
     )
     bounded = tl.with_bounds(tl.stack_signals(stack, line), line)

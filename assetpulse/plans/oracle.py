@@ -740,6 +740,34 @@ def option_sql() -> dict[str, str]:
     }
 
 
+def filter_sql() -> dict[str, str]:
+    year = "service_request_date BETWEEN DATE '1998-01-01' AND DATE '1998-12-31'"
+    reasons = {
+        1: "Not active now",
+        2: "Log status manual",
+        3: "Log status daily but no data for the last 15 days",
+        4: "Less than the last 60 days of daily work",
+        5: "Install date in the future",
+    }
+    named = " ".join(f"WHEN {n} THEN '{text}'" for n, text in reasons.items())
+    return {
+        "assets_active": with_ctes("SELECT customer_asset_identifier FROM s_assets WHERE active_status = 'Active'", "s_assets"),
+        "assets_not_active": with_ctes(
+            "SELECT customer_asset_identifier, active_status FROM s_assets WHERE active_status IS DISTINCT FROM 'Active'", "s_assets"
+        ),
+        "maintenance_requests": with_ctes(
+            f"SELECT *, 1 AS customer_id FROM requests WHERE incident_category = 'Preventative Maintenance' AND {year}", "requests"
+        ),
+        "failure_requests": with_ctes(
+            f"SELECT * FROM requests WHERE incident_category IN ('Hardware Fault', 'Paper Jam') AND {year}", "requests"
+        ),
+        "manual_log_events": with_ctes("SELECT * FROM f_life WHERE life_event_code = 3 AND life_event_value = 2", "f_life"),
+        "last_work_of_day": with_ctes("SELECT * FROM daily_work", "daily_work").replace(f" WHERE date <= {AS_OF}", ""),
+        "error_log_named": with_ctes(f"SELECT customer_asset_identifier, reason_id, CASE reason_id {named} END AS reason FROM s_errors", "s_errors"),
+        "visits_by_day": "SELECT CAST(l_shipdate AS DATE) AS day, count(*) AS visits FROM lineitem GROUP BY 1",
+    }
+
+
 def variant_sql() -> dict[str, str]:
     """Options of the fact job and the declared sinks."""
     reference = reference_sql()
@@ -925,4 +953,4 @@ def fleet_sql() -> dict[str, str]:
 
 
 def all_sql() -> dict[str, str]:
-    return {**facts_sql(), **option_sql(), **variant_sql(), **fleet_sql(), **screening_sql(), **reference_sql(), **model_sql()}
+    return {**facts_sql(), **option_sql(), **filter_sql(), **variant_sql(), **fleet_sql(), **screening_sql(), **reference_sql(), **model_sql()}

@@ -14,6 +14,7 @@ from assetpulse.constants import (
     LOG_DAILY,
     LOG_EVENT,
     LOG_MANUAL,
+    REASONS,
     STATUS_ACTIVE,
     STATUS_EVENT,
 )
@@ -184,6 +185,12 @@ def error_log(status: DataFrame) -> DataFrame:
     return status.filter("failed").select(ASSET, F.explode(reasons).alias("reason_id"))
 
 
+def named_reasons(errors: DataFrame) -> DataFrame:
+    """Error log with the wording of each reason."""
+    names = F.create_map(*[F.lit(item) for pair in REASONS.items() for item in pair])
+    return errors.select(ASSET, "reason_id", names[F.col("reason_id")].alias("reason"))
+
+
 def valid_assets(status: DataFrame) -> DataFrame:
     return status.filter(F.col("in_universe") & ~F.col("failed")).select(F.col(ASSET).alias("id"))
 
