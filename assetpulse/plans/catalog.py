@@ -12,14 +12,23 @@ from pyspark.sql import types as T
 
 from assetpulse import schemas
 from assetpulse.constants import ASSET, CRITICALITIES_SHORT, DATE, LISTED_CODES_SHORT, LOG_EVENT, LOG_MANUAL, MODEL_CUTOFFS
-from assetpulse.functions import at_most, parse_date
+from assetpulse.functions import at_most, date_label, parse_date
 from assetpulse.operators import coverage, filters, model, ranking
 from assetpulse.operators import reference_tables as ref
 from assetpulse.plans import daily_facts as facts
 from assetpulse.plans import fleet, screening
 from assetpulse.plans.bridge import AS_OF, FIRMWARE_TIE_BREAK, SCREEN_AS_OF, TIE_BREAK, Bridge
 from assetpulse.session import materialize, use_checkpoint_dir
-from assetpulse.sources import checked_for_sink, drop_any_null, valid_dates, write_dated
+from assetpulse.sources import (
+    checked_for_sink,
+    drop_any_null,
+    read_csv,
+    read_id_list,
+    valid_dates,
+    write_csv,
+    write_dated,
+    write_facts,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -184,9 +193,20 @@ FILTER_FIRST, FILTER_LAST = "1998-01-01", "1998-12-31"
 
 
 def visits_by_day(bridge: Bridge) -> DataFrame:
-    """Field visits per day; the day is parsed from text."""
+    """Field visits per day, with the day's month as text; the day is parsed from text."""
     days = bridge.field_activity().select(parse_date(F.col("date_arrival")).alias("day"))
-    return days.groupBy("day").agg(F.count("*").alias("visits"))
+    return days.groupBy("day").agg(F.count("*").alias("visits")).withColumn("month", date_label(F.col("day"), "yyyy-MM"))
+
+
+def screen_lists(bridge: Bridge) -> DataFrame:
+    """The id lists of a screening run, one under the other."""
+    run = screening.screen_assets(
+        bridge.screen_assets(), bridge.screen_work(), bridge.life_events(), SCREEN_AS_OF,
+        screening.ScreenSettings(max_irregular_run=6, max_gap_days=2),
+    )
+    lists = {"valid": run.valid_ids(), "error": run.error_ids(), "manual": run.category("manual_only"), "regular": run.category("regular")}
+    named = [ids.select(F.lit(name).alias("list"), F.col(ids.columns[0]).alias("id")) for name, ids in lists.items()]
+    return named[0].union(named[1]).union(named[2]).union(named[3])
 
 
 FILTER_QUERIES: dict[str, Query] = {
@@ -202,6 +222,7 @@ FILTER_QUERIES: dict[str, Query] = {
     ),
     "error_log_named": screen_query(lambda status: screening.named_reasons(screening.error_log(status))),
     "visits_by_day": bridge_query(visits_by_day),
+    "screen_lists": bridge_query(screen_lists),
 }
 
 TRAIN_END = "2001-04-30"
@@ -369,7 +390,21 @@ def class_weights(bridge: Bridge) -> DataFrame:
     return rounded(model.class_weights(days))
 
 
+REPORT_DAYS = ["2001-05-10", "2001-05-30"]
+
+
+def stand_in_predictions(bridge: Bridge) -> DataFrame:
+    return scored_report(bridge).withColumnRenamed("mdl_pred", "failure_probability")
+
+
+def score_report(bridge: Bridge) -> DataFrame:
+    predictions = stand_in_predictions(bridge)
+    return rounded(model.score_report(predictions, predictions, REPORT_DAYS))
+
+
 MODEL_QUERIES: dict[str, Query] = {
+    "prediction_slice": bridge_query(lambda b: rounded(model.prediction_slice(stand_in_predictions(b), REPORT_DAYS))),
+    "score_report": bridge_query(score_report),
     "ml_prepared": ml_prepared,
     "time_split_counts": time_split_counts,
     "baseline_score": bridge_query(baseline_score),
@@ -427,11 +462,9 @@ def no_devices(bridge: Bridge) -> DataFrame:
 
 def sunk(df: DataFrame, schema: T.StructType, name: str) -> DataFrame:
     """df through the checks of a declared table, written as that table's rows of one date and read back."""
-    session = df.sparkSession
-    use_checkpoint_dir(session)
-    folder = f"{session.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4()}"
+    folder = shared_folder(df.sparkSession, name)
     write_dated(checked_for_sink(df, schema), folder, AS_OF)
-    return session.read.parquet(folder).drop("as_of")
+    return df.sparkSession.read.parquet(folder).drop("as_of")
 
 
 def sink_service_requests(bridge: Bridge) -> DataFrame:
@@ -440,6 +473,26 @@ def sink_service_requests(bridge: Bridge) -> DataFrame:
     return sunk(history, schemas.SERVICE_REQUEST_HISTORY, "service_request_history")
 
 
+def shared_folder(session: SparkSession, name: str) -> str:
+    use_checkpoint_dir(session)
+    return f"{session.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4()}"
+
+
+def facts_from_csv(bridge: Bridge) -> DataFrame:
+    """The work panel through its sorted CSV files and back, found by column name."""
+    panel = facts.daily_work_panel(facts.FactSources(bridge.daily_work(), bridge.assets(), TIE_BREAK), AS_OF)
+    folder = shared_folder(bridge.spark, "facts")
+    write_facts(panel, folder)
+    return read_csv(bridge.spark, folder, panel.schema)
+
+
+def valid_ids_from_list(bridge: Bridge) -> DataFrame:
+    """The valid list as a file with a header, as a fact job would read it."""
+    folder = shared_folder(bridge.spark, "valid")
+    write_csv(screening.valid_assets(screen_status_table(bridge)), folder)
+    return read_id_list(bridge.spark, folder, header=True)
+
+
 def sink_error_codes(bridge: Bridge) -> DataFrame:
     return sunk(ref.asset_error_codes(bridge.error_events()), schemas.ASSET_ERROR_CODES, "asset_error_codes")
 
@@ -451,6 +504,8 @@ OPTION_QUERIES: dict[str, Query] = {
     "facts_without_devices": bridge_query(no_devices),
     "sink_service_requests": bridge_query(sink_service_requests),
     "sink_error_codes": bridge_query(sink_error_codes),
+    "facts_from_csv": bridge_query(facts_from_csv),
+    "valid_ids_from_list": bridge_query(valid_ids_from_list),
     # The master that holds the assets of the rows, so that nearly all find theirs.
     "periodic_work_own_master": bridge_query(lambda b: ref.periodic_work(b.screen_work(), b.screen_assets(), "inner")),
     "technician_history_own_master": bridge_query(

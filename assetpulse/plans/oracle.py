@@ -764,7 +764,30 @@ def filter_sql() -> dict[str, str]:
         "manual_log_events": with_ctes("SELECT * FROM f_life WHERE life_event_code = 3 AND life_event_value = 2", "f_life"),
         "last_work_of_day": with_ctes("SELECT * FROM daily_work", "daily_work").replace(f" WHERE date <= {AS_OF}", ""),
         "error_log_named": with_ctes(f"SELECT customer_asset_identifier, reason_id, CASE reason_id {named} END AS reason FROM s_errors", "s_errors"),
-        "visits_by_day": "SELECT CAST(l_shipdate AS DATE) AS day, count(*) AS visits FROM lineitem GROUP BY 1",
+        "visits_by_day": """SELECT CAST(l_shipdate AS DATE) AS day, count(*) AS visits, strftime(CAST(l_shipdate AS DATE), '%Y-%m') AS month
+            FROM lineitem GROUP BY 1, 3""",
+        "screen_lists": with_ctes(
+            """SELECT 'valid' AS list, customer_asset_identifier AS id FROM s_valid
+               UNION ALL SELECT 'error', customer_asset_identifier FROM s_error_ids
+               UNION ALL SELECT 'manual', customer_asset_identifier FROM s_manual_only
+               UNION ALL SELECT 'regular', customer_asset_identifier FROM (SELECT * FROM s_universe EXCEPT SELECT * FROM s_irregular)""",
+            "s_valid",
+            "s_error_ids",
+            "s_manual_only",
+            "s_irregular",
+            "s_universe",
+        ),
+        "facts_from_csv": facts_sql()["daily_spine_work"],
+        "valid_ids_from_list": screening_sql()["valid_assets"],
+        "prediction_slice": with_ctes(
+            "SELECT date, customer_asset_identifier, round(mdl_pred, 6) AS mdl_pred FROM report WHERE date IN (DATE '2001-05-10', DATE '2001-05-30')",
+            "report",
+        ),
+        "score_report": with_ctes(
+            """SELECT date, customer_asset_identifier, failure_event, notes_in_last_pm, round(mdl_pred, 6) AS mdl_pred
+               FROM report WHERE date IN (DATE '2001-05-10', DATE '2001-05-30')""",
+            "report",
+        ),
     }
 
 
