@@ -179,6 +179,16 @@ def test_pack(spark, docs, odd):
         assert len(bins) <= 1.03 * -(-sum(w[3] for w in want) // 4096) + 1
 
 
+def test_pack_of_no_rows_and_of_clashing_columns(spark, odd):
+    import public_tokenizers
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    assert packing.pack(packing.pieces_of(odd.limit(0), path)).collect() == []
+    wide = odd.selectExpr("*", "1 AS piece", "2 AS sequence_id", "3 AS _group", "4 AS ids")
+    got, want = (sorted(map(tuple, packing.pack(packing.pieces_of(df, path, with_ids=False)).select("doc_id", "piece", "start", "length", "ids_crc32").collect()), key=repr) for df in (wide, odd))
+    assert got == want and len(got) >= len(ODD)
+
+
 def test_rows_of_one_id_are_dealt_over_groups(spark):
     """Null or repeated ids do not meet in one group, and weights of all three capacities keep the sequence count."""
     for one in (None, 7):
