@@ -137,7 +137,7 @@ def cell_keys(width: int) -> list[str]:
     return [f"(shiftrightunsigned(fp, {i}) & {2**high - 1}L) * {2**low}L + (shiftrightunsigned(fp, {j}) & {2**low - 1}L)" for (i, _), (j, _) in pairs]
 
 
-def links(distinct: DataFrame, bits: int, cell_rows: int = 16_384) -> DataFrame:
+def links(distinct: DataFrame, bits: int, cell_rows: int = 8_192) -> DataFrame:
     """(a, b) fingerprints whose components are those of all pairs within bits (at most 4).
 
     Rows meet in cells of about cell_rows rows, at every size of the input: cell keys take a bit more from the fingerprint for each
