@@ -20,7 +20,7 @@ from assetpulse.functions import ratio
 
 SCORE_RANGES = 4096  # ranges on either side of zero
 FULL_SHARE = 1000  # a range with more than this part of a date's scores is split
-SPLITS = 2  # how many times a range may be split
+SPLITS = 1  # how many times a range may be split; each reads the scores once more
 CHUNK_ROWS = 1_000_000  # curve points one task may emit
 
 
