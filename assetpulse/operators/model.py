@@ -6,16 +6,17 @@ import datetime as dt
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from assetpulse.constants import ASSET, COST, DATE, DEVICE_COLUMNS
 from assetpulse.functions import as_date, at_most, date_label, numbers_filled, ratio
+from assetpulse.operators import forest
 from assetpulse.operators.filters import between_dates
 from assetpulse.operators.joins import encode, first_per_key
 
@@ -81,9 +82,9 @@ def class_weights(train: DataFrame, label: str = LABEL) -> DataFrame:
     return sizes.select("n", F.inline(classes)).select("class", "rows", weight.alias("weight"))
 
 
-def with_class_weight(train: DataFrame, label: str = LABEL, output: str = "weight") -> DataFrame:
-    """Balanced weights, from the two rows of class_weights."""
-    weights = {row["class"]: row["weight"] for row in class_weights(train, label).collect()}
+def with_class_weight(train: DataFrame, label: str = LABEL, output: str = "weight", sizes: Sequence[Row] | None = None) -> DataFrame:
+    """Balanced weights, from the two rows of class_weights; sizes are those rows, where they are known."""
+    weights = {row["class"]: row["weight"] for row in sizes or class_weights(train, label).collect()}
     return train.withColumn(output, F.when(F.col(label) == 1, weights[1]).otherwise(weights[0]))
 
 
@@ -91,8 +92,10 @@ def fit_forest(
     train: DataFrame, label: str = LABEL, trees: int = 100, depth: int = 7, seed: int = 42
 ) -> PipelineModel:
     """Random forest with balanced classes and sqrt(features) per split."""
-    assembler = VectorAssembler(inputCols=feature_columns(train, label), outputCol="features")
-    forest = RandomForestClassifier(
+    features = feature_columns(train, label)
+    assembler = VectorAssembler(inputCols=features, outputCol="features")
+    assembler.transform(train)  # refuses columns that are no numbers
+    settings = RandomForestClassifier(
         labelCol=label,
         featuresCol="features",
         weightCol="weight",
@@ -101,7 +104,9 @@ def fit_forest(
         featureSubsetStrategy="sqrt",
         seed=seed,
     )
-    return Pipeline(stages=[assembler, forest]).fit(with_class_weight(train, label))
+    sizes = class_weights(train, label).collect()
+    weighted = with_class_weight(train, label, settings.getWeightCol(), sizes)
+    return PipelineModel([assembler, forest.fit(weighted, features, settings, sum(row["rows"] for row in sizes))])
 
 
 def predict(
